@@ -1,0 +1 @@
+"""Empty on purpose: the unit of time is the batch capture, so no operator here reads a stream."""
