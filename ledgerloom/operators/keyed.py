@@ -15,9 +15,17 @@ def identified_rows(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows with a full identity: no key column and no source system is null.
 
     A null in either makes the hash key null, and a null key in a target would defeat every later
-    comparison against it. The test is on the stored columns, so it reaches the file scan.
+    comparison against it. The tests are on the stored columns, one by one, so they reach the file
+    scan.
     """
-    return rows.dropna(subset=[*columns, SOURCE_COLUMN])
+    return with_values(rows, [*columns, SOURCE_COLUMN])
+
+
+def with_values(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows in which none of the columns is null, as filters a file scan can take over."""
+    for column in columns:
+        rows = rows.filter(F.col(column).isNotNull())
+    return rows
 
 
 def _first_seen(rows: DataFrame, columns: Sequence[str], seen_at: str) -> DataFrame:

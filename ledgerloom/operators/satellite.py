@@ -10,14 +10,15 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.keys import change_hash, require_stable_text
 from ledgerloom.operators.keyed import identified_rows, new_rows
 from ledgerloom.operators.specs import Satellite
+from ledgerloom.sources.stamping import wall_clock
 from ledgerloom.sources.tables import SNAPSHOT_AT, SNAPSHOT_ID, SOURCE_COLUMN
 
 CAPTURE = ["load_dts", "snapshot_id"]
 
 # A key with more history rows than this does not go through one sorted window.
 HOT_ROWS = 1_000_000
-# At most so many keys are set apart. A key beyond the list has less than 1/1000 of all rows, about
-# the share of an ordinary task, and stays on the ordinary path.
+# At most so many keys are set apart. A key beyond the list has less than 1/1000 of all rows, about the
+# share of an ordinary task, and stays with the rest.
 HOT_KEYS = 1_000
 
 
@@ -31,10 +32,11 @@ def build_satellite(
     exchange carries neither.
     """
     rows = _capture_rows(history, satellite)
+    by = ["record_source", *satellite.parent.columns]
     changed = changed_versions(
-        rows, ["record_source", *satellite.parent.columns], satellite.attribute_names, hot_rows
+        rows, by, satellite.attribute_names, hot=hot_keys(rows, by, hot_rows)
     )
-    return _finish(changed, satellite)
+    return changed.select(*_columns(satellite, _hash_key(satellite)))
 
 
 def satellite_increment(
@@ -51,89 +53,94 @@ def satellite_increment(
     the last stored one and compares them with the last stored version per key. Its result is the
     same as long as captures arrive in order, and its cost does not grow with the history.
     """
-    if existing is None:
-        return build_satellite(history, satellite, hot_rows)
-    if not newer_only:
+    last = None
+    if existing is not None and newer_only:
+        last = existing.agg(F.max(F.struct(*CAPTURE)).alias("last")).select("last.*").first()
+    if last is None or last["load_dts"] is None:
         built = build_satellite(history, satellite, hot_rows)
         return new_rows(built, existing, [satellite.hash_key, "snapshot_id"], unique=False)
 
-    last = existing.agg(F.max(F.struct(*CAPTURE)).alias("last")).select("last.*").first()
-    if last is None or last["load_dts"] is None:
-        return build_satellite(history, satellite, hot_rows)
-    fresh_rows = _capture_rows(
-        history.filter(
-            _after(F.col(SNAPSHOT_AT), F.col(SNAPSHOT_ID), last["load_dts"], last["snapshot_id"])
-        ),
-        satellite,
-    )
-    fresh = fresh_rows.select(
-        satellite.parent.hash(F.col("record_source")).alias(satellite.hash_key),
-        satellite.label,
+    def newer(at: str, capture: str) -> Column:
+        moment = wall_clock(last["load_dts"])
+        return (F.col(at) > moment) | (
+            (F.col(at) == moment) & (F.col(capture) > last["snapshot_id"])
+        )
+
+    # Stored keys are known by their hash key only, so here the comparison is per hash key.
+    by, carried = [satellite.hash_key], [satellite.label, "record_source"]
+    fresh = _capture_rows(history.filter(newer(SNAPSHOT_AT, SNAPSHOT_ID)), satellite).select(
+        _hash_key(satellite).alias(satellite.hash_key),
+        *carried,
         *satellite.attribute_names,
         *CAPTURE,
-        "record_source",
     )
     changed = changed_versions(
         fresh.unionByName(_last_versions(existing, satellite)),
-        [satellite.hash_key],
+        by,
         satellite.attribute_names,
-        hot_rows,
-        carried=[satellite.label, "record_source"],
-    ).filter(_after(F.col("load_dts"), F.col("snapshot_id"), last["load_dts"], last["snapshot_id"]))
-    return changed.select(*_columns(satellite, F.col(satellite.hash_key)))
+        carried,
+        hot_keys(fresh, by, hot_rows),
+    )
+    return changed.filter(newer("load_dts", "snapshot_id")).select(
+        *_columns(satellite, F.col(satellite.hash_key))
+    )
+
+
+def hot_keys(rows: DataFrame, by: Sequence[str], hot_rows: int | None) -> list[int]:
+    """Key digests with more than ``hot_rows`` rows, at most HOT_KEYS of them.
+
+    Reads the key columns only, counts inside each task before the exchange, and exchanges a number
+    per key. Two keys may share a digest: both then count as hot, which costs nothing in the result.
+    Deciding this before the plan is built leaves the usual plan, without hot keys, one exchange.
+    """
+    if hot_rows is None:
+        return []
+    counts = rows.groupBy(_digest(by).alias("_key")).agg(F.count(F.lit(1)).alias("_rows"))
+    found = (
+        counts.filter(F.col("_rows") > hot_rows).orderBy(F.desc("_rows"), "_key").limit(HOT_KEYS)
+    )
+    return [row["_key"] for row in found.collect()]
+
+
+def _digest(by: Sequence[str]) -> Column:
+    return F.xxhash64(*by)
 
 
 def changed_versions(
     rows: DataFrame,
     by: Sequence[str],
     attributes: Sequence[str],
-    hot_rows: int | None = HOT_ROWS,
     carried: Sequence[str] = (),
+    hot: Sequence[int] = (),
 ) -> DataFrame:
     """Rows which differ from the row before them, per key, in capture order.
 
     Several rows of one key in one capture follow each other in attribute order. ``carried`` columns
-    depend on the key and are only passed along. Keys above ``hot_rows`` rows take a path whose
-    largest group is one row per capture; ``None`` skips looking for them.
+    depend on the key and are only passed along. Keys whose digest is in ``hot`` take a path whose
+    largest group is one row per capture; the result is the same.
     """
-    if hot_rows is None:
-        return _changed_by_window(rows, by, attributes)
-    # At most HOT_KEYS short rows: safe to broadcast at any scale.
-    hot = F.broadcast(_hot_keys(rows, by, hot_rows))
-    usual = rows.join(hot, list(by), "left_anti")
-    crowded = rows.join(hot, list(by), "left_semi")
-    return _changed_by_window(usual, by, attributes).unionByName(
-        _changed_by_capture(crowded, by, attributes, carried)
-    )
-
-
-def _hot_keys(rows: DataFrame, by: Sequence[str], hot_rows: int) -> DataFrame:
-    # Reads the key columns only and counts inside each task before the exchange.
-    return (
-        rows.groupBy(*by)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .filter(F.col("_rows") > hot_rows)
-        .orderBy(F.desc("_rows"))
-        .limit(HOT_KEYS)
-        .select(*by)
-    )
-
-
-def _changed_by_window(
-    rows: DataFrame, by: Sequence[str], attributes: Sequence[str]
-) -> DataFrame:
-    version = F.struct(*attributes)
-    order = Window.partitionBy(*by).orderBy(*CAPTURE, *attributes)
+    # Packed once, the attributes travel once; a separate lag column would double the exchange.
+    packed = rows.select(*by, *CAPTURE, *carried, F.struct(*attributes).alias("_version"))
+    if not hot:
+        changed = _changed_by_window(packed, by)
+    else:
+        listed = _digest(by).isin(list(hot))
+        changed = _changed_by_window(packed.filter(~listed), by).unionByName(
+            _changed_by_capture(packed.filter(listed), by)
+        )
+    return changed.select(*by, *CAPTURE, *carried, "_version.*")
+
+
+def _changed_by_window(packed: DataFrame, by: Sequence[str]) -> DataFrame:
+    order = Window.partitionBy(*by).orderBy(*CAPTURE, "_version")
     return (
-        rows.withColumn("_before", F.lag(version).over(order))
-        .filter(~F.col("_before").eqNullSafe(version))
+        packed.withColumn("_before", F.lag("_version").over(order))
+        .filter(~F.col("_before").eqNullSafe(F.col("_version")))
         .drop("_before")
     )
 
 
-def _changed_by_capture(
-    rows: DataFrame, by: Sequence[str], attributes: Sequence[str], carried: Sequence[str]
-) -> DataFrame:
+def _changed_by_capture(packed: DataFrame, by: Sequence[str]) -> DataFrame:
     """The same result without a window over the rows of a key.
 
     Copies collapse inside each task, and what is left is spread by attributes as well as by key.
@@ -141,7 +148,7 @@ def _changed_by_capture(
     version of the key's previous capture. So a window over lowest and highest per capture decides.
     """
     where = [*by, *CAPTURE]
-    versions = rows.select(*where, *carried, F.struct(*attributes).alias("_version")).distinct()
+    versions = packed.distinct()
     ends = versions.groupBy(*where).agg(
         F.min("_version").alias("_lowest"), F.max("_version").alias("_highest")
     )
@@ -151,8 +158,7 @@ def _changed_by_capture(
         .filter(F.col("_before").eqNullSafe(F.col("_lowest")))
         .select(*where, F.col("_lowest").alias("_version"))
     )
-    kept = versions.join(repeated, [*where, "_version"], "left_anti")
-    return kept.select(*where, *carried, "_version.*")
+    return versions.join(repeated, [*where, "_version"], "left_anti")
 
 
 def _capture_rows(history: DataFrame, satellite: Satellite) -> DataFrame:
@@ -178,9 +184,8 @@ def _last_versions(existing: DataFrame, satellite: Satellite) -> DataFrame:
     )
 
 
-def _after(at: Column, capture: Column, last_at: object, last_capture: str) -> Column:
-    moment = F.lit(last_at.isoformat(sep=" ")).cast("timestamp_ntz")
-    return (at > moment) | ((at == moment) & (capture > F.lit(last_capture)))
+def _hash_key(satellite: Satellite) -> Column:
+    return satellite.parent.hash(F.col("record_source"))
 
 
 def _columns(satellite: Satellite, hash_key: Column) -> list:
@@ -193,7 +198,3 @@ def _columns(satellite: Satellite, hash_key: Column) -> list:
         "snapshot_id",
         "record_source",
     ]
-
-
-def _finish(changed: DataFrame, satellite: Satellite) -> DataFrame:
-    return changed.select(*_columns(satellite, satellite.parent.hash(F.col("record_source"))))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerloom.operators.keyed import with_values
+
 AMOUNT = "decimal(18,2)"
 TOTAL = "decimal(28,2)"
 TOP_CUSTOMERS = 20
@@ -63,7 +65,7 @@ def account_transaction_summary(
 def customer_daily_transactions(transactions: DataFrame, customers: DataFrame) -> DataFrame:
     """Count and total per customer, day and currency; the name is looked up on the totals."""
     daily = (
-        transactions.dropna(subset=["customer_id", "booking_date"])
+        with_values(transactions, ["customer_id", "booking_date"])
         .groupBy("customer_id", "booking_date", "currency")
         .agg(
             F.count(F.lit(1)).alias("transaction_count"),

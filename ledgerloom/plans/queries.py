@@ -176,16 +176,25 @@ def _status_in_two_steps(bank: SampleBank) -> DataFrame:
 
 
 def _pit(bank: SampleBank, pit: PointInTime, build=build_pit) -> DataFrame:
+    return _pit_over(bank, pit, _pit_satellite(bank, pit), build)
+
+
+def _as_of(bank: SampleBank, pit: PointInTime) -> DataFrame:
+    satellite = _pit_satellite(bank, pit)
+    return as_of(_pit_over(bank, pit, satellite), satellite, LOOKUP_AT, pit)
+
+
+def _pit_satellite(bank: SampleBank, pit: PointInTime) -> DataFrame:
+    return build_satellite(bank.history(pit.satellite.table), pit.satellite)
+
+
+def _pit_over(
+    bank: SampleBank, pit: PointInTime, satellite: DataFrame, build=build_pit
+) -> DataFrame:
     table = pit.satellite.table
-    history = bank.history(table)
     return build(
         build_hub(bank.current(table), pit.hub),
-        build_satellite(history, pit.satellite),
-        capture_list(history),
+        satellite,
+        capture_list(bank.history(table)),
         pit,
     )
-
-
-def _as_of(bank: SampleBank, pit: PointInTime) -> DataFrame:
-    satellite = build_satellite(bank.history(pit.satellite.table), pit.satellite)
-    return as_of(_pit(bank, pit), satellite, LOOKUP_AT, pit)

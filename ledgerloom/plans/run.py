@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 
 from ledgerloom.operators.captures import capture_list
 from ledgerloom.operators.keyed import build_hub, build_link
 from ledgerloom.operators.point_in_time import build_pit
 from ledgerloom.operators.satellite import build_satellite, satellite_increment
-from ledgerloom.operators.specs import Link
+from ledgerloom.operators.specs import Hub, Link, Satellite, Status
 from ledgerloom.operators.status import build_status
 from ledgerloom.plans import gold
 from ledgerloom.plans.models import (
@@ -33,14 +36,16 @@ VAULT = "raw_vault"
 BUSINESS_VAULT = "business_vault"
 
 
-def load_current(warehouse: Warehouse, source: Reader, ingested_at: datetime) -> dict[str, int]:
+def load_current(
+    warehouse: Warehouse, source: Reader, ingested_at: datetime, parallel: int = 1
+) -> dict[str, int]:
     """Replace the current copy of every source table; returns rows per table."""
-    return {
-        name: warehouse.replace(
-            CURRENT, name, stamp_current(check_columns(source(name), table), ingested_at)
-        )
-        for name, table in SOURCE_TABLES.items()
-    }
+
+    def load(name: str) -> int:
+        rows = check_columns(source(name), SOURCE_TABLES[name])
+        return warehouse.replace(CURRENT, name, stamp_current(rows, ingested_at))
+
+    return _each(warehouse, {name: lambda n=name: load(n) for name in SOURCE_TABLES}, parallel)
 
 
 def load_captures(
@@ -84,34 +89,46 @@ def write_gold(warehouse: Warehouse) -> dict[str, int]:
     return written
 
 
-def write_vault(warehouse: Warehouse, newer_only: bool = False) -> dict[str, int]:
+def write_vault(
+    warehouse: Warehouse, newer_only: bool = False, parallel: int = 1
+) -> dict[str, int]:
     """Append what is new to hubs, links, satellites and the status satellite.
 
     ``newer_only`` lets satellites read only captures after their last stored one; right as long as
-    captures arrive in order.
+    captures arrive in order. No model reads another one, so up to ``parallel`` of them are written
+    at a time, and one with a long last task does not leave the cluster idle.
     """
-    written = {}
-    for name, hub in HUBS.items():
-        built = build_hub(warehouse.read(CURRENT, hub.table), hub)
-        written[name] = warehouse.append_new(VAULT, name, built, [hub.hash_key], hub.hash_key)
-    for name, link in LINKS.items():
-        built = build_link(_link_rows(warehouse, link), link)
-        written[name] = warehouse.append_new(VAULT, name, built, [link.hash_key], link.hash_key)
-    for name, satellite in SATELLITES.items():
-        history = warehouse.read(HISTORY, satellite.table)
-        fresh = satellite_increment(
-            history, warehouse.read_if_exists(VAULT, name), satellite, newer_only
-        )
-        written[name] = warehouse.append(VAULT, name, fresh)
-    status = CUSTOMER_ACCOUNT_STATUS
-    written[status.name] = warehouse.append_new(
-        VAULT,
-        status.name,
-        build_status(warehouse.read(HISTORY, status.link.table), status),
-        [status.link.hash_key, "snapshot_id"],
-        unique=False,
-    )
-    return written
+    read = warehouse.read
+
+    def hub(model: Hub) -> int:
+        built = build_hub(read(CURRENT, model.table), model)
+        return warehouse.append_new(VAULT, model.name, built, [model.hash_key], model.hash_key)
+
+    def link(model: Link) -> int:
+        space = HISTORY if model.seen_at == SNAPSHOT_AT else CURRENT
+        built = build_link(read(space, model.table), model)
+        return warehouse.append_new(VAULT, model.name, built, [model.hash_key], model.hash_key)
+
+    def satellite(model: Satellite) -> int:
+        stored = warehouse.read_if_exists(VAULT, model.name)
+        fresh = satellite_increment(read(HISTORY, model.table), stored, model, newer_only)
+        return warehouse.append(VAULT, model.name, fresh)
+
+    def status(model: Status) -> int:
+        built = build_status(read(HISTORY, model.link.table), model)
+        keys = [model.link.hash_key, "snapshot_id"]
+        return warehouse.append_new(VAULT, model.name, built, keys, unique=False)
+
+    steps = {}
+    # The longest first: satellites compare whole captures.
+    for write, models in (
+        (satellite, SATELLITES.values()),
+        (status, [CUSTOMER_ACCOUNT_STATUS]),
+        (link, LINKS.values()),
+        (hub, HUBS.values()),
+    ):
+        steps |= {model.name: lambda w=write, m=model: w(m) for model in models}
+    return _each(warehouse, steps, parallel)
 
 
 def rebuild_satellites(warehouse: Warehouse) -> dict[str, int]:
@@ -147,19 +164,25 @@ def run_all(
     run_at: datetime | None = None,
     capture_id: str | None = None,
     newer_only: bool = False,
+    parallel: int = 1,
 ) -> dict[str, dict]:
     """Run every step in order; repeating a run with its capture id adds nothing twice."""
     run_at = run_at or utc_now()
     return {
-        "current": load_current(warehouse, source, run_at),
+        "current": load_current(warehouse, source, run_at, parallel),
         "silver": write_silver(warehouse),
         "gold": write_gold(warehouse),
         "captures": load_captures(warehouse, source, capture_id or new_capture_id(), run_at),
-        "vault": write_vault(warehouse, newer_only),
+        "vault": write_vault(warehouse, newer_only, parallel),
         "business_vault": write_business_vault(warehouse),
     }
 
 
-def _link_rows(warehouse: Warehouse, link: Link) -> DataFrame:
-    space = HISTORY if link.seen_at == SNAPSHOT_AT else CURRENT
-    return warehouse.read(space, link.table)
+def _each(
+    warehouse: Warehouse, steps: Mapping[str, Callable[[], int]], parallel: int
+) -> dict[str, int]:
+    """Results of independent writes to different tables, up to ``parallel`` at a time."""
+    carried = inheritable_thread_target(warehouse.spark)
+    with ThreadPoolExecutor(parallel) as pool:
+        running = {name: pool.submit(carried(step)) for name, step in steps.items()}
+    return {name: future.result() for name, future in running.items()}

@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
+from ledgerloom.operators.keyed import with_values
+
 # Pinned: a new source column must not widen the reporting input; the destination is left to the vault.
 TRANSACTION_COLUMNS = [
     "transaction_id",
@@ -28,7 +30,7 @@ def pass_through(current: DataFrame) -> DataFrame:
 
 
 def silver_transactions(current: DataFrame) -> DataFrame:
-    return current.dropna(subset=["transaction_id"]).select(*TRANSACTION_COLUMNS)
+    return with_values(current, ["transaction_id"]).select(*TRANSACTION_COLUMNS)
 
 
 # Model name -> (source table, builder).

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ledgerloom.operators.keyed import new_rows
 from ledgerloom.sources.stamping import stamp_capture
@@ -15,7 +15,8 @@ from ledgerloom.sources.tables import SNAPSHOT_ID
 
 HISTORY = "bronze_history"
 LOAD_LOG = "load_log"
-LOAD_LOG_SCHEMA = T.StructType.fromDDL(
+CAPTURE_ID = re.compile(r"[A-Za-z0-9._:-]+")
+LOAD_LOG_COLUMNS = (
     "table_name string, snapshot_id string, snapshot_at timestamp_ntz, row_count bigint"
 )
 
@@ -127,6 +128,8 @@ class Warehouse:
         entry, rows an interrupted run may have left under the id are replaced, so an interrupted
         run can be repeated with its id. Returns None if the capture was loaded already.
         """
+        if not CAPTURE_ID.fullmatch(capture_id):
+            raise ValueError(f"capture id must consist of letters, digits and ._:-, not {capture_id!r}")
         if self._logged(table, capture_id):
             return None
         self.ensure_namespace(HISTORY)
@@ -139,13 +142,16 @@ class Warehouse:
             if self.catalog:
                 counted.writeTo(name).overwrite(F.col(SNAPSHOT_ID) == capture_id)
             else:
-                # Captures are partitions, so only the partition of this id is replaced.
-                counted.write.option("partitionOverwriteMode", "dynamic").insertInto(
-                    name, overwrite=True
+                # Naming the partition limits the replacement to it, whatever the session settings,
+                # and takes away files an interrupted write left there unregistered.
+                self.spark.sql(
+                    f"INSERT OVERWRITE TABLE {name} PARTITION ({SNAPSHOT_ID} = '{capture_id}') "
+                    "SELECT * FROM {rows}",
+                    rows=counted.drop(SNAPSHOT_ID),
                 )
             written = rows()
         entry = self.spark.createDataFrame(
-            [(table, capture_id, captured_at, written)], LOAD_LOG_SCHEMA
+            [(table, capture_id, captured_at, written)], LOAD_LOG_COLUMNS
         )
         self.append(HISTORY, LOAD_LOG, entry)
         return written

@@ -1,0 +1,150 @@
+"""Reports on hand-made tables: the cases that differ from a plain join."""
+
+from __future__ import annotations
+
+from datetime import date
+from decimal import Decimal
+
+from ledgerloom.plans.gold import (
+    account_transaction_summary,
+    customer_daily_transactions,
+    top_customers,
+)
+
+TRANSACTION = (
+    "transaction_id string, customer_id string, account_id string, gl_account_code string, "
+    "amount decimal(18,2), currency string, booking_date date"
+)
+DAY = date(2026, 9, 1)
+
+
+def frames(spark, transactions, accounts, customers=(("C1", "Ann", "Bo"),), ledger=(("1", "L"),)):
+    return (
+        spark.createDataFrame(
+            accounts, "account_id string, customer_id string, currency string"
+        ),
+        spark.createDataFrame(
+            customers, "customer_id string, first_name string, last_name string"
+        ),
+        spark.createDataFrame(
+            [(t, c, a, g, Decimal(m) if m else None, u, d) for t, c, a, g, m, u, d in transactions],
+            TRANSACTION,
+        ),
+        spark.createDataFrame(ledger, "gl_account_code string, account_name string"),
+    )
+
+
+def summary(spark, *args, **kwargs):
+    return sorted(
+        (
+            (
+                r["account_id"],
+                r["customer_name"],
+                r["gl_account_name"],
+                r["transaction_count"],
+                str(r["total_transaction_amount"]),
+            )
+            for r in account_transaction_summary(*frames(spark, *args, **kwargs)).collect()
+        ),
+        key=repr,
+    )
+
+
+def test_other_currency_does_not_count(spark):
+    found = summary(
+        spark,
+        [("T1", "C1", "A1", "1", "5.00", "USD", DAY), ("T2", "C1", "A1", "1", "7.50", "EUR", DAY)],
+        [("A1", "C1", "EUR"), ("A2", None, "EUR")],
+    )
+    assert found == [("A1", "Ann Bo", "L", 1, "7.50"), ("A2", "", None, 0, "0.00")]
+
+
+def test_unknown_and_missing_ledger_codes_stay_apart(spark):
+    found = summary(
+        spark,
+        [
+            ("T1", "C1", "A1", None, "1.00", "EUR", DAY),
+            ("T2", "C1", "A1", "9", "2.00", "EUR", DAY),
+            ("T3", "C1", "A1", "1", None, "EUR", DAY),
+        ],
+        [("A1", "C1", "EUR")],
+    )
+    assert found == [
+        ("A1", "Ann Bo", "L", 1, "0.00"),
+        ("A1", "Ann Bo", None, 1, "1.00"),
+        ("A1", "Ann Bo", None, 1, "2.00"),
+    ]
+
+
+def test_repeated_lookup_rows_multiply(spark):
+    transactions = [
+        ("T1", "C1", "A1", "1", "1.00", "EUR", DAY),
+        ("T2", "C1", "A1", "1", "2.00", "EUR", DAY),
+    ]
+    found = summary(
+        spark,
+        transactions,
+        [("A1", "C1", "EUR")],
+        customers=(("C1", "Ann", "Bo"), ("C1", "Ann", "Bo"), ("C1", "Cy", None)),
+        ledger=(("1", "L"), ("1", "L")),
+    )
+    assert found == [("A1", "Ann Bo", "L", 8, "12.00"), ("A1", "Cy", "L", 4, "6.00")]
+
+
+def test_one_account_with_very_many_transactions(spark):
+    rows = spark.range(60_000).selectExpr(
+        "cast(id as string) as transaction_id",
+        "'C1' as customer_id",
+        "case when id % 3 = 0 then 'A1' else concat('B', id) end as account_id",
+        "'1' as gl_account_code",
+        "cast(1 as decimal(18,2)) as amount",
+        "'EUR' as currency",
+        "date'2026-09-01' as booking_date",
+    )
+    accounts, customers, _, ledger = frames(spark, [], [("A1", "C1", "EUR")])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        report = account_transaction_summary(accounts, customers, rows, ledger)
+        plan = report._jdf.queryExecution().optimizedPlan().toString()
+        assert report.first()["transaction_count"] == 20_000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # Transactions are grouped below every join: of the two groupings one is under the last join.
+    assert plan.rindex("Aggregate") > plan.rindex("Join LeftOuter")
+
+
+def test_daily_report_keys(spark):
+    accounts, customers, transactions, _ = frames(
+        spark,
+        [
+            ("T1", "C1", "A1", "1", "1.00", "EUR", DAY),
+            ("T2", "C1", "A1", "1", "2.00", None, DAY),
+            ("T3", None, "A1", "1", "4.00", "EUR", DAY),
+            ("T4", "C1", "A1", "1", "8.00", "EUR", None),
+            ("T5", "C9", "A1", "1", "16.00", "EUR", DAY),
+        ],
+        [("A1", "C1", "EUR")],
+    )
+    found = customer_daily_transactions(transactions, customers)
+    assert sorted(
+        (r["customer_id"], r["customer_name"], r["currency"] or "", str(r["total_amount"]))
+        for r in found.collect()
+    ) == [
+        ("C1", "Ann Bo", "", "2.00"),
+        ("C1", "Ann Bo", "EUR", "1.00"),
+        ("C9", "", "EUR", "16.00"),
+    ]
+
+
+def test_ranks_break_ties_by_text(spark):
+    _, customers, transactions, _ = frames(
+        spark,
+        [(f"T{i}", f"C{i}", "A", "1", "5.00", "EUR", DAY) for i in range(90, 120)],
+        [("A", "C1", "EUR")],
+    )
+    top = top_customers(customer_daily_transactions(transactions, customers))
+    plan = top._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject(limit=20" in plan
+    rows = top.orderBy("customer_rank").collect()
+    assert [r["customer_rank"] for r in rows] == list(range(1, 21))
+    assert [r["customer_id"] for r in rows] == sorted(f"C{i}" for i in range(90, 120))[:20]

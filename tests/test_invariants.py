@@ -1,0 +1,85 @@
+"""What must hold in the sample bank, whatever the values."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from ledgerloom.operators.keyed import build_hub, build_link
+from ledgerloom.operators.satellite import build_satellite
+from ledgerloom.operators.status import build_status
+from ledgerloom.plans.models import (
+    CUSTOMER_ACCOUNT_STATUS,
+    HUBS,
+    LINKS,
+    SATELLITES,
+)
+from ledgerloom.sources.sample import SampleBank
+from ledgerloom.sources.tables import SNAPSHOT_AT
+
+
+@pytest.fixture(scope="module")
+def bank(spark, data):
+    return SampleBank(spark, data)
+
+
+def unique(df, *columns) -> bool:
+    return df.groupBy(*columns).count().filter("count > 1").isEmpty()
+
+
+@pytest.mark.parametrize("name", HUBS)
+def test_hub_keys(bank, name):
+    hub = HUBS[name]
+    assert unique(build_hub(bank.current(hub.table), hub), hub.hash_key)
+
+
+@pytest.mark.parametrize("name", LINKS)
+def test_link_keys(bank, name):
+    link = LINKS[name]
+    rows = bank.history if link.seen_at == SNAPSHOT_AT else bank.current
+    assert unique(build_link(rows(link.table), link), link.hash_key)
+
+
+@pytest.mark.parametrize("name", SATELLITES)
+def test_versions(bank, name):
+    satellite = SATELLITES[name]
+    built = build_satellite(bank.history(satellite.table), satellite)
+    assert unique(built, satellite.hash_key, "snapshot_id")
+    order = Window.partitionBy(satellite.hash_key).orderBy("load_dts", "snapshot_id")
+    assert (
+        built.withColumn("before", F.lag("hashdiff").over(order))
+        .filter(F.col("before") == F.col("hashdiff"))
+        .isEmpty()
+    )
+
+
+def test_amounts_belong_to_a_ledger_relationship(bank):
+    satellite, link = SATELLITES["sat_journal_posting_amount"], LINKS["link_journal_posting_gl"]
+    amounts = build_satellite(bank.history("journal_postings"), satellite)
+    links = build_link(bank.current("journal_postings"), link)
+    assert amounts.join(links, link.hash_key, "left_anti").isEmpty()
+    assert not amounts.isEmpty()
+
+
+def test_status_alternates(bank):
+    status = build_status(bank.history("accounts"), CUSTOMER_ACCOUNT_STATUS)
+    order = Window.partitionBy("customer_account_hk").orderBy("load_dts", "snapshot_id")
+    assert (
+        status.withColumn("before", F.lag("is_active").over(order))
+        .filter("before = is_active")
+        .isEmpty()
+    )
+
+
+def test_entries_balance(bank):
+    sums = bank.history("journal_postings").groupBy("_snapshot_id", "journal_entry_id").agg(
+        F.sum("debit_amount").alias("debit"), F.sum("credit_amount").alias("credit")
+    )
+    assert sums.filter("debit <> credit").isEmpty()
+
+
+def test_all_input_rows_take_part(bank, spark, data):
+    orders = spark.read.parquet(f"{data}/orders.parquet").count()
+    assert bank.history("transactions").select("transaction_id").distinct().count() == orders
+    assert bank.table("journal_postings").count() == 2 * orders

@@ -1,0 +1,29 @@
+"""Every registered query against its SQL, and what must not appear in a plan."""
+
+from __future__ import annotations
+
+import pytest
+from helpers import same
+
+import __spark_entry__ as contract
+
+QUERIES = contract.queries()
+SQL = contract.oracle_sql()
+
+
+def test_every_query_has_sql():
+    assert QUERIES.keys() == SQL.keys()
+
+
+@pytest.mark.parametrize("name", QUERIES)
+def test_result(name, spark, duck, data):
+    found = QUERIES[name](spark, data)
+    same(found, duck, SQL[name])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python"):
+        assert operator not in plan
+
+
+def test_entry(spark):
+    rows = contract.entry(spark).collect()
+    assert [row["customer_rank"] for row in rows] == list(range(1, 21))
