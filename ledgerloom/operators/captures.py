@@ -2,15 +2,43 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from dataclasses import dataclass
+from datetime import datetime
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.sources.stamping import wall_clock
 from ledgerloom.sources.tables import SNAPSHOT_AT, SNAPSHOT_ID, SOURCE_COLUMN
 
 # Ten captures a day for 27 years. A list up to this length is a few megabytes.
 LOOKUP_ROWS = 100_000
 
 
+@dataclass(frozen=True)
+class Moment:
+    """A capture as a point in the order of captures: by time, then by id."""
+
+    load_dts: datetime
+    snapshot_id: str
+
+    @property
+    def at_literal(self) -> Column:
+        return wall_clock(self.load_dts)
+
+    def before(self, at: Column, snapshot_id: Column) -> Column:
+        """Whether the given capture comes after this one; literals, so the scan can skip files."""
+        return (at > self.at_literal) | (
+            (at == self.at_literal) & (snapshot_id > F.lit(self.snapshot_id))
+        )
+
+
+def last_moment(stored: DataFrame) -> Moment | None:
+    """The last capture with a row in a stored satellite; None if it is empty."""
+    last = stored.agg(F.max(F.struct("load_dts", "snapshot_id")).alias("last")).first()["last"]
+    return None if last is None else Moment(last["load_dts"], last["snapshot_id"])
+
+
 def capture_list(history: DataFrame, per_source: bool = False) -> DataFrame:
     """Distinct captures found in a history: snapshot_id, load_dts (and record_source)."""
     source = [F.col(SOURCE_COLUMN).alias("record_source")] if per_source else []

@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.keys import change_hash, require_stable_text
+from ledgerloom.operators.captures import last_moment
 from ledgerloom.operators.keyed import identified_rows, new_rows
 from ledgerloom.operators.specs import Satellite
-from ledgerloom.sources.stamping import wall_clock
 from ledgerloom.sources.tables import SNAPSHOT_AT, SNAPSHOT_ID, SOURCE_COLUMN
 
 CAPTURE = ["load_dts", "snapshot_id"]
@@ -53,22 +53,15 @@ def satellite_increment(
     the last stored one and compares them with the last stored version per key. Its result is the
     same as long as captures arrive in order, and its cost does not grow with the history.
     """
-    last = None
-    if existing is not None and newer_only:
-        last = existing.agg(F.max(F.struct(*CAPTURE)).alias("last")).select("last.*").first()
-    if last is None or last["load_dts"] is None:
+    last = last_moment(existing) if existing is not None and newer_only else None
+    if last is None:
         built = build_satellite(history, satellite, hot_rows)
         return new_rows(built, existing, [satellite.hash_key, "snapshot_id"], unique=False)
 
-    def newer(at: str, capture: str) -> Column:
-        moment = wall_clock(last["load_dts"])
-        return (F.col(at) > moment) | (
-            (F.col(at) == moment) & (F.col(capture) > last["snapshot_id"])
-        )
-
     # Stored keys are known by their hash key only, so here the comparison is per hash key.
     by, carried = [satellite.hash_key], [satellite.label, "record_source"]
-    fresh = _capture_rows(history.filter(newer(SNAPSHOT_AT, SNAPSHOT_ID)), satellite).select(
+    newer = history.filter(last.before(F.col(SNAPSHOT_AT), F.col(SNAPSHOT_ID)))
+    fresh = _capture_rows(newer, satellite).select(
         _hash_key(satellite).alias(satellite.hash_key),
         *carried,
         *satellite.attribute_names,
@@ -81,7 +74,7 @@ def satellite_increment(
         carried,
         hot_keys(fresh, by, hot_rows),
     )
-    return changed.filter(newer("load_dts", "snapshot_id")).select(
+    return changed.filter(last.before(F.col("load_dts"), F.col("snapshot_id"))).select(
         *_columns(satellite, F.col(satellite.hash_key))
     )
 

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.captures import capture_list
-from ledgerloom.operators.keyed import identified_rows
+from ledgerloom.operators.captures import Moment, capture_list, last_moment
+from ledgerloom.operators.keyed import identified_rows, new_rows
 from ledgerloom.operators.specs import Status
-from ledgerloom.sources.tables import SNAPSHOT_ID, SOURCE_COLUMN
+from ledgerloom.sources.tables import SNAPSHOT_AT, SNAPSHOT_ID, SOURCE_COLUMN
 
 
 def build_status(
@@ -19,18 +21,65 @@ def build_status(
     Captures are numbered; the numbers at which a relationship is present form runs without gaps.
     Each run gives an active row at its start and an inactive row at the capture after its end. The
     work is linear in the rows of the history: no relationship meets a capture it is not part of,
-    except the one after a run. ``captures`` (snapshot_id, load_dts) may come from a run log which
-    also knows captures without any row; by default it is read off the history.
+    except the one after a run. ``captures`` (snapshot_id, load_dts, with record_source if compared
+    per source) may come from a run log which also knows captures without any row; by default it is
+    read off the history.
     """
-    link = status.link
-    identity = link.columns
     if captures is None:
         captures = capture_list(history, status.per_source)
-    numbered = _numbered(captures, status.per_source)
+    present = _present(history, status).join(
+        _numbered(captures, status.per_source), _matching(status)
+    )
+    changed = _changes(present, ["record_source", *status.link.columns])
+    # Hashed last: only changes need their keys.
+    return _result(changed.select(*_hashed(status), "_event"), status)
+
+
+def status_increment(
+    history: DataFrame,
+    existing: DataFrame | None,
+    status: Status,
+    newer_only: bool = False,
+) -> DataFrame:
+    """Rows to append to a stored status satellite.
+
+    By default the whole history is compared again. ``newer_only`` reads captures after the last
+    stored change and goes on from the stored state: without a change in between, a relationship is
+    still what its last row says. The result is the same as long as captures arrive in order.
+    """
+    last = last_moment(existing) if existing is not None and newer_only else None
+    if last is None:
+        built = build_status(history, status)
+        return new_rows(built, existing, [status.link.hash_key, "snapshot_id"], unique=False)
+
+    captures = _captures_from(history, existing, last, status)
+    newer = history.filter(last.before(F.col(SNAPSHOT_AT), F.col(SNAPSHOT_ID)))
+    keys = [status.link.hash_key, *[role.hash_key for role in status.link.roles]]
+    matching = _matching(status)
+    seen = _present(newer, status).select(*_hashed(status), "snapshot_id").withColumns(
+        {"_present": F.lit(True), "_stored": F.lit(False)}
+    )
+    # Stored relationships enter at the capture of the last change, in the state they are in.
+    state = (
+        existing.groupBy(*keys, "record_source")
+        .agg(F.max(F.struct("load_dts", "snapshot_id", "is_active"))["is_active"].alias("_present"))
+        .withColumns({"snapshot_id": F.lit(last.snapshot_id), "_stored": F.lit(True)})
+    )
+    rows = seen.unionByName(state).join(_numbered(captures, status.per_source), matching)
+    changed = _changes(
+        rows,
+        [status.link.hash_key, "record_source"],
+        present=F.col("_present"),
+        stored=F.col("_stored"),
+    )
+    return _result(changed, status)
+
 
-    # Copies of a relationship within a capture collapse inside each task before the exchange, so
-    # a relationship has at most one row per capture from here on.
-    present = (
+def _present(history: DataFrame, status: Status) -> DataFrame:
+    # Copies of a relationship within a capture collapse inside each task before the exchange, so a
+    # relationship has at most one row per capture from here on.
+    identity = status.link.columns
+    return (
         identified_rows(history, identity)
         .select(
             *[F.trim(F.col(column)).alias(column) for column in identity],
@@ -39,22 +88,41 @@ def build_status(
         )
         .distinct()
     )
-    matching = ["snapshot_id", "record_source"] if status.per_source else ["snapshot_id"]
-    in_order = Window.partitionBy("record_source", *identity).orderBy("_number")
-    runs = present.join(numbered, matching).withColumns(
-        {
-            "_before": F.lag("_number").over(in_order),
-            "_after": F.lead("_number").over(in_order),
-        }
-    )
-    appears = F.col("_before").isNull() | (F.col("_number") - F.col("_before") > 1)
-    disappears = F.col("_next").isNotNull() & (
-        F.col("_after").isNull() | (F.col("_after") - F.col("_number") > 1)
+
+
+def _matching(status: Status) -> list[str]:
+    return ["snapshot_id", "record_source"] if status.per_source else ["snapshot_id"]
+
+
+def _hashed(status: Status) -> list:
+    source = F.col("record_source")
+    return [
+        status.link.hash(source).alias(status.link.hash_key),
+        *status.link.role_keys(source),
+        "record_source",
+    ]
+
+
+def _changes(
+    rows: DataFrame,
+    by: Sequence[str],
+    present: Column | None = None,
+    stored: Column | None = None,
+) -> DataFrame:
+    """Rows of ``rows`` at which presence changes, once per change, as column ``_event``."""
+    present = F.lit(True) if present is None else present
+    stored = F.lit(False) if stored is None else stored
+    in_order = Window.partitionBy(*by).orderBy("_number")
+    number, before, after = F.col("_number"), F.col("_before"), F.col("_after")
+    first = ~stored & before.isNull()
+    appears = present & (first | ~F.col("_was_present") | (number - before > 1)) & ~stored
+    disappears = (
+        present & F.col("_next").isNotNull() & (after.isNull() | (after - number > 1))
     )
     # Captures of the same instant but lower id count as observations too: absent there.
-    late_start = F.col("_before").isNull() & F.col("_tied").isNotNull()
+    late_start = first & F.col("_tied").isNotNull()
 
-    def event(condition, active: bool, capture: str):
+    def event(condition: Column, active: bool, capture: str) -> Column:
         return F.when(
             condition, F.struct(F.lit(active).alias("is_active"), F.col(capture).alias("capture"))
         )
@@ -66,24 +134,46 @@ def build_status(
             event(disappears, False, "_next"),
         )
     )
-    source = F.col("record_source")
     return (
-        runs.filter(appears | disappears)
-        .select(
-            link.hash(source).alias(link.hash_key),
-            *link.role_keys(source),
-            "record_source",
-            F.explode(events).alias("_event"),
-        )
-        .select(
-            link.hash_key,
-            *[role.hash_key for role in link.roles],
-            "_event.is_active",
-            "_event.capture.load_dts",
-            "_event.capture.snapshot_id",
-            "record_source",
+        rows.withColumns(
+            {
+                "_before": F.lag("_number").over(in_order),
+                "_was_present": F.lag(present).over(in_order),
+                "_after": F.lead("_number").over(in_order),
+            }
         )
+        .filter(appears | disappears)
+        .withColumn("_event", F.explode(events))
+    )
+
+
+def _result(changed: DataFrame, status: Status) -> DataFrame:
+    return changed.select(
+        status.link.hash_key,
+        *[role.hash_key for role in status.link.roles],
+        "_event.is_active",
+        "_event.capture.load_dts",
+        "_event.capture.snapshot_id",
+        "record_source",
+    )
+
+
+def _captures_from(
+    history: DataFrame, existing: DataFrame, last: Moment, status: Status
+) -> DataFrame:
+    """Captures from the instant of the last stored change on, that change's capture included."""
+    found = capture_list(
+        history.filter(F.col(SNAPSHOT_AT) >= last.at_literal), status.per_source
+    )
+    sources = existing.select("record_source").distinct() if status.per_source else (
+        existing.limit(1).select()
+    )
+    start = sources.select(
+        F.lit(last.snapshot_id).alias("snapshot_id"),
+        last.at_literal.alias("load_dts"),
+        *(["record_source"] if status.per_source else []),
     )
+    return found.unionByName(start).distinct()
 
 
 def _numbered(captures: DataFrame, per_source: bool) -> DataFrame:

@@ -10,11 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.operators.captures import capture_list
-from ledgerloom.operators.keyed import build_hub, build_link, new_rows
+from ledgerloom.operators.keyed import build_hub, build_link, link_increment, new_rows
 from ledgerloom.operators.point_in_time import as_of, build_pit, build_pit_pruned
 from ledgerloom.operators.satellite import build_satellite, satellite_increment
 from ledgerloom.operators.specs import Hub, Link, PointInTime, Satellite
-from ledgerloom.operators.status import build_status
+from ledgerloom.operators.status import build_status, status_increment
 from ledgerloom.plans import gold
 from ledgerloom.plans.models import (
     CUSTOMER_ACCOUNT_STATUS,
@@ -64,6 +64,7 @@ def all_queries() -> dict[str, Query]:
         )
     found["sts_customer_account"] = lambda bank: _status(bank, bank.history("accounts"))
     found["sts_customer_account_incremental"] = _status_in_two_steps
+    found["sts_customer_account_newer_captures"] = lambda bank: _status_in_two_steps(bank, True)
     for name, pit in POINTS_IN_TIME.items():
         found[name] = lambda bank, p=pit: _pit(bank, p)
         found[f"{name}_range_form"] = lambda bank, p=pit: _pit(bank, p, build_pit_pruned)
@@ -152,8 +153,7 @@ def _link_rows(bank: SampleBank, link: Link, earlier: bool = False) -> DataFrame
 
 def _link_in_two_steps(bank: SampleBank, link: Link) -> DataFrame:
     stored = build_link(_link_rows(bank, link, earlier=True), link)
-    built = build_link(_link_rows(bank, link), link)
-    return stored.unionByName(new_rows(built, stored, [link.hash_key]))
+    return stored.unionByName(link_increment(_link_rows(bank, link), stored, link))
 
 
 def _satellite_in_two_steps(
@@ -168,11 +168,12 @@ def _status(bank: SampleBank, history: DataFrame) -> DataFrame:
     return build_status(history, CUSTOMER_ACCOUNT_STATUS)
 
 
-def _status_in_two_steps(bank: SampleBank) -> DataFrame:
+def _status_in_two_steps(bank: SampleBank, newer_only: bool = False) -> DataFrame:
     stored = _status(bank, bank.history("accounts", last=STORED_CAPTURES))
-    built = _status(bank, bank.history("accounts"))
-    keys = [CUSTOMER_ACCOUNT_STATUS.link.hash_key, "snapshot_id"]
-    return stored.unionByName(new_rows(built, stored, keys, unique=False))
+    history = bank.history("accounts")
+    return stored.unionByName(
+        status_increment(history, stored, CUSTOMER_ACCOUNT_STATUS, newer_only)
+    )
 
 
 def _pit(bank: SampleBank, pit: PointInTime, build=build_pit) -> DataFrame:

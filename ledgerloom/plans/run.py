@@ -5,16 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
+from functools import partial
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 
 from ledgerloom.operators.captures import capture_list
-from ledgerloom.operators.keyed import build_hub, build_link
+from ledgerloom.operators.keyed import build_hub, link_increment
 from ledgerloom.operators.point_in_time import build_pit
 from ledgerloom.operators.satellite import build_satellite, satellite_increment
 from ledgerloom.operators.specs import Hub, Link, Satellite, Status
-from ledgerloom.operators.status import build_status
+from ledgerloom.operators.status import status_increment
 from ledgerloom.plans import gold
 from ledgerloom.plans.models import (
     CUSTOMER_ACCOUNT_STATUS,
@@ -94,30 +95,32 @@ def write_vault(
 ) -> dict[str, int]:
     """Append what is new to hubs, links, satellites and the status satellite.
 
-    ``newer_only`` lets satellites read only captures after their last stored one; right as long as
-    captures arrive in order. No model reads another one, so up to ``parallel`` of them are written
-    at a time, and one with a long last task does not leave the cluster idle.
+    ``newer_only`` lets models over the captures read only those after their last stored row, which
+    is right as long as captures arrive in order. No model reads another one, so up to ``parallel``
+    of them are written at a time, and one with a long last task does not leave the cluster idle.
     """
     read = warehouse.read
+    stored = partial(warehouse.read_if_exists, VAULT)
 
     def hub(model: Hub) -> int:
         built = build_hub(read(CURRENT, model.table), model)
         return warehouse.append_new(VAULT, model.name, built, [model.hash_key], model.hash_key)
 
     def link(model: Link) -> int:
-        space = HISTORY if model.seen_at == SNAPSHOT_AT else CURRENT
-        built = build_link(read(space, model.table), model)
-        return warehouse.append_new(VAULT, model.name, built, [model.hash_key], model.hash_key)
+        captured = model.seen_at == SNAPSHOT_AT
+        rows = read(HISTORY if captured else CURRENT, model.table)
+        fresh = link_increment(rows, stored(model.name), model, newer_only and captured)
+        return warehouse.append(VAULT, model.name, fresh, model.hash_key)
 
     def satellite(model: Satellite) -> int:
-        stored = warehouse.read_if_exists(VAULT, model.name)
-        fresh = satellite_increment(read(HISTORY, model.table), stored, model, newer_only)
+        history = read(HISTORY, model.table)
+        fresh = satellite_increment(history, stored(model.name), model, newer_only)
         return warehouse.append(VAULT, model.name, fresh)
 
     def status(model: Status) -> int:
-        built = build_status(read(HISTORY, model.link.table), model)
-        keys = [model.link.hash_key, "snapshot_id"]
-        return warehouse.append_new(VAULT, model.name, built, keys, unique=False)
+        history = read(HISTORY, model.link.table)
+        fresh = status_increment(history, stored(model.name), model, newer_only)
+        return warehouse.append(VAULT, model.name, fresh)
 
     steps = {}
     # The longest first: satellites compare whole captures.
@@ -163,11 +166,18 @@ def run_all(
     source: Reader,
     run_at: datetime | None = None,
     capture_id: str | None = None,
-    newer_only: bool = False,
+    newer_only: bool | None = None,
     parallel: int = 1,
 ) -> dict[str, dict]:
-    """Run every step in order; repeating a run with its capture id adds nothing twice."""
+    """Run every step in order; repeating a run with its capture id and time adds nothing twice.
+
+    ``newer_only`` None decides by the load log: a capture later than every logged one needs only
+    the newer captures compared, so the cost of a run does not grow with the history. Any other,
+    late or repeated, is compared with the whole history. A run that failed is to be repeated.
+    """
     run_at = run_at or utc_now()
+    if newer_only is None:
+        newer_only = warehouse.is_latest(run_at)
     return {
         "current": load_current(warehouse, source, run_at, parallel),
         "silver": write_silver(warehouse),

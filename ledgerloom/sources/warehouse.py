@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.operators.keyed import new_rows
-from ledgerloom.sources.stamping import stamp_capture
+from ledgerloom.sources.stamping import stamp_capture, wall_clock
 from ledgerloom.sources.tables import SNAPSHOT_ID
 
 HISTORY = "bronze_history"
@@ -156,6 +156,13 @@ class Warehouse:
         self.append(HISTORY, LOAD_LOG, entry)
         return written
 
+    def is_latest(self, captured_at: datetime) -> bool:
+        """Whether a capture at this time comes after every logged one."""
+        log = self.read_if_exists(HISTORY, LOAD_LOG)
+        if log is None:
+            return True
+        return log.filter(F.col("snapshot_at") >= wall_clock(captured_at)).isEmpty()
+
     def load_log(self) -> DataFrame:
         return self.read(HISTORY, LOAD_LOG)
 

@@ -494,6 +494,7 @@ def all_sql() -> dict[str, str]:
         found["sts_customer_account"],
         ["customer_account_hk", "snapshot_id"],
     )
+    found["sts_customer_account_newer_captures"] = found["sts_customer_account_incremental"]
     for name, (table, hub_name, satellite_name, _) in PITS.items():
         rows = pit(name, found[hub_name], found[satellite_name], runs_of(history(table)))
         found[name] = rows

@@ -18,10 +18,10 @@ DATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = local_session(
-        4,
+        8,
         "tests",
         spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")),
-        spark__sql__shuffle__partitions="4",
+        spark__sql__shuffle__partitions="2",
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

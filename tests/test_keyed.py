@@ -2,9 +2,10 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from helpers import bag
+import pytest
+from helpers import account_history, bag, random_accounts
 
-from ledgerloom.operators.keyed import build_hub, build_link, new_rows
+from ledgerloom.operators.keyed import build_hub, build_link, link_increment, new_rows
 from ledgerloom.plans.models import ACCOUNT, LINKS
 
 T1, T2 = datetime(2026, 1, 1), datetime(2026, 1, 2)
@@ -43,6 +44,22 @@ def test_null_key_in_target_does_not_block(spark):
     assert new_rows(built, broken, ["account_hk"]).count() == 1
 
 
+@pytest.mark.parametrize("newer_only", [False, True])
+def test_ownership_in_two_runs(spark, newer_only):
+    history = account_history(spark, random_accounts(4))
+    link = LINKS["link_customer_account"]
+    names = [
+        name
+        for _, name in sorted({(r["_snapshot_at"], r["_snapshot_id"]) for r in history.collect()})
+    ]
+    for split in (1, 3):
+        early = history.filter(history["_snapshot_id"].isin(names[:split]))
+        stored = build_link(early, link)
+        added = link_increment(history, stored, link, newer_only)
+        assert bag(stored.unionByName(added)) == bag(build_link(history, link))
+    assert link_increment(history, build_link(history, link), link, newer_only).isEmpty()
+
+
 def test_blank_destination_is_no_relationship(spark):
     rows = [("T1", "A1"), ("T2", ""), ("T3", "  "), ("T4", None), ("T5", " A1 ")]
     current = spark.createDataFrame(

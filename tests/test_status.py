@@ -1,10 +1,10 @@
 from __future__ import annotations
 
 import pytest
-from helpers import account, account_history, load_duck, random_accounts, same
+from helpers import account, account_history, bag, load_duck, random_accounts, same
 
 from ledgerloom.operators.specs import Status
-from ledgerloom.operators.status import build_status
+from ledgerloom.operators.status import build_status, status_increment
 from ledgerloom.plans.models import CUSTOMER_ACCOUNT, CUSTOMER_ACCOUNT_STATUS
 from oracle import sql
 
@@ -22,6 +22,45 @@ def test_random_history(spark, duck, seed):
     same(build_status(history, CUSTOMER_ACCOUNT_STATUS), duck, sql.status(source))
 
 
+@pytest.mark.parametrize("newer_only", [False, True])
+@pytest.mark.parametrize("seed", range(4))
+def test_two_runs_equal_one(spark, seed, newer_only):
+    history = account_history(spark, random_accounts(seed, crowded=seed % 2 == 0))
+    captures = sorted({(r["_snapshot_at"], r["_snapshot_id"]) for r in history.collect()})
+    names = [name for _, name in captures]
+    for status in (CUSTOMER_ACCOUNT_STATUS, Status("sts", CUSTOMER_ACCOUNT, per_source=True)):
+        whole = bag(build_status(history, status))
+        for split in (1, 4):
+            early = history.filter(history["_snapshot_id"].isin(names[:split]))
+            stored = build_status(early, status)
+            added = status_increment(history, stored, status, newer_only)
+            after = stored.unionByName(added)
+            if captures[split - 1][0] != captures[split][0]:
+                assert bag(after) == whole
+            assert status_increment(history, after, status, newer_only).isEmpty()
+
+
+@pytest.mark.parametrize("newer_only", [False, True])
+def test_split_within_one_instant(spark, newer_only):
+    """A capture of the same instant as stored ones: a new relationship was absent in those."""
+    stored_rows = [account("A0", "s0", 0), account("A0", "s1", 1), account("A1", "s2", 1)]
+    early = account_history(spark, stored_rows)
+    stored = build_status(early, CUSTOMER_ACCOUNT_STATUS)
+    history = early.unionByName(account_history(spark, [account("A2", "s3", 1)]))
+    after = stored.unionByName(
+        status_increment(history, stored, CUSTOMER_ACCOUNT_STATUS, newer_only)
+    )
+    assert bag(after) == bag(build_status(history, CUSTOMER_ACCOUNT_STATUS))
+
+
+def test_first_run_of_newer_only(spark):
+    history = account_history(spark, random_accounts(3))
+    whole = bag(build_status(history, CUSTOMER_ACCOUNT_STATUS))
+    assert bag(status_increment(history, None, CUSTOMER_ACCOUNT_STATUS, True)) == whole
+    nothing = build_status(account_history(spark, []), CUSTOMER_ACCOUNT_STATUS)
+    assert bag(status_increment(history, nothing, CUSTOMER_ACCOUNT_STATUS, True)) == whole
+
+
 def test_gone_and_back(spark):
     other = [account("A2", f"s{i}", i) for i in range(5)]
     rows = [account("A1", "s0", 0), account("A1", "s3", 3)] + other
