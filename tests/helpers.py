@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 from datetime import date, datetime, timedelta
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
 ACCOUNT_HISTORY = (
@@ -44,7 +45,12 @@ def account(key, capture, at, owner="C1", status="ACTIVE", iban="DE1", source="c
 
 
 def account_history(spark, rows) -> DataFrame:
-    return spark.createDataFrame(rows, ACCOUNT_HISTORY)
+    """Made rows as a local relation, so that reading them needs no Python worker."""
+    kinds = [pa.string()] * 5 + [pa.date32()] + [pa.string()] * 2 + [pa.timestamp("us")]
+    names = [column.split()[0] for column in ACCOUNT_HISTORY.split(", ")]
+    columns = list(zip(*rows)) or [()] * len(names)
+    arrays = [pa.array(column, kind) for column, kind in zip(columns, kinds)]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, names), ACCOUNT_HISTORY)
 
 
 def random_accounts(seed: int, keys: int = 40, captures: int = 7, crowded: bool = False):
@@ -73,6 +79,11 @@ def random_accounts(seed: int, keys: int = 40, captures: int = 7, crowded: bool
     return rows
 
 
+def kept(df: DataFrame) -> DataFrame:
+    """The rows of ``df`` as they would be read back from a table."""
+    return df.sparkSession.createDataFrame(df.toArrow(), df.schema)
+
+
 def load_duck(duck, name: str, df: DataFrame) -> str:
     """Make rows available to DuckDB; returns SQL that reads them."""
     duck.register(f"{name}_arrow", df.toArrow())

@@ -3,7 +3,7 @@ from __future__ import annotations
 from datetime import datetime
 
 import pytest
-from helpers import account_history, bag, random_accounts
+from helpers import account_history, bag, kept, random_accounts
 
 from ledgerloom.operators.keyed import build_hub, build_link, link_increment, new_rows
 from ledgerloom.plans.models import ACCOUNT, LINKS
@@ -54,7 +54,7 @@ def test_ownership_in_two_runs(spark, newer_only):
     ]
     for split in (1, 3):
         early = history.filter(history["_snapshot_id"].isin(names[:split]))
-        stored = build_link(early, link)
+        stored = kept(build_link(early, link))
         added = link_increment(history, stored, link, newer_only)
         assert bag(stored.unionByName(added)) == bag(build_link(history, link))
     assert link_increment(history, build_link(history, link), link, newer_only).isEmpty()

