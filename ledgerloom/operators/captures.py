@@ -35,7 +35,8 @@ class Moment:
 
 def last_moment(stored: DataFrame) -> Moment | None:
     """The last capture with a row in a stored satellite; None if it is empty."""
-    last = stored.agg(F.max(F.struct("load_dts", "snapshot_id")).alias("last")).first()["last"]
+    at = F.col("load_dts").cast("timestamp_ntz").alias("load_dts")
+    last = stored.agg(F.max(F.struct(at, "snapshot_id")).alias("last")).first()["last"]
     return None if last is None else Moment(last["load_dts"], last["snapshot_id"])
 
 

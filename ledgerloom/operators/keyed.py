@@ -73,7 +73,8 @@ def link_increment(
     order; those of that very time are left out by the anti join.
     """
     if existing is not None and newer_only:
-        last = existing.agg(F.max("load_dts").alias("last")).first()["last"]
+        latest = F.max(F.col("load_dts").cast("timestamp_ntz")).alias("last")
+        last = existing.agg(latest).first()["last"]
         if last is not None:
             rows = rows.filter(F.col(link.seen_at) >= wall_clock(last))
     return new_rows(build_link(rows, link), existing, [link.hash_key])

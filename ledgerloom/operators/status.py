@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.captures import Moment, capture_list, last_moment
+from ledgerloom.operators.captures import Moment, as_lookup, capture_list, last_moment
 from ledgerloom.operators.keyed import identified_rows, new_rows
 from ledgerloom.operators.specs import Status
 from ledgerloom.sources.tables import SNAPSHOT_AT, SNAPSHOT_ID, SOURCE_COLUMN
@@ -173,7 +173,7 @@ def _captures_from(
         last.at_literal.alias("load_dts"),
         *(["record_source"] if status.per_source else []),
     )
-    return found.unionByName(start).distinct()
+    return as_lookup(found.unionByName(start).distinct())
 
 
 def _numbered(captures: DataFrame, per_source: bool) -> DataFrame:

@@ -31,7 +31,7 @@ from ledgerloom.sources.tables import SNAPSHOT_AT, SOURCE_TABLES, check_columns
 from ledgerloom.sources.warehouse import HISTORY, Warehouse
 
 CURRENT = "bronze"
-SILVER_SPACE = "silver"
+SILVER_SPACE = None  # current-state models name no namespace and go to the default one
 GOLD_SPACE = "gold"
 VAULT = "raw_vault"
 BUSINESS_VAULT = "business_vault"

@@ -24,6 +24,8 @@ LOAD_LOG_COLUMNS = (
 class Warehouse:
     """Tables in namespaces of one catalog.
 
+    A model that names a namespace goes there, one that names none to ``default_namespace``.
+
     ``catalog`` None means the session catalog, whose file tables are written with ``saveAsTable``;
     any other catalog is written through ``writeTo``, which makes replacing a table atomic where the
     table format supports it. ``buckets`` stores hubs and links bucketed by hash key: their keys are
@@ -37,30 +39,34 @@ class Warehouse:
         table_format: str = "parquet",
         catalog: str | None = None,
         buckets: int | None = None,
+        default_namespace: str = "silver",
     ) -> None:
         self.spark = spark
         self.table_format = table_format
         self.catalog = catalog
         self.buckets = None if catalog else buckets
+        self.default_namespace = default_namespace
+
+    def namespace(self, named: str | None) -> str:
+        space = self.default_namespace if named is None else named.strip()
+        return f"{self.catalog}.{space}" if self.catalog else space
 
-    def name(self, namespace: str, table: str) -> str:
-        parts = [self.catalog, namespace, table] if self.catalog else [namespace, table]
-        return ".".join(parts)
+    def name(self, namespace: str | None, table: str) -> str:
+        return f"{self.namespace(namespace)}.{table}"
 
-    def ensure_namespace(self, namespace: str) -> None:
-        target = f"{self.catalog}.{namespace}" if self.catalog else namespace
-        self.spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {target}")
+    def ensure_namespace(self, namespace: str | None) -> None:
+        self.spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {self.namespace(namespace)}")
 
-    def exists(self, namespace: str, table: str) -> bool:
+    def exists(self, namespace: str | None, table: str) -> bool:
         return self.spark.catalog.tableExists(self.name(namespace, table))
 
-    def read(self, namespace: str, table: str) -> DataFrame:
+    def read(self, namespace: str | None, table: str) -> DataFrame:
         return self.spark.table(self.name(namespace, table))
 
-    def read_if_exists(self, namespace: str, table: str) -> DataFrame | None:
+    def read_if_exists(self, namespace: str | None, table: str) -> DataFrame | None:
         return self.read(namespace, table) if self.exists(namespace, table) else None
 
-    def replace(self, namespace: str, table: str, df: DataFrame) -> int:
+    def replace(self, namespace: str | None, table: str, df: DataFrame) -> int:
         """Create or replace a table; returns the rows written, counted during the write."""
         self.ensure_namespace(namespace)
         name = self.name(namespace, table)
@@ -73,7 +79,7 @@ class Warehouse:
 
     def append(
         self,
-        namespace: str,
+        namespace: str | None,
         table: str,
         df: DataFrame,
         bucket_key: str | None = None,
@@ -108,7 +114,7 @@ class Warehouse:
 
     def append_new(
         self,
-        namespace: str,
+        namespace: str | None,
         table: str,
         built: DataFrame,
         keys: Sequence[str],
