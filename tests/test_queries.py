@@ -6,13 +6,17 @@ import pytest
 from helpers import same
 
 import __spark_entry__ as contract
+from ledgerloom.plans.queries import all_queries
+from oracle.sql import all_sql
 
-QUERIES = contract.queries()
-SQL = contract.oracle_sql()
+QUERIES = all_queries()
+SQL = all_sql()
 
 
 def test_every_query_has_sql():
     assert QUERIES.keys() == SQL.keys()
+    assert QUERIES.keys() <= contract.queries().keys()
+    assert contract.oracle_sql().keys() <= contract.queries().keys()
 
 
 @pytest.mark.parametrize("name", QUERIES)
