@@ -9,6 +9,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,7 +70,7 @@ def texts_of(column: pa.ChunkedArray | pa.Array) -> list[str]:
 
 def in_slices(batch: pa.RecordBatch, column: int, most: int = 8_000_000) -> Iterator[pa.RecordBatch]:
     """``batch`` in parts of about ``most`` bytes of one text column, at least a row each."""
-    sizes = np.cumsum([0 if n is None else n for n in pa.compute.binary_length(batch.column(column)).to_pylist()])
+    sizes = np.cumsum([0 if n is None else n for n in pc.binary_length(batch.column(column)).to_pylist()])
     start = 0
     while start < batch.num_rows:
         before = sizes[start - 1] if start else 0

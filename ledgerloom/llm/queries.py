@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import simhash
+import public_tokenizers
+
+from ledgerloom.llm import bpe, packing, simhash, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,8 +24,42 @@ def simhash_near_duplicates(spark: SparkSession, directory: str) -> DataFrame:
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def token_id_files(spark: SparkSession, directory: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    files = token_files.write(_table(spark, directory, "documents"), tokenizer, end_id=2)
+    folder = files.select("folder").first()
+    if folder is None:
+        return spark.createDataFrame([], "doc_id long, start long, n_tokens long, ids_crc32 long")
+    starts = files.select(F.col("file").alias("of_file"), "start")
+    found = token_files.read(spark, folder["folder"]).select(
+        "file", "doc_id", "offset", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32")
+    )
+    return found.join(starts, F.col("file") == F.col("of_file")).select(
+        "doc_id", (F.col("start") + F.col("offset")).alias("start"), "n_tokens", "ids_crc32"
+    )
+
+
+def best_fit_packing(spark: SparkSession, directory: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    return packing.pack(packing.pieces(_table(spark, directory, "documents"), tokenizer, end_id=1))
+
+
+def byte_level_bpe(spark: SparkSession, directory: str) -> DataFrame:
+    ranks, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    encoded = bpe.encode(_table(spark, directory, "documents"), ranks, pattern)
+    return bpe.decode(encoded, ranks, pattern).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_simhash_near_duplicates": simhash_near_duplicates,
+    "op4_token_id_files": token_id_files,
+    "op5_best_fit_packing": best_fit_packing,
+    "op7_byte_level_bpe": byte_level_bpe,
 }
 
 SQL: dict[str, str] = {}

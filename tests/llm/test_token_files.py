@@ -1,0 +1,81 @@
+from __future__ import annotations
+
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from cases import empty_documents, odd_documents, rows_of
+from tokenizers import Tokenizer
+
+from ledgerloom.llm import token_files
+from ledgerloom.llm.queries import QUERIES
+
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+
+
+def plain_ids(text):
+    tokenizer = Tokenizer.from_file(PATH)
+    tokenizer.encode_special_tokens = True
+    return tokenizer.encode(text or "", add_special_tokens=False).ids + [2]
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_words_round_trip(seed):
+    rng = np.random.default_rng(seed)
+    bits = rng.integers(0, [3, 17, 64, 65, 8, 62][seed], size=[0, 30_000, 9_000, 5_000, 4_096, 4_097][seed])
+    ids = np.array([int(rng.integers(0, 2**63)) % max(1, 2 ** int(b)) * (2 if b == 64 else 1) for b in bits], np.uint64)
+    words, offsets = token_files.pack_ids(ids)
+    assert np.array_equal(token_files.unpack_ids(words, offsets, len(ids)), ids)
+    for block in range(len(offsets) - 1):
+        own = words[int(offsets[block]) : int(offsets[block + 1])]
+        part = ids[block * token_files.BLOCK : (block + 1) * token_files.BLOCK]
+        alone = token_files.unpack_ids(own, np.array([0, len(own)], np.uint64), len(part))
+        assert np.array_equal(alone, part)
+
+
+def test_packs_small_ids_densely():
+    words, _ = token_files.pack_ids(np.zeros(4_096, np.uint64))
+    assert len(words) == -(-4_096 // 60)
+    words, _ = token_files.pack_ids(np.full(3_000, 50_000, np.uint64))
+    assert len(words) == 1_000
+
+
+def test_damage_is_found():
+    content = b"".join(token_files.file_parts([1], np.array([3]), np.array([5, 6, 7], np.uint64)))
+    token_files.parse_file(content)
+    with pytest.raises(ValueError):
+        token_files.parse_file(content[:-8] + b"x" + content[-7:])
+
+
+def test_files_in_order(spark):
+    frame = odd_documents(spark)
+    files = token_files.write(frame, PATH, 2, file_ids=5_000)
+    folder = files.first()["folder"]
+    assert files.count() > 2
+    starts = {r["file"]: r["start"] for r in files.collect()}
+    found = sorted(
+        ((starts[r["file"]] + r["offset"], r["doc_id"], np.frombuffer(r["ids"], "<u4").tolist())
+         for r in token_files.read(spark, folder).collect()),
+        key=lambda row: row[0],
+    )
+    assert sorted((row[1:] for row in found), key=repr) == sorted(
+        ((r["doc_id"], plain_ids(r["text"])) for r in frame.collect()), key=repr
+    )
+    ids = [i for _, i, _ in found]
+    assert ids == sorted(ids, key=lambda i: (i is not None, i))
+    at = 0
+    for start, _, tokens in found:
+        assert start == at
+        at += len(tokens)
+    assert token_files.write(empty_documents(spark), PATH, 2).count() == 0
+
+
+def test_query(spark, data):
+    found = QUERIES["op4_token_id_files"](spark, data).select("doc_id", "start", "n_tokens", "ids_crc32")
+    rows, at = [], 0
+    for row in spark.read.parquet(f"{data}/documents.parquet").orderBy("doc_id").collect():
+        ids = plain_ids(row["text"])
+        rows.append((row["doc_id"], at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        at += len(ids)
+    assert rows_of(found) == sorted(rows, key=repr)
