@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from ledgerloom.llm import bpe, packing, simhash, token_files
+from ledgerloom.llm import bpe, packing, pii, simhash, token_files, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -55,11 +55,34 @@ def byte_level_bpe(spark: SparkSession, directory: str) -> DataFrame:
     )
 
 
+def toxicity_scores(spark: SparkSession, directory: str) -> DataFrame:
+    documents = _table(spark, directory, "documents")
+    model = toxicity.fit(documents, _table(spark, directory, "labels"))
+    return toxicity.scored(documents.select("doc_id", "text"), model).select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted"
+    )
+
+
+def personal_data(spark: SparkSession, directory: str) -> DataFrame:
+    documents = _table(spark, directory, "documents").select("doc_id", "text")
+    found = pii.find(documents, pii.fit(documents)).select("doc_id", "spans")
+    base = F.filter("spans", lambda span: span["base"])
+    number = {kind: F.size(F.filter(base, lambda span: span["kind"] == kind)) for kind in pii.KINDS}
+    return found.select(
+        "doc_id",
+        *[count.cast("long").alias(f"n_{kind}") for kind, count in number.items()],
+        F.sha2(pii.written(base), 256).alias("base_sha256"),
+        pii.written(F.col("spans")).alias("spans"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_simhash_near_duplicates": simhash_near_duplicates,
     "op4_token_id_files": token_id_files,
     "op5_best_fit_packing": best_fit_packing,
     "op7_byte_level_bpe": byte_level_bpe,
+    "op8_personal_data": personal_data,
+    "op10_toxicity": toxicity_scores,
 }
 
 SQL: dict[str, str] = {}
