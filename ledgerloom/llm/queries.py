@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from ledgerloom.llm import bpe, packing, pii, simhash, token_files, toxicity
+from ledgerloom.llm import bpe, knn, license, packing, pii, simhash, token_files, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,6 +24,12 @@ def simhash_near_duplicates(spark: SparkSession, directory: str) -> DataFrame:
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def exact_top_k(spark: SparkSession, directory: str) -> DataFrame:
+    embeddings = _table(spark, directory, "embeddings")
+    vectors = embeddings.select("vec_id", knn.quantised(F.col("embedding")).alias("vector"))
+    return knn.nearest(vectors, F.col("vec_id") % 50 == 0)
+
+
 def token_id_files(spark: SparkSession, directory: str) -> DataFrame:
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
     files = token_files.write(_table(spark, directory, "documents"), tokenizer, end_id=2)
@@ -76,13 +82,75 @@ def personal_data(spark: SparkSession, directory: str) -> DataFrame:
     )
 
 
+def warc_archives(spark: SparkSession, directory: str) -> DataFrame:
+    folder = warc.write(_table(spark, directory, "pages")).select("folder").first()
+    if folder is None:
+        kinds = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
+        return spark.createDataFrame([], kinds)
+    return warc.read(spark, folder["folder"]).select(
+        "page_id",
+        F.coalesce(F.length("payload").cast("long"), "http_length").alias("payload_bytes"),
+        F.coalesce(F.sha1("payload"), "digest").alias("payload_digest"),
+        "record_type",
+        "refers_to",
+    )
+
+
+def license_scans(spark: SparkSession, directory: str) -> DataFrame:
+    found = license.scan(_table(spark, directory, "documents").select("doc_id", "text"))
+    starts = F.transform("base", lambda place: place["start"].cast("long"))
+    base = F.array_distinct(F.transform("base", lambda place: place["label"]))
+    others = F.transform("detections", lambda span: span["label"])
+    return found.select(
+        "doc_id",
+        F.col("n_words").cast("long").alias("n_words"),
+        F.size("base").cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        F.array_join(F.array_sort(base), ",").alias("base_labels"),
+        F.array_join(F.array_sort(F.array_union(base, others)), ",").alias("labels"),
+        license.certainty(F.col("detections")).alias("score"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_simhash_near_duplicates": simhash_near_duplicates,
+    "op2_exact_top_k": exact_top_k,
     "op4_token_id_files": token_id_files,
     "op5_best_fit_packing": best_fit_packing,
+    "op6_warc_archives": warc_archives,
     "op7_byte_level_bpe": byte_level_bpe,
     "op8_personal_data": personal_data,
+    "op9_license_scans": license_scans,
     "op10_toxicity": toxicity_scores,
 }
 
-SQL: dict[str, str] = {}
+# Where SQL cannot say it, the tests compare with brute force.
+SQL: dict[str, str] = {
+    "op2_exact_top_k": """
+        with usable as (
+            select vec_id, list_transform(embedding, lambda x: floor(256 * cast(x as double))) as v
+            from embeddings
+            where embedding is not null and vec_id is not null
+                and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+        ),
+        scored as (
+            select q.vec_id as query_id, r.vec_id, cast(list_dot_product(q.v, r.v) as bigint) as score
+            from usable q join usable r on q.vec_id % 50 = 0 and q.vec_id <> r.vec_id
+        ),
+        ranked as (
+            select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank
+            from scored
+        )
+        select query_id, rank, vec_id, score from ranked where rank <= 5
+    """,
+    "op6_warc_archives": """
+        with payloads as (select page_id, coalesce(html, '') as payload from pages),
+        sized as (select *, cast(octet_length(encode(payload)) as bigint) as payload_bytes from payloads),
+        held as (select *, max(page_id) over (partition by payload) as holder from sized)
+        select page_id, payload_bytes, sha1(payload) as payload_digest,
+            case when payload_bytes >= 1000 and page_id <> holder then 'revisit' else 'response' end as record_type,
+            case when payload_bytes >= 1000 and page_id <> holder then holder end as refers_to
+        from held
+    """,
+}

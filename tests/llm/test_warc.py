@@ -1,0 +1,102 @@
+from __future__ import annotations
+
+import hashlib
+import random
+from collections import defaultdict
+
+import pytest
+from cases import rows_of
+from pyspark.sql import functions as F
+
+from ledgerloom.llm import warc
+from ledgerloom.llm.common import write_whole
+from ledgerloom.llm.queries import QUERIES
+
+PAGES = "page_id long, url string, html string"
+
+
+def expected(rows):
+    """By brute force, for distinct ids."""
+    groups = defaultdict(list)
+    for page_id, html in rows:
+        if len((html or "").encode()) >= 1_000:
+            groups[html].append(page_id)
+    out = []
+    for page_id, html in rows:
+        payload = (html or "").encode()
+        ids = [i for i in groups.get(html, []) if i is not None]
+        holder = max(ids) if len(payload) >= 1_000 and ids else page_id
+        revisit = holder != page_id
+        out.append((page_id, len(payload), hashlib.sha1(payload).hexdigest(), "revisit" if revisit else "response", holder if revisit else None))
+    return sorted(out, key=repr)
+
+
+def digests(records):
+    return rows_of(
+        records.select(
+            "page_id",
+            F.coalesce(F.length("payload").cast("long"), "http_length"),
+            F.coalesce(F.sha1("payload"), "digest"),
+            "record_type",
+            "refers_to",
+        )
+    )
+
+
+def odd_pages():
+    fake = "WARC/1.1\r\nContent-Length: 3\r\n\r\nabc\r\n\r\nWARC/1.0\r\nContent-Length: 999999\r\n\r\n"
+    long = "x" * 1_000
+    nested = warc.record("u", 77, b"<p>inner</p>", hashlib.sha1(b"").hexdigest(), None).decode()
+    rows = [(1, "http://a/\r\nb c", None), (2, None, ""), (3, "u", fake * 40), (4, "u", long), (5, "u", long), (6, "u", long[:-1])]
+    rows += [(7, "u", long[:-1]), (None, "u", long), (8, "u", nested * 3), (9, "u", "WARC/1.1\r\n" * 300), (10, "u", "é" * 500)]
+    rows += [(11, "u", "é" * 500), (12, "u", "z" * 300_000), (-3, "u", fake)]
+    return rows
+
+
+@pytest.mark.parametrize("range_bytes", [1_000, 5_000, 70_000, 8_000_000])
+@pytest.mark.parametrize("file_bytes", [1, 20_000, 32_000_000])
+def test_round_trip(spark, range_bytes, file_bytes):
+    rows = odd_pages()
+    pages = spark.createDataFrame(rows, PAGES).withColumn("size", F.lit(1)).withColumn("digest", F.lit("x"))
+    files = warc.write(pages.coalesce(1), file_bytes=file_bytes)
+    found = warc.read(spark, files.first()["folder"], range_bytes)
+    assert digests(found) == expected([(i, html) for i, _, html in rows])
+    uris = {r["page_id"]: r["target_uri"] for r in found.collect()}
+    assert uris[1] == "http://a/%0D%0Ab%20c" and uris[2] is None
+
+
+def test_repeated_rows(spark):
+    long = "y" * 2_000
+    pages = spark.createDataFrame([(1, "u", long), (2, "u", long), (2, "u", long), (None, "v", "n" * 1_500)] , PAGES)
+    files = warc.write(pages.union(pages.filter("page_id is null")))
+    kinds = rows_of(warc.read(spark, files.first()["folder"]).select("page_id", "record_type", "refers_to"))
+    response = [(2, "response", None)] * 2 + [(None, "response", None)] * 2
+    assert kinds == sorted([(1, "revisit", 2), *response], key=repr)
+
+
+def test_many_groups_are_joined_by_shuffle(spark, monkeypatch):
+    monkeypatch.setattr(warc, "BROADCAST_GROUPS", 0)
+    rows = odd_pages()
+    files = warc.write(spark.createDataFrame(rows, PAGES))
+    assert digests(warc.read(spark, files.first()["folder"])) == expected([(i, html) for i, _, html in rows])
+
+
+def test_no_rows_and_damage(spark, shared):
+    assert warc.write(spark.createDataFrame([], PAGES)).count() == 0
+    good = [warc.record("u", i, b"p" * 50, hashlib.sha1(b"p" * 50).hexdigest(), None) for i in range(6)]
+    folder = f"{shared}/damaged-{random.random()}"
+    write_whole(folder, "a.warc", [*good[:3], b"garbage", *good[3:]])
+    write_whole(folder, "b.warc", [*good[:2], good[2][:-10]])
+    write_whole(folder, "c.warc", [b"no archive at all"])
+    write_whole(folder, "d.warc", [])
+    for range_bytes in (100, 700, 100_000):
+        found = rows_of(warc.read(spark, folder, range_bytes).select(F.regexp_extract("file", "(.)[.]warc", 1), "page_id"))
+        assert found == [("a", 0), ("a", 1), ("a", 2), ("b", 0), ("b", 1)]
+
+
+def test_query(spark, data):
+    found = QUERIES["op6_warc_archives"](spark, data)
+    rows = spark.read.parquet(f"{data}/pages.parquet").select("page_id", "html").collect()
+    assert rows_of(found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")) == expected(
+        [tuple(row) for row in rows]
+    )
