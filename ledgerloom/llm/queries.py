@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from ledgerloom.llm import bpe, knn, license, packing, pii, simhash, token_files, toxicity, warc
+from ledgerloom.llm import bpe, embeddings, knn, license, packing, pii, simhash, token_files, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,11 +25,15 @@ def simhash_near_duplicates(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def exact_top_k(spark: SparkSession, directory: str) -> DataFrame:
-    embeddings = _table(spark, directory, "embeddings")
-    vectors = embeddings.select("vec_id", knn.quantised(F.col("embedding")).alias("vector"))
+    rows = _table(spark, directory, "embeddings")
+    vectors = rows.select("vec_id", knn.quantised(F.col("embedding")).alias("vector"))
     return knn.nearest(vectors, F.col("vec_id") % 50 == 0)
 
 
+def embedding_near_duplicates(spark: SparkSession, directory: str) -> DataFrame:
+    return embeddings.near_duplicates(_table(spark, directory, "embeddings"))
+
+
 def token_id_files(spark: SparkSession, directory: str) -> DataFrame:
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
     files = token_files.write(_table(spark, directory, "documents"), tokenizer, end_id=2)
@@ -116,6 +120,7 @@ def license_scans(spark: SparkSession, directory: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_simhash_near_duplicates": simhash_near_duplicates,
     "op2_exact_top_k": exact_top_k,
+    "op3_embedding_near_duplicates": embedding_near_duplicates,
     "op4_token_id_files": token_id_files,
     "op5_best_fit_packing": best_fit_packing,
     "op6_warc_archives": warc_archives,
