@@ -68,9 +68,11 @@ def texts_of(column: pa.ChunkedArray | pa.Array) -> list[str]:
     return [text or "" for text in column.to_pylist()]
 
 
-def in_slices(batch: pa.RecordBatch, column: int, most: int = 8_000_000) -> Iterator[pa.RecordBatch]:
-    """``batch`` in parts of about ``most`` bytes of one text column, at least a row each."""
-    sizes = np.cumsum([0 if n is None else n for n in pc.binary_length(batch.column(column)).to_pylist()])
+def in_slices(batch: pa.RecordBatch, column: int, most: int) -> Iterator[pa.RecordBatch]:
+    """``batch`` in parts with about ``most`` bytes or elements of one column, at least a row each."""
+    values = batch.column(column)
+    lengths = pc.list_value_length(values) if pa.types.is_list(values.type) else pc.binary_length(values)
+    sizes = np.cumsum(pc.fill_null(lengths, 0).to_numpy(zero_copy_only=False).astype(np.int64))
     start = 0
     while start < batch.num_rows:
         before = sizes[start - 1] if start else 0

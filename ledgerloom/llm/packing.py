@@ -11,8 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import crc32_of, in_slices, kept, or_empty, texts_of
-from ledgerloom.llm.word_cache import between_spaces, encoder
+from ledgerloom.llm.common import crc32_of, in_slices, kept, or_empty
+from ledgerloom.llm.word_cache import SpacedWords, encoder, with_ends
 
 CAPACITY = 4_096
 # Pieces of one length numbered in one task.
@@ -28,11 +28,11 @@ def pieces(documents: DataFrame, tokenizer_path: str, end_id: int, capacity: int
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = encoder(tokenizer_path, between_spaces)
+        codec = encoder(tokenizer_path, SpacedWords)
         for batch in batches:
-            for some in in_slices(batch, 1, 2_000_000):
-                flat, counts = codec.encode(texts_of(some.column(1)))
-                flat = np.insert(flat, np.cumsum(counts), end_id).astype("<u4")
+            for some in in_slices(batch, 1, 5_000_000):
+                flat, counts = codec.encode(some.column(1))
+                flat = with_ends(flat, counts, end_id)
                 counts = counts + 1
                 number = -(-counts // capacity)
                 document = np.repeat(np.arange(len(counts)), number)

@@ -11,8 +11,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import in_slices, kept, new_folder, or_empty, texts_of, write_whole
-from ledgerloom.llm.word_cache import before_spaces, encoder
+from ledgerloom.llm.common import in_slices, kept, new_folder, or_empty, write_whole
+from ledgerloom.llm.word_cache import ByteWords, encoder, with_ends
 
 # Ids of a block, which is coded by itself, and of a file, which a task holds whole.
 BLOCK = 4_096
@@ -39,6 +39,7 @@ SELECTORS = {
 ESCAPE = 0
 MAGIC = b"TOKS8B01"
 _COUNTS = np.array([SELECTORS.get(s, (1, 64))[0] for s in range(16)], np.int64)
+_LONGEST = 60
 # Blocks coded side by side.
 _TOGETHER = 512
 
@@ -58,44 +59,52 @@ def pack_ids(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _pack_blocks(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    total = len(ids)
-    place = np.arange(total)
-    block_end = np.minimum((place // BLOCK + 1) * BLOCK, total)
-    chosen = np.zeros(total, np.int64)
-    step = np.ones(total, np.int64)
-    # From few large ids to many small ones, so that the most ids a word can hold win.
-    for selector, (count, bits) in sorted(SELECTORS.items(), reverse=True):
-        too_large = np.where(ids >> np.uint64(bits), place, total)
-        fits = np.minimum(np.minimum.accumulate(too_large[::-1])[::-1], block_end) - place
-        enough = (fits >= count) | ((place + fits == block_end) & (fits > 0))
-        chosen[enough] = selector
-        step[enough] = np.minimum(count, block_end - place)[enough]
+    blocks = -(-len(ids) // BLOCK)
+    # Past its end a block reads zeros, which fit any word.
+    wide = BLOCK + _LONGEST
+    grid = np.zeros((blocks, wide), np.uint64)
+    full = len(ids) // BLOCK
+    grid[:full, :BLOCK] = ids[: full * BLOCK].reshape(full, BLOCK)
+    grid[full:, : len(ids) - full * BLOCK] = ids[full * BLOCK :]
+    need = np.zeros((blocks, wide), np.uint8)
+    for _, bits in SELECTORS.values():
+        need += grid >= np.uint64(1 << bits)
+    # The widest id among as many as each selector takes, from every place on.
+    chosen = np.zeros((blocks, BLOCK), np.uint8)
+    widest, seen = need, 1
+    for selector, (count, _) in sorted(SELECTORS.items(), reverse=True):
+        while seen < count:
+            step = min(seen, count - seen)
+            widest = np.maximum(widest[:, : widest.shape[1] - step], widest[:, step:])
+            seen += step
+        np.copyto(chosen, np.uint8(selector), where=widest[:, :BLOCK] <= selector - 2)
+    chosen = chosen.reshape(-1)
     # All blocks walk from word to word together.
-    begins = np.zeros(total, bool)
-    at = np.arange(0, total, BLOCK)
-    end = block_end[at]
+    begins = np.zeros(blocks * BLOCK, bool)
+    at = np.arange(0, blocks * BLOCK, BLOCK)
+    end = np.minimum(at + BLOCK, len(ids))
     while len(at):
         begins[at] = True
-        at = at + step[at]
+        at = at + _COUNTS[chosen[at]]
         inside = at < end
         at, end = at[inside], end[inside]
     starts = np.flatnonzero(begins)
     selectors = chosen[starts]
-    wide = selectors == ESCAPE
-    position = np.cumsum(1 + wide) - (1 + wide)
-    words = np.zeros(int((1 + wide).sum()), np.uint64)
-    padded = np.concatenate([ids, np.zeros(60, np.uint64)])
+    in_grid = starts + starts // BLOCK * _LONGEST
+    escaped = selectors == ESCAPE
+    position = np.cumsum(1 + escaped) - (1 + escaped)
+    words = np.zeros(int((1 + escaped).sum()), np.uint64)
+    flat = grid.reshape(-1)
     for selector, (count, bits) in SELECTORS.items():
         mine = np.flatnonzero(selectors == selector)
         if len(mine):
-            first = starts[mine]
+            first = in_grid[mine]
             word = np.full(len(mine), selector, np.uint64)
             for j in range(count):
-                value = np.where(j < step[first], padded[first + j], np.uint64(0))
-                word |= value << np.uint64(4 + j * bits)
+                word |= flat[first + j] << np.uint64(4 + j * bits)
             words[position[mine]] = word
-    words[position[wide] + 1] = ids[starts[wide]]
-    return words, np.bincount(starts // BLOCK, weights=1 + wide).astype(np.int64)
+    words[position[escaped] + 1] = flat[in_grid[escaped]]
+    return words, np.bincount(starts // BLOCK, weights=1 + escaped).astype(np.int64)
 
 
 def unpack_ids(words: np.ndarray, offsets: np.ndarray, total: int) -> np.ndarray:
@@ -107,22 +116,23 @@ def unpack_ids(words: np.ndarray, offsets: np.ndarray, total: int) -> np.ndarray
         raw[at + 1] = not raw[at]
     raw = raw[: len(words)]
     counts = np.where(raw, 1, np.where(selectors == ESCAPE, 0, _COUNTS[selectors]))
-    # The last word of a block may have room left.
-    block_of = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets.astype(np.int64)))
-    block_ids = np.minimum(BLOCK, total - np.arange(len(offsets) - 1) * BLOCK)
+    # The last word of a block may have room left, so each block writes into a row of its own.
+    wide = BLOCK + _LONGEST
+    first = offsets[:-1].astype(np.int64)
     before = np.cumsum(counts) - counts
-    in_block = before - before[offsets[:-1].astype(np.int64)][block_of] if len(words) else before
-    place = block_of * BLOCK + in_block
-    stop = block_of * BLOCK + block_ids[block_of]
-    out = np.zeros(total + 60, np.uint64)
+    shift = np.arange(len(first)) * wide - (before[first] if len(words) else 0)
+    place = before + np.repeat(shift, np.diff(offsets.astype(np.int64)))
+    grid = np.zeros(len(first) * wide, np.uint64)
     for selector, (count, bits) in SELECTORS.items():
         mine = np.flatnonzero((selectors == selector) & ~raw)
-        for j in range(count if len(mine) else 0):
-            value = (words[mine] >> np.uint64(4 + j * bits)) & np.uint64((1 << bits) - 1)
-            there = place[mine] + j < stop[mine]
-            out[place[mine][there] + j] = value[there]
-    out[place[raw]] = words[raw]
-    return out[:total]
+        if len(mine):
+            at, rest = place[mine], words[mine] >> np.uint64(4)
+            for _ in range(count):
+                grid[at] = rest & np.uint64((1 << bits) - 1)
+                at += 1
+                rest >>= np.uint64(bits)
+    grid[place[raw]] = words[raw]
+    return grid.reshape(-1, wide)[:, :BLOCK].reshape(-1)[:total]
 
 
 def file_parts(doc_ids: list[int | None], lengths: np.ndarray, ids: np.ndarray) -> Iterator[bytes]:
@@ -187,7 +197,7 @@ def write(
 
     def store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
-        codec = encoder(tokenizer_path, before_spaces)
+        codec = encoder(tokenizer_path, ByteWords)
         doc_ids: list[int | None] = []
         lengths: list[np.ndarray] = []
         ids: list[np.ndarray] = []
@@ -200,12 +210,11 @@ def write(
             return pa.RecordBatch.from_pylist([row], schema)
 
         for batch in batches:
-            for some in in_slices(batch, 1, min(2_000_000, 2 * file_ids)):
-                flat, counts = codec.encode(texts_of(some.column(1)))
-                ends = np.cumsum(counts)
+            for some in in_slices(batch, 1, min(5_000_000, 2 * file_ids)):
+                flat, counts = codec.encode(some.column(1))
                 doc_ids += some.column(0).to_pylist()
                 lengths.append(counts + 1)
-                ids.append(np.insert(flat, ends, end_id))
+                ids.append(with_ends(flat, counts, end_id))
                 if sum(map(len, ids)) >= file_ids:
                     yield flush()
                     number += 1

@@ -2,88 +2,277 @@
 
 from __future__ import annotations
 
+import os
 import re
-from collections.abc import Callable
+import string
 from functools import lru_cache
 from itertools import repeat
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
 from ledgerloom.llm.common import ragged_take
 
-# Words and ids remembered; beyond either, all are forgotten.
-WORDS = 400_000
-IDS = 4_000_000
+# Every task has a core of its own.
+os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-_SPACE_AFTER_SPACE = re.compile(r"\s ")
-_WORD_END = re.compile(r"(?<=\S)(?= )")
-_ODD_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0  -     　]")
+# Words and ids remembered; beyond either, those met only seldom are forgotten.
+WORDS = 700_000
+IDS = 5_000_000
 
 
-def before_spaces(text: str) -> list[str]:
-    """Cut a text before each space that follows something else than white space.
+class WordEncoder:
+    """Ids of whole texts by a tokenizer file.
 
-    A byte-level pre-token can hold a space only at its start, and what comes before a place has no
-    influence on the pre-tokens after it, so none reaches over such a cut.
+    A subclass cuts a text into words where no token reaches over. Its words need not be the text
+    itself, but two equal ones must have equal ids.
     """
-    if _SPACE_AFTER_SPACE.search(text):
-        return _WORD_END.split(text)
-    first, *rest = text.split(" ")
-    return [first, *[f" {word}" for word in rest]]
-
-
-def between_spaces(text: str) -> list[str]:
-    """The words of a text, for tokenizers that drop white space; rare kinds of it are left to them."""
-    return [text] if _ODD_SPACE.search(text) else text.split()
-
 
-class WordEncoder:
-    """Ids of whole texts by a tokenizer file; ``cut`` cuts a text where no token reaches over."""
-
-    def __init__(self, path: str, cut: Callable[[str], list[str]]) -> None:
+    def __init__(self, path: str) -> None:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.cut = cut
-        self._forget()
-
-    def _forget(self) -> None:
         self.slots: dict[str, int] = {}
+        self.uses = np.empty(0, np.int64)
         self.ids = np.empty(0, np.uint32)
         self.lengths = np.empty(0, np.int64)
         self.starts = np.empty(0, np.int64)
 
-    def _learn(self, words: list[str]) -> None:
-        encoded = [found.ids for found in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-        self.slots.update(zip(words, range(len(self.slots), len(self.slots) + len(words))))
-        lengths = np.fromiter(map(len, encoded), np.int64, len(encoded))
-        flat = np.fromiter((i for ids in encoded for i in ids), np.uint32, int(lengths.sum()))
-        self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(lengths) - lengths])
-        self.lengths = np.concatenate([self.lengths, lengths])
-        self.ids = np.concatenate([self.ids, flat])
+    def cut(self, texts: pa.Array) -> pa.ListArray:
+        """The words of texts, where :meth:`usual` says that a plain way of cutting will do."""
+        raise NotImplementedError
+
+    def usual(self, texts: pa.Array) -> np.ndarray:
+        raise NotImplementedError
+
+    def cut_unusual(self, text: str) -> list[str]:
+        raise NotImplementedError
+
+    def spelt(self, word: str) -> str:
+        """The piece of text a word stands for."""
+        return word
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of the texts in a row, and how many each text has."""
+    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the words in a row, and how many each has; each word by itself."""
+        if not words:
+            return np.empty(0, np.uint32), np.empty(0, np.int64)
+        found = self.tokenizer.encode_batch_fast([self.spelt(word) for word in words], add_special_tokens=False)
+        ids = [one.ids for one in found]
+        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
+        return np.fromiter((i for some in ids for i in some), np.uint32, int(lengths.sum())), lengths
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts (strings, null as empty) in a row, and how many each text has."""
         if len(self.slots) > WORDS or len(self.ids) > IDS:
             self._forget()
-        words: list[str] = []
-        counts = np.empty(len(texts), np.int64)
-        for i, text in enumerate(texts):
-            cut = self.cut(text)
-            counts[i] = len(cut)
-            words += cut
+        texts = pc.fill_null(texts, "")
+        usual = self.usual(texts)
+        first = self._encode_cut(self.cut(texts.filter(pa.array(usual))))
+        if usual.all():
+            return first
+        rest = [self.cut_unusual(text) for text in texts.filter(pa.array(~usual)).to_pylist()]
+        counts = np.fromiter(map(len, rest), np.int64, len(rest))
+        second = self._encode_slots(self._slots([word for words in rest for word in words]), counts)
+        return in_order(first, second, usual)
+
+    def first_words(self, cut: pa.ListArray, slots: np.ndarray) -> None:
+        """Correct the slots of the first words of texts, where these differ from others."""
+
+    def _encode_cut(self, cut: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+        # Words that occur often in these texts are looked up once.
+        coded = cut.flatten().dictionary_encode()
+        slots = self._slots(coded.dictionary.to_numpy(zero_copy_only=False).tolist())[coded.indices.to_numpy()]
+        self.first_words(cut, slots)
+        return self._encode_slots(slots, pc.list_value_length(cut).to_numpy(zero_copy_only=False))
+
+    def _slots(self, words: list[str]) -> np.ndarray:
         slots = np.fromiter(map(self.slots.get, words, repeat(-1)), np.int64, len(words))
-        missing = np.flatnonzero(slots < 0)
-        if len(missing):
-            self._learn(list(dict.fromkeys(words[i] for i in missing.tolist())))
-            slots[missing] = [self.slots[words[i]] for i in missing.tolist()]
+        missing = np.flatnonzero(slots < 0).tolist()
+        if missing:
+            self._learn(list(dict.fromkeys([words[i] for i in missing])))
+            slots[missing] = [self.slots[words[i]] for i in missing]
+        return slots
+
+    def _encode_slots(self, slots: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        self.uses += np.bincount(slots, minlength=len(self.uses))
         lengths = self.lengths[slots]
         ends = np.concatenate(([0], np.cumsum(lengths)))
         last = np.cumsum(counts)
         return ragged_take(self.ids, self.starts[slots], lengths), ends[last] - ends[last - counts]
 
+    def parts(self, word: str) -> list[str]:
+        """The words that a word with punctuation at its end or a line break consists of."""
+        stem = word.rstrip(string.punctuation)
+        # One capital becomes a letter and a mark when lower-cased, and marks go with punctuation.
+        if stem != word and stem[-1:].lower().isalnum():
+            return [stem, self.tail(word[len(stem) :])]
+        return [word]
+
+    def tail(self, marks: str) -> str:
+        """The word for punctuation right after another word."""
+        return marks
+
+    def _learn(self, words: list[str]) -> None:
+        joined = pc.match_substring_regex(pa.array(words, pa.string()), r"[!-/:-@\[-`{-~]$|\n").to_numpy(zero_copy_only=False)
+        parts = {words[i]: found for i in np.flatnonzero(joined).tolist() if len(found := self.parts(words[i])) > 1}
+        new = dict.fromkeys([word for word in words if word not in parts])
+        new |= dict.fromkeys([part for found in parts.values() for part in found if part not in self.slots])
+        if new:
+            self._add(list(new), *self.encode_words(list(new)))
+        rest = [word for word in parts if word not in self.slots]
+        if rest:
+            slots = np.array([self.slots[part] for word in rest for part in parts[word]])
+            counts = np.array([len(parts[word]) for word in rest])
+            lengths = self.lengths[slots]
+            ids = ragged_take(self.ids, self.starts[slots], lengths)
+            self._add(rest, ids, np.add.reduceat(lengths, np.cumsum(counts) - counts))
+
+    def _add(self, words: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
+        self.slots.update(zip(words, range(len(self.slots), len(self.slots) + len(words))))
+        self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(lengths) - lengths])
+        self.lengths = np.concatenate([self.lengths, lengths])
+        self.ids = np.concatenate([self.ids, ids])
+        self.uses = np.concatenate([self.uses, np.zeros(len(words), np.int64)])
+
+    def marked(self, words: list[str], mark: str, between: str) -> tuple[np.ndarray, np.ndarray] | None:
+        """Words as one text with ``between`` after each, which holds a mark that is a token of its
+        own and of no word; None if it is not."""
+        text = between.join([*map(self.spelt, words), ""])
+        found = self.tokenizer.encode_batch_fast([mark, text], add_special_tokens=False)
+        marks, ids = found[0].ids, np.array(found[1].ids, np.uint32)
+        ends = np.flatnonzero(ids == marks[0]) if len(marks) == 1 else []
+        if len(ends) != len(words):
+            return None
+        return ids[ids != marks[0]], np.diff(np.concatenate(([-1], ends))) - 1
+
+    def _forget(self) -> None:
+        """Keep what was met most often, a third of the words at most and only short ones."""
+        usual = np.sort(self.uses)[-WORDS // 3 :][0] if len(self.uses) > WORDS // 3 else 0
+        stays = np.flatnonzero((self.uses > max(1, usual)) & (self.lengths < 32))
+        words = list(self.slots)
+        self.slots = {words[i]: slot for slot, i in enumerate(stays.tolist())}
+        self.ids = ragged_take(self.ids, self.starts[stays], self.lengths[stays])
+        self.lengths = self.lengths[stays]
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.uses = np.ones(len(stays), np.int64)
+
+
+def in_order(
+    yes: tuple[np.ndarray, np.ndarray], no: tuple[np.ndarray, np.ndarray], which: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Runs of ids of two kinds, in the order in which ``which`` is true and false."""
+    ids, lengths = (np.concatenate(both) for both in zip(yes, no))
+    order = np.argsort(np.argsort(~which, kind="stable"), kind="stable")
+    return ragged_take(ids, (np.cumsum(lengths) - lengths)[order], lengths[order]), lengths[order]
+
+
+# White space beside blanks, tabs and line breaks, as a class of characters.
+_RARE_SPACE = "\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
+class ByteWords(WordEncoder):
+    """Byte-level tokenizers, whose pre-tokens can hold a space only at their start.
+
+    A text is cut before each space that follows something else than white space: what comes before
+    a place has no influence on the pre-tokens after it. A word stands for itself with a space
+    before it; one that begins with a space stands for what follows that space.
+    """
+
+    _space_after_space = f"[ \t\r\n{_RARE_SPACE}] "
+    _word_end = re.compile(r"(?<=\S)(?= )")
+    _alone = re.compile(r" |\s$|^$")
+    _white = re.compile(r"\s")
+
+    def __init__(self, path: str) -> None:
+        super().__init__(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.after_space = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.after_space[[i for token, i in vocabulary.items() if token.startswith("\u0120")]] = True
+
+    def usual(self, texts: pa.Array) -> np.ndarray:
+        return ~pc.match_substring_regex(texts, self._space_after_space).to_numpy(zero_copy_only=False)
+
+    def cut(self, texts: pa.Array) -> pa.ListArray:
+        return pc.split_pattern(texts, " ")
+
+    def first_words(self, cut: pa.ListArray, slots: np.ndarray) -> None:
+        at = cut.offsets.to_numpy()[:-1] - cut.offsets[0].as_py()
+        slots[at] = self._slots([f" {word}" for word in cut.flatten().take(pa.array(at)).to_numpy(zero_copy_only=False).tolist()])
+
+    def cut_unusual(self, text: str) -> list[str]:
+        pieces = self._word_end.split(text)
+        return [piece[1:] if piece[:1] == " " != piece[1:2] else f" {piece}" for piece in pieces]
+
+    def spelt(self, word: str) -> str:
+        return word[1:] if word[:1] == " " else f" {word}"
+
+    def tail(self, marks: str) -> str:
+        return f" {marks}"
+
+    def parts(self, word: str) -> list[str]:
+        first, line_break, rest = word.partition("\n")
+        if not line_break:
+            return super().parts(word)
+        if first.lstrip(" ").strip() != first.removeprefix(" ") or not first or not rest or self._white.search(rest):
+            return [word]
+        # A line break between other characters is a pre-token.
+        return [*super().parts(first), " \n", *super().parts(f" {rest}")]
+
+    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        plain = np.array([word.isalnum() or not self._alone.search(word) for word in words], bool)
+        text = "".join([f" {word}" for word, is_plain in zip(words, plain.tolist()) if is_plain])
+        ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+        # Every token that begins with a space begins a word.
+        together = ids, np.diff(np.append(np.flatnonzero(self.after_space[ids]), len(ids)))
+        if plain.all():
+            return together
+        return in_order(together, self._encode_others([words[i] for i in np.flatnonzero(~plain)]), plain)
+
+    def _encode_others(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        solid = np.array([word[:1] == " " and len(word) > 1 and not self._white.search(word, 1) for word in words], bool)
+        lines = self.marked([words[i] for i in np.flatnonzero(solid)], "\n", "\n") if solid.any() else None
+        if lines is None:
+            return super().encode_words(words)
+        return in_order(lines, super().encode_words([words[i] for i in np.flatnonzero(~solid)]), solid)
+
+
+class SpacedWords(WordEncoder):
+    """Tokenizers that lower-case and drop white space; rare kinds of it are left to them."""
+
+    # Letters whose lower case depends on what is beside them, or is not one letter.
+    _beyond = "[^\x00-\xff]"
+    _mark = "\x01"
+
+    def usual(self, texts: pa.Array) -> np.ndarray:
+        odd = pc.match_substring_regex(texts, f"[{_RARE_SPACE}{self._mark}]")
+        return ~pc.or_(odd, pc.match_substring_regex(texts, self._beyond)).to_numpy(zero_copy_only=False)
+
+    def cut(self, texts: pa.Array) -> pa.ListArray:
+        return pc.ascii_split_whitespace(pc.utf8_lower(texts))
+
+    def cut_unusual(self, text: str) -> list[str]:
+        return [text] if re.search(f"[{_RARE_SPACE}{self._mark}]", text) else text.split()
+
+    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        odd = np.array([self._mark in word or re.search(f"[{_RARE_SPACE}]", word) is not None for word in words])
+        if odd.any():
+            usual = self.encode_words([words[i] for i in np.flatnonzero(~odd)])
+            return in_order(usual, super().encode_words([words[i] for i in np.flatnonzero(odd)]), ~odd)
+        return self.marked(words, self._mark, f" {self._mark} ") or super().encode_words(words)
+
+
+def with_ends(ids: np.ndarray, counts: np.ndarray, end_id: int) -> np.ndarray:
+    """The ids of texts in a row, each followed by ``end_id``."""
+    last = np.cumsum(counts + 1) - 1
+    inside = np.ones(len(ids) + len(counts), bool)
+    inside[last] = False
+    out = np.full(len(inside), end_id, "<u4")
+    out[inside] = ids
+    return out
+
 
 @lru_cache(maxsize=2)
-def encoder(path: str, cut: Callable[[str], list[str]]) -> WordEncoder:
+def encoder(path: str, kind: type[WordEncoder]) -> WordEncoder:
     """One encoder per Python worker, which goes from task to task with what it remembers."""
-    return WordEncoder(path, cut)
+    return kind(path)
