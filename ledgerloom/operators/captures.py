@@ -1,4 +1,4 @@
-"""The list of captures: one row per run, used as a small lookup."""
+"""The captures of a table: what the load log says was stored, a row per run of the loader."""
 
 from __future__ import annotations
 
@@ -11,9 +11,6 @@ from pyspark.sql import functions as F
 from ledgerloom.sources.stamping import wall_clock
 from ledgerloom.sources.tables import SNAPSHOT_AT, SNAPSHOT_ID, SOURCE_COLUMN
 
-# Ten captures a day for 27 years. A list up to this length is a few megabytes.
-LOOKUP_ROWS = 100_000
-
 
 @dataclass(frozen=True)
 class Moment:
@@ -27,40 +24,33 @@ class Moment:
         return wall_clock(self.load_dts)
 
     def before(self, at: Column, snapshot_id: Column) -> Column:
-        """Whether the given capture comes after this one; literals, so the scan can skip files."""
+        """Whether the given capture comes after this one."""
         return (at > self.at_literal) | (
             (at == self.at_literal) & (snapshot_id > F.lit(self.snapshot_id))
         )
 
 
-def last_moment(stored: DataFrame) -> Moment | None:
-    """The last capture with a row in a stored satellite; None if it is empty."""
-    at = F.col("load_dts").cast("timestamp_ntz").alias("load_dts")
-    last = stored.agg(F.max(F.struct(at, "snapshot_id")).alias("last")).first()["last"]
-    return None if last is None else Moment(last["load_dts"], last["snapshot_id"])
+def logged_captures(log: DataFrame, table: str, with_empty: bool = False) -> DataFrame:
+    """The captures of a table which the load log has: snapshot_id, load_dts.
+
+    A capture counts once it is logged, whatever rows the history holds. One without rows leaves no
+    trace in the history, so by default it is no observation either.
+    """
+    entries = log.filter(F.col("table_name") == table)
+    if not with_empty:
+        entries = entries.filter(F.col("row_count") > 0)
+    return entries.select("snapshot_id", F.col("snapshot_at").alias("load_dts")).distinct()
 
 
 def capture_list(history: DataFrame, per_source: bool = False) -> DataFrame:
-    """Distinct captures found in a history: snapshot_id, load_dts (and record_source)."""
+    """Distinct captures found in a history that has no log: snapshot_id, load_dts (and record_source)."""
     source = [F.col(SOURCE_COLUMN).alias("record_source")] if per_source else []
-    return as_lookup(
-        history.select(
-            F.col(SNAPSHOT_ID).alias("snapshot_id"),
-            F.col(SNAPSHOT_AT).alias("load_dts"),
-            *source,
-        ).distinct()
-    )
-
-
-def as_lookup(df: DataFrame, max_rows: int = LOOKUP_ROWS) -> DataFrame:
-    """``df`` held as a local relation if it has at most ``max_rows`` rows, else unchanged.
-
-    Without this the optimiser guesses the list to be as large as the history it came from, and joins
-    by shuffling the wide side on a column with few distinct values. With it the size is known, and a
-    broadcast happens by the ordinary size threshold. A longer list stays distributed and is joined
-    by shuffle; it then has enough distinct values to spread.
-    """
-    rows = df.limit(max_rows + 1).toArrow()
-    if rows.num_rows > max_rows:
-        return df
-    return df.sparkSession.createDataFrame(rows, schema=df.schema)
+    return history.select(
+        F.col(SNAPSHOT_ID).alias("snapshot_id"), F.col(SNAPSHOT_AT).alias("load_dts"), *source
+    ).distinct()
+
+
+def of_captures(history: DataFrame, captures: DataFrame) -> DataFrame:
+    """Rows of the captures listed. The history is partitioned by capture, so a short list prunes."""
+    listed = captures.select(F.col("snapshot_id").alias(SNAPSHOT_ID)).distinct()
+    return history.join(listed, SNAPSHOT_ID, "left_semi")

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.operators.specs import Hub, Link
-from ledgerloom.sources.stamping import wall_clock
 from ledgerloom.sources.tables import INGESTED_AT, SOURCE_COLUMN
 
 
@@ -63,20 +62,9 @@ def build_link(rows: DataFrame, link: Link) -> DataFrame:
     )
 
 
-def link_increment(
-    rows: DataFrame, existing: DataFrame | None, link: Link, newer_only: bool = False
-) -> DataFrame:
-    """Rows to append to a stored link.
-
-    ``newer_only`` suits a link read from captures: it reads only captures from the time of the last
-    stored relationship on. All relationships up to then are stored, as long as captures arrive in
-    order; those of that very time are left out by the anti join.
-    """
-    if existing is not None and newer_only:
-        latest = F.max(F.col("load_dts").cast("timestamp_ntz")).alias("last")
-        last = existing.agg(latest).first()["last"]
-        if last is not None:
-            rows = rows.filter(F.col(link.seen_at) >= wall_clock(last))
+def link_increment(rows: DataFrame, existing: DataFrame | None, link: Link) -> DataFrame:
+    """Rows to append to a stored link; of a link read from captures, ``rows`` may be the newer
+    captures only, as relationships of the others are stored already."""
     return new_rows(build_link(rows, link), existing, [link.hash_key])
 
 

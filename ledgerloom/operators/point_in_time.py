@@ -7,7 +7,6 @@ from datetime import datetime
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.captures import as_lookup
 from ledgerloom.operators.specs import PointInTime
 from ledgerloom.sources.stamping import wall_clock
 
@@ -36,8 +35,12 @@ def build_pit_pruned(
     at one capture the latest is valid. The range condition is settled between the two short lists
     of distinct times, and the keys join on equality.
     """
-    times = as_lookup(satellite.select("load_dts").distinct())
-    from_here = Window.orderBy("_at").rangeBetween(Window.currentRow, Window.unboundedFollowing)
+    times = satellite.select("load_dts").distinct()
+    # From the last time back to the first, so that the minimum runs along instead of being taken
+    # anew for every row.
+    from_here = Window.orderBy(F.desc("_at")).rangeBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
     # One row per distinct time: as long as the list of runs, whatever the size of the satellite.
     starts = (
         times.select(F.col("load_dts").alias("_at"), "load_dts", F.lit(None).alias("_capture"))
@@ -55,7 +58,7 @@ def build_pit_pruned(
     )
     pointers = (
         _version_times(satellite, spec)
-        .join(as_lookup(starts), "load_dts")
+        .join(starts, "load_dts")
         .groupBy(spec.hub.hash_key, "snapshot_id", "snapshot_at")
         .agg(F.max("load_dts").alias("load_dts"))
     )

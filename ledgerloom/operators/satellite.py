@@ -3,39 +3,31 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.keys import change_hash, require_stable_text
-from ledgerloom.operators.captures import last_moment
+from ledgerloom.operators.captures import Moment
 from ledgerloom.operators.keyed import identified_rows, new_rows
 from ledgerloom.operators.specs import Satellite
 from ledgerloom.sources.tables import SNAPSHOT_AT, SNAPSHOT_ID, SOURCE_COLUMN
 
 CAPTURE = ["load_dts", "snapshot_id"]
 
-# A key with more history rows than this does not go through one sorted window.
-HOT_ROWS = 1_000_000
-# At most so many keys are set apart. A key beyond the list has less than 1/1000 of all rows, about the
-# share of an ordinary task, and stays with the rest.
-HOT_KEYS = 1_000
 
-
-def build_satellite(
-    history: DataFrame, satellite: Satellite, hot_rows: int | None = HOT_ROWS
-) -> DataFrame:
+def build_satellite(history: DataFrame, satellite: Satellite) -> DataFrame:
     """Every version of every key in the whole history.
 
     Versions are compared on the attributes themselves, per trimmed key and source. That is the same
     as comparing change hashes per hash key, but only the surviving rows need the two hashes, and the
-    exchange carries neither.
+    exchanges carry neither.
     """
     rows = _capture_rows(history, satellite)
     by = ["record_source", *satellite.parent.columns]
-    changed = changed_versions(
-        rows, by, satellite.attribute_names, hot=hot_keys(rows, by, hot_rows)
-    )
+    changed = changed_versions(rows, by, satellite.attribute_names)
     return changed.select(*_columns(satellite, _hash_key(satellite)))
 
 
@@ -43,115 +35,79 @@ def satellite_increment(
     history: DataFrame,
     existing: DataFrame | None,
     satellite: Satellite,
-    newer_only: bool = False,
-    hot_rows: int | None = HOT_ROWS,
+    last: Moment | None = None,
 ) -> DataFrame:
     """Rows to append to a stored satellite.
 
-    By default the whole history is compared again and rows stored for the same key and capture are
-    left out; this also takes up captures that arrive late. ``newer_only`` reads only captures after
-    the last stored one and compares them with the last stored version per key. Its result is the
-    same as long as captures arrive in order, and its cost does not grow with the history.
+    Without ``last``, ``history`` is the whole history; it is compared again, and rows stored for the
+    same key and capture are left out, which also takes up captures that arrive late. With it,
+    ``history`` holds only the captures after ``last``, up to which the satellite is complete; they
+    are compared with the last stored version per key. The result is the same as long as captures
+    arrive in order, and its cost does not grow with the history.
     """
-    last = last_moment(existing) if existing is not None and newer_only else None
-    if last is None:
-        built = build_satellite(history, satellite, hot_rows)
+    if existing is None or last is None:
+        built = build_satellite(history, satellite)
         return new_rows(built, existing, [satellite.hash_key, "snapshot_id"], unique=False)
 
     # Stored keys are known by their hash key only, so here the comparison is per hash key.
     by, carried = [satellite.hash_key], [satellite.label, "record_source"]
-    newer = history.filter(last.before(F.col(SNAPSHOT_AT), F.col(SNAPSHOT_ID)))
-    fresh = _capture_rows(newer, satellite).select(
+    fresh = _capture_rows(history, satellite).select(
         _hash_key(satellite).alias(satellite.hash_key),
         *carried,
         *satellite.attribute_names,
         *CAPTURE,
     )
+    later = last.before(F.col("load_dts"), F.col("snapshot_id"))
     changed = changed_versions(
-        fresh.unionByName(_last_versions(existing, satellite)),
+        fresh.unionByName(_last_versions(existing.filter(~later), fresh, satellite)),
         by,
         satellite.attribute_names,
         carried,
-        hot_keys(fresh, by, hot_rows),
     )
-    return changed.filter(last.before(F.col("load_dts"), F.col("snapshot_id"))).select(
-        *_columns(satellite, F.col(satellite.hash_key))
+    built = changed.filter(later).select(*_columns(satellite, F.col(satellite.hash_key)))
+    # Rows that a run stored before it was interrupted are there already.
+    return new_rows(
+        built, existing.filter(later), [satellite.hash_key, "snapshot_id"], unique=False
     )
 
 
-def hot_keys(rows: DataFrame, by: Sequence[str], hot_rows: int | None) -> list[int]:
-    """Key digests with more than ``hot_rows`` rows, at most HOT_KEYS of them.
-
-    Reads the key columns only, counts inside each task before the exchange, and exchanges a number
-    per key. Two keys may share a digest: both then count as hot, which costs nothing in the result.
-    Deciding this before the plan is built leaves the usual plan, without hot keys, one exchange.
-    """
-    if hot_rows is None:
-        return []
-    counts = rows.groupBy(_digest(by).alias("_key")).agg(F.count(F.lit(1)).alias("_rows"))
-    found = (
-        counts.filter(F.col("_rows") > hot_rows).orderBy(F.desc("_rows"), "_key").limit(HOT_KEYS)
-    )
-    return [row["_key"] for row in found.collect()]
-
-
-def _digest(by: Sequence[str]) -> Column:
-    return F.xxhash64(*by)
-
-
 def changed_versions(
-    rows: DataFrame,
-    by: Sequence[str],
-    attributes: Sequence[str],
-    carried: Sequence[str] = (),
-    hot: Sequence[int] = (),
+    rows: DataFrame, by: Sequence[str], attributes: Sequence[str], carried: Sequence[str] = ()
 ) -> DataFrame:
     """Rows which differ from the row before them, per key, in capture order.
 
     Several rows of one key in one capture follow each other in attribute order. ``carried`` columns
-    depend on the key and are only passed along. Keys whose digest is in ``hot`` take a path whose
-    largest group is one row per capture; the result is the same.
+    depend on the key and are only passed along.
+
+    Per key and capture only the lowest and the highest version are needed to compare with the
+    capture before; each task finds its own before the exchange, so that a key with any number of
+    rows is one row per capture and task from there on. The versions between them differ from their
+    neighbours anyway. They are looked up only where lowest and highest differ, and the rows are
+    read again for this only if there is such a place at all.
     """
     # Packed once, the attributes travel once; a separate lag column would double the exchange.
     packed = rows.select(*by, *CAPTURE, *carried, F.struct(*attributes).alias("_version"))
-    if not hot:
-        changed = _changed_by_window(packed, by)
-    else:
-        listed = _digest(by).isin(list(hot))
-        changed = _changed_by_window(packed.filter(~listed), by).unionByName(
-            _changed_by_capture(packed.filter(listed), by)
-        )
-    return changed.select(*by, *CAPTURE, *carried, "_version.*")
-
-
-def _changed_by_window(packed: DataFrame, by: Sequence[str]) -> DataFrame:
-    order = Window.partitionBy(*by).orderBy(*CAPTURE, "_version")
-    return (
-        packed.withColumn("_before", F.lag("_version").over(order))
-        .filter(~F.col("_before").eqNullSafe(F.col("_version")))
-        .drop("_before")
-    )
-
-
-def _changed_by_capture(packed: DataFrame, by: Sequence[str]) -> DataFrame:
-    """The same result without a window over the rows of a key.
-
-    Copies collapse inside each task, and what is left is spread by attributes as well as by key.
-    Within a capture only its lowest version can repeat the one before it, which is the highest
-    version of the key's previous capture. So a window over lowest and highest per capture decides.
-    """
-    where = [*by, *CAPTURE]
-    versions = packed.distinct()
-    ends = versions.groupBy(*where).agg(
-        F.min("_version").alias("_lowest"), F.max("_version").alias("_highest")
+    where = [*by, *CAPTURE, *carried]
+    ends = packed.groupBy(*where).agg(
+        F.min("_version").alias("_version"), F.max("_version").alias("_highest")
     )
     order = Window.partitionBy(*by).orderBy(*CAPTURE)
-    repeated = (
+    first = (
         ends.withColumn("_before", F.lag("_highest").over(order))
-        .filter(F.col("_before").eqNullSafe(F.col("_lowest")))
-        .select(*where, F.col("_lowest").alias("_version"))
+        .filter(~F.col("_before").eqNullSafe(F.col("_version")))
+        .select(*where, "_version")
+    )
+    crowded = ends.filter(~F.col("_version").eqNullSafe(F.col("_highest"))).select(
+        *[F.col(name).alias(f"_{name}") for name in [*by, *CAPTURE]], F.col("_version").alias("_lowest")
+    )
+    same = reduce(and_, [F.col(name) == F.col(f"_{name}") for name in [*by, *CAPTURE]])
+    others = (
+        packed.filter(crowded.exists())
+        .join(crowded, same & (F.col("_version") > F.col("_lowest")), "left_semi")
+        .distinct()
+        .select(*where, "_version")
     )
-    return versions.join(repeated, [*where, "_version"], "left_anti")
+    return first.unionByName(others).select(*by, *CAPTURE, *carried, "_version.*")
 
 
 def _capture_rows(history: DataFrame, satellite: Satellite) -> DataFrame:
@@ -166,12 +122,14 @@ def _capture_rows(history: DataFrame, satellite: Satellite) -> DataFrame:
     )
 
 
-def _last_versions(existing: DataFrame, satellite: Satellite) -> DataFrame:
+def _last_versions(existing: DataFrame, fresh: DataFrame, satellite: Satellite) -> DataFrame:
+    """The last stored version of the keys that occur in the newer captures."""
     # The last stored version is also the last seen one: what was not stored equalled it.
     passed = [satellite.label, *satellite.attribute_names, *CAPTURE, "record_source"]
     latest = F.struct(*CAPTURE, *satellite.attribute_names)
     return (
-        existing.groupBy(satellite.hash_key)
+        existing.join(fresh.select(satellite.hash_key).distinct(), satellite.hash_key, "left_semi")
+        .groupBy(satellite.hash_key)
         .agg(F.max_by(F.struct(*passed), latest).alias("_last"))
         .select(satellite.hash_key, "_last.*")
     )

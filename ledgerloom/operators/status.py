@@ -7,10 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.captures import Moment, as_lookup, capture_list, last_moment
+from ledgerloom.operators.captures import Moment, capture_list
 from ledgerloom.operators.keyed import identified_rows, new_rows
 from ledgerloom.operators.specs import Status
-from ledgerloom.sources.tables import SNAPSHOT_AT, SNAPSHOT_ID, SOURCE_COLUMN
+from ledgerloom.sources.tables import SNAPSHOT_ID, SOURCE_COLUMN
 
 
 def build_status(
@@ -39,29 +39,34 @@ def status_increment(
     history: DataFrame,
     existing: DataFrame | None,
     status: Status,
-    newer_only: bool = False,
+    captures: DataFrame | None = None,
+    last: Moment | None = None,
 ) -> DataFrame:
     """Rows to append to a stored status satellite.
 
-    By default the whole history is compared again. ``newer_only`` reads captures after the last
-    stored change and goes on from the stored state: without a change in between, a relationship is
-    still what its last row says. The result is the same as long as captures arrive in order.
+    Without ``last``, the whole history is compared again. With it, ``history`` holds only the
+    captures after ``last``, up to which the satellite is complete, and ``captures`` all captures
+    from the time of ``last`` on; a relationship is until then what its last row says. The result is
+    the same as long as captures arrive in order.
     """
-    last = last_moment(existing) if existing is not None and newer_only else None
-    if last is None:
-        built = build_status(history, status)
+    if existing is None or last is None:
+        built = build_status(history, status, captures)
         return new_rows(built, existing, [status.link.hash_key, "snapshot_id"], unique=False)
 
-    captures = _captures_from(history, existing, last, status)
-    newer = history.filter(last.before(F.col(SNAPSHOT_AT), F.col(SNAPSHOT_ID)))
+    if captures is None:
+        captures = capture_list(history, status.per_source)
+    captures = _from_moment(captures, existing, last, status)
+    newer = history
     keys = [status.link.hash_key, *[role.hash_key for role in status.link.roles]]
     matching = _matching(status)
     seen = _present(newer, status).select(*_hashed(status), "snapshot_id").withColumns(
         {"_present": F.lit(True), "_stored": F.lit(False)}
     )
-    # Stored relationships enter at the capture of the last change, in the state they are in.
+    # Stored relationships enter at the last capture seen, in the state they are in.
+    later = last.before(F.col("load_dts"), F.col("snapshot_id"))
     state = (
-        existing.groupBy(*keys, "record_source")
+        existing.filter(~later)
+        .groupBy(*keys, "record_source")
         .agg(F.max(F.struct("load_dts", "snapshot_id", "is_active"))["is_active"].alias("_present"))
         .withColumns({"snapshot_id": F.lit(last.snapshot_id), "_stored": F.lit(True)})
     )
@@ -72,7 +77,13 @@ def status_increment(
         present=F.col("_present"),
         stored=F.col("_stored"),
     )
-    return _result(changed, status)
+    # Rows that a run stored before it was interrupted are there already.
+    return new_rows(
+        _result(changed, status),
+        existing.filter(later),
+        [status.link.hash_key, "snapshot_id"],
+        unique=False,
+    )
 
 
 def _present(history: DataFrame, status: Status) -> DataFrame:
@@ -158,13 +169,11 @@ def _result(changed: DataFrame, status: Status) -> DataFrame:
     )
 
 
-def _captures_from(
-    history: DataFrame, existing: DataFrame, last: Moment, status: Status
+def _from_moment(
+    captures: DataFrame, existing: DataFrame, last: Moment, status: Status
 ) -> DataFrame:
-    """Captures from the instant of the last stored change on, that change's capture included."""
-    found = capture_list(
-        history.filter(F.col(SNAPSHOT_AT) >= last.at_literal), status.per_source
-    )
+    """``captures`` from the time of ``last`` on, that capture included for every source."""
+    found = captures.filter(F.col("load_dts") >= last.at_literal)
     sources = existing.select("record_source").distinct() if status.per_source else (
         existing.limit(1).select()
     )
@@ -173,7 +182,7 @@ def _captures_from(
         last.at_literal.alias("load_dts"),
         *(["record_source"] if status.per_source else []),
     )
-    return as_lookup(found.unionByName(start).distinct())
+    return found.unionByName(start).distinct()
 
 
 def _numbered(captures: DataFrame, per_source: bool) -> DataFrame:

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.captures import capture_list
+from ledgerloom.operators.captures import Moment, capture_list, logged_captures, of_captures
 from ledgerloom.operators.keyed import build_hub, build_link, link_increment, new_rows
 from ledgerloom.operators.point_in_time import as_of, build_pit, build_pit_pruned
 from ledgerloom.operators.satellite import build_satellite, satellite_increment
@@ -25,7 +25,7 @@ from ledgerloom.plans.models import (
 )
 from ledgerloom.plans.silver import SILVER
 from ledgerloom.sources.readers import row_counts
-from ledgerloom.sources.sample import SampleBank
+from ledgerloom.sources.sample import CAPTURES, SampleBank, capture_time
 from ledgerloom.sources.tables import SNAPSHOT_AT, SNAPSHOT_ID, SOURCE_TABLES
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 LOOKUP_AT = datetime(2026, 9, 29, 12, 0)
 # The stored part of the two-step queries ends with this capture.
 STORED_CAPTURES = 2
+# Captures that the point-in-time tables in range form no longer have.
+REMOVED_CAPTURES = ["cap-1", "cap-3"]
 
 
 def all_queries() -> dict[str, Query]:
@@ -63,11 +65,13 @@ def all_queries() -> dict[str, Query]:
             bank, s, newer_only=True
         )
     found["sts_customer_account"] = lambda bank: _status(bank, bank.history("accounts"))
+    found["sts_customer_account_unlogged_capture"] = _status_beside_unlogged_rows
+    found["sat_journal_posting_amount_crowded"] = _crowded_satellite
     found["sts_customer_account_incremental"] = _status_in_two_steps
     found["sts_customer_account_newer_captures"] = lambda bank: _status_in_two_steps(bank, True)
     for name, pit in POINTS_IN_TIME.items():
         found[name] = lambda bank, p=pit: _pit(bank, p)
-        found[f"{name}_range_form"] = lambda bank, p=pit: _pit(bank, p, build_pit_pruned)
+        found[f"{name}_range_form"] = lambda bank, p=pit: _pit_of_remaining(bank, p)
         subject = name.removeprefix("pit_")
         found[f"{subject}_as_of"] = lambda bank, p=pit: _as_of(bank, p)
     return {
@@ -156,12 +160,31 @@ def _link_in_two_steps(bank: SampleBank, link: Link) -> DataFrame:
     return stored.unionByName(link_increment(_link_rows(bank, link), stored, link))
 
 
+def _newer(bank: SampleBank, table: str, newer_only: bool) -> tuple[DataFrame, Moment | None]:
+    """The captures a stored model has yet to see, and the last it has; or all, and None."""
+    if not newer_only:
+        return bank.history(table), None
+    last = Moment(capture_time(STORED_CAPTURES), f"cap-{STORED_CAPTURES}")
+    return bank.history(table, first=STORED_CAPTURES + 1), last
+
+
 def _satellite_in_two_steps(
     bank: SampleBank, satellite: Satellite, newer_only: bool = False
 ) -> DataFrame:
     stored = build_satellite(bank.history(satellite.table, last=STORED_CAPTURES), satellite)
-    history = bank.history(satellite.table)
-    return stored.unionByName(satellite_increment(history, stored, satellite, newer_only))
+    history, last = _newer(bank, satellite.table, newer_only)
+    return stored.unionByName(satellite_increment(history, stored, satellite, last))
+
+
+def _crowded_satellite(bank: SampleBank) -> DataFrame:
+    """Postings a third of which are versions of one, in every capture."""
+    crowd = F.col("journal_entry_id").substr(2, 20).cast("long") % 3 == 0
+    same = {"posting_id": "P0-D", "journal_entry_id": "J0", "gl_account_code": "1000"}
+    rows = bank.history("journal_postings").withColumn("_crowd", crowd)
+    rows = rows.withColumns(
+        {name: F.when(F.col("_crowd"), value).otherwise(F.col(name)) for name, value in same.items()}
+    )
+    return build_satellite(rows.drop("_crowd"), SATELLITES["sat_journal_posting_amount"])
 
 
 def _status(bank: SampleBank, history: DataFrame) -> DataFrame:
@@ -170,14 +193,29 @@ def _status(bank: SampleBank, history: DataFrame) -> DataFrame:
 
 def _status_in_two_steps(bank: SampleBank, newer_only: bool = False) -> DataFrame:
     stored = _status(bank, bank.history("accounts", last=STORED_CAPTURES))
-    history = bank.history("accounts")
+    history, last = _newer(bank, "accounts", newer_only)
+    captures = logged_captures(bank.load_log(), "accounts")
     return stored.unionByName(
-        status_increment(history, stored, CUSTOMER_ACCOUNT_STATUS, newer_only)
+        status_increment(history, stored, CUSTOMER_ACCOUNT_STATUS, captures, last)
     )
 
 
-def _pit(bank: SampleBank, pit: PointInTime, build=build_pit) -> DataFrame:
-    return _pit_over(bank, pit, _pit_satellite(bank, pit), build)
+def _status_beside_unlogged_rows(bank: SampleBank) -> DataFrame:
+    """A history that also holds rows of a run which ended before it was logged."""
+    partial = bank.history("accounts", first=CAPTURES).filter(F.col("account_id").endswith("1"))
+    partial = partial.withColumns(
+        {
+            SNAPSHOT_ID: F.concat(F.col(SNAPSHOT_ID), F.lit("-unlogged")),
+            SNAPSHOT_AT: F.col(SNAPSHOT_AT) + F.expr("interval 1 day"),
+        }
+    )
+    captures = logged_captures(bank.load_log(), "accounts")
+    history = of_captures(bank.history("accounts").unionByName(partial), captures)
+    return build_status(history, CUSTOMER_ACCOUNT_STATUS, captures)
+
+
+def _pit(bank: SampleBank, pit: PointInTime) -> DataFrame:
+    return _pit_over(bank, pit, _pit_satellite(bank, pit))
 
 
 def _as_of(bank: SampleBank, pit: PointInTime) -> DataFrame:
@@ -185,15 +223,23 @@ def _as_of(bank: SampleBank, pit: PointInTime) -> DataFrame:
     return as_of(_pit_over(bank, pit, satellite), satellite, LOOKUP_AT, pit)
 
 
+def _pit_of_remaining(bank: SampleBank, pit: PointInTime) -> DataFrame:
+    captures = capture_list(bank.history(pit.satellite.table))
+    return build_pit_pruned(
+        build_hub(bank.current(pit.satellite.table), pit.hub),
+        _pit_satellite(bank, pit),
+        captures.filter(~F.col("snapshot_id").isin(REMOVED_CAPTURES)),
+        pit,
+    )
+
+
 def _pit_satellite(bank: SampleBank, pit: PointInTime) -> DataFrame:
     return build_satellite(bank.history(pit.satellite.table), pit.satellite)
 
 
-def _pit_over(
-    bank: SampleBank, pit: PointInTime, satellite: DataFrame, build=build_pit
-) -> DataFrame:
+def _pit_over(bank: SampleBank, pit: PointInTime, satellite: DataFrame) -> DataFrame:
     table = pit.satellite.table
-    return build(
+    return build_pit(
         build_hub(bank.current(table), pit.hub),
         satellite,
         capture_list(bank.history(table)),

@@ -9,10 +9,11 @@ from functools import partial
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from ledgerloom.operators.captures import capture_list
+from ledgerloom.operators.captures import Moment
 from ledgerloom.operators.keyed import build_hub, link_increment
-from ledgerloom.operators.point_in_time import build_pit
+from ledgerloom.operators.point_in_time import build_pit_pruned
 from ledgerloom.operators.satellite import build_satellite, satellite_increment
 from ledgerloom.operators.specs import Hub, Link, Satellite, Status
 from ledgerloom.operators.status import status_increment
@@ -28,7 +29,7 @@ from ledgerloom.plans.silver import SILVER
 from ledgerloom.sources.readers import Reader
 from ledgerloom.sources.stamping import new_capture_id, stamp_current, utc_now
 from ledgerloom.sources.tables import SNAPSHOT_AT, SOURCE_TABLES, check_columns
-from ledgerloom.sources.warehouse import HISTORY, Warehouse
+from ledgerloom.sources.warehouse import HISTORY, LOAD_LOG, RUN_LOG, Warehouse
 
 CURRENT = "bronze"
 SILVER_SPACE = None  # current-state models name no namespace and go to the default one
@@ -50,77 +51,120 @@ def load_current(
 
 
 def load_captures(
-    warehouse: Warehouse, source: Reader, capture_id: str, captured_at: datetime
+    warehouse: Warehouse, source: Reader, capture_id: str, captured_at: datetime, parallel: int = 1
 ) -> dict[str, int | None]:
-    """Append one capture of every source table; returns rows per table, None if loaded before."""
-    return {
-        name: warehouse.append_capture(
-            name, check_columns(source(name), table), capture_id, captured_at
+    """Append one capture of every source table; returns rows per table, None if loaded before.
+
+    All tables are logged in one write. If one of them fails, those stored before are logged still,
+    so that a repeated run goes on where this one stopped.
+    """
+    stored: dict[str, int | None] = {}
+
+    def load(name: str) -> int | None:
+        rows = check_columns(source(name), SOURCE_TABLES[name])
+        stored[name] = warehouse.store_capture(name, rows, capture_id, captured_at)
+        return stored[name]
+
+    try:
+        return _each(warehouse, {name: lambda n=name: load(n) for name in SOURCE_TABLES}, parallel)
+    finally:
+        warehouse.log_captures(
+            [(name, capture_id, captured_at, n) for name, n in stored.items() if n is not None]
         )
-        for name, table in SOURCE_TABLES.items()
-    }
 
 
-def write_silver(warehouse: Warehouse) -> dict[str, int]:
-    return {
-        name: warehouse.replace(SILVER_SPACE, name, build(warehouse.read(CURRENT, table)))
-        for name, (table, build) in SILVER.items()
-    }
+def write_silver(warehouse: Warehouse, parallel: int = 1) -> dict[str, int]:
+    def write(name: str) -> int:
+        table, build = SILVER[name]
+        return warehouse.replace(SILVER_SPACE, name, build(warehouse.read(CURRENT, table)))
+
+    return _each(warehouse, {name: lambda n=name: write(n) for name in SILVER}, parallel)
 
 
-def write_gold(warehouse: Warehouse) -> dict[str, int]:
+def write_gold(warehouse: Warehouse, parallel: int = 1) -> dict[str, int]:
     def silver(name: str) -> DataFrame:
         return warehouse.read(SILVER_SPACE, name)
 
     customers, transactions = silver("silver_customers"), silver("silver_transactions")
-    summary = gold.account_transaction_summary(
-        silver("silver_accounts"), customers, transactions, silver("silver_gl_accounts")
-    )
-    daily_name = "gold_customer_daily_transactions"
-    written = {
-        "gold_account_transaction_summary": warehouse.replace(
-            GOLD_SPACE, "gold_account_transaction_summary", summary
-        ),
-        daily_name: warehouse.replace(
-            GOLD_SPACE, daily_name, gold.customer_daily_transactions(transactions, customers)
-        ),
-    }
+    summary_name, daily_name = "gold_account_transaction_summary", "gold_customer_daily_transactions"
+
+    def summary() -> int:
+        rows = gold.account_transaction_summary(
+            silver("silver_accounts"), customers, transactions, silver("silver_gl_accounts")
+        )
+        return warehouse.replace(GOLD_SPACE, summary_name, rows)
+
+    def daily() -> int:
+        rows = gold.customer_daily_transactions(transactions, customers)
+        return warehouse.replace(GOLD_SPACE, daily_name, rows)
+
+    written = _each(warehouse, {summary_name: summary, daily_name: daily}, parallel)
     top = gold.top_customers(warehouse.read(GOLD_SPACE, daily_name))
     written["gold_top_customer"] = warehouse.replace(GOLD_SPACE, "gold_top_customer", top)
     return written
 
 
 def write_vault(
-    warehouse: Warehouse, newer_only: bool = False, parallel: int = 1
+    warehouse: Warehouse, newer_only: bool = True, parallel: int = 1
 ) -> dict[str, int]:
     """Append what is new to hubs, links, satellites and the status satellite.
 
-    ``newer_only`` lets models over the captures read only those after their last stored row, which
-    is right as long as captures arrive in order. No model reads another one, so up to ``parallel``
-    of them are written at a time, and one with a long last task does not leave the cluster idle.
+    Only logged captures are read. A model over captures enters in the run log up to which capture it
+    is complete; with ``newer_only`` it reads those after that one, whether or not they changed
+    anything. If a capture was logged since with an earlier time, the whole history is compared. No
+    model reads another one, so up to ``parallel`` of them are written at a time, and one with a long
+    last task does not leave the cluster idle.
     """
     read = warehouse.read
     stored = partial(warehouse.read_if_exists, VAULT)
+    done: list[tuple[str, Moment, int]] = []
+
+    def captured(
+        model: str, table: str, write: Callable[[DataFrame, DataFrame, Moment | None], int]
+    ) -> int:
+        """Write from the captures a model has yet to see, and note that it has seen them."""
+        captures = warehouse.captures(table)
+        order = F.struct("load_dts", "snapshot_id")
+        number, newest = captures.agg(F.count(F.lit(1)), F.max(order)).first()
+        last = None
+        seen = warehouse.progress(VAULT, model) if newer_only else None
+        if seen is not None:
+            later = seen[0].before(F.col("load_dts"), F.col("snapshot_id"))
+            in_order = captures.filter(~later).count() == seen[1]
+            last = seen[0] if in_order else None
+        newer = captures.filter(later) if last else captures
+        written = write(warehouse.history(table, newer), captures, last)
+        if newest is not None:
+            done.append((model, Moment(newest["load_dts"], newest["snapshot_id"]), number))
+        return written
 
     def hub(model: Hub) -> int:
         built = build_hub(read(CURRENT, model.table), model)
         return warehouse.append_new(VAULT, model.name, built, [model.hash_key], model.hash_key)
 
     def link(model: Link) -> int:
-        captured = model.seen_at == SNAPSHOT_AT
-        rows = read(HISTORY if captured else CURRENT, model.table)
-        fresh = link_increment(rows, stored(model.name), model, newer_only and captured)
-        return warehouse.append(VAULT, model.name, fresh, model.hash_key)
+        def write(rows: DataFrame, *_) -> int:
+            fresh = link_increment(rows, stored(model.name), model)
+            return warehouse.append(VAULT, model.name, fresh, model.hash_key)
+
+        if model.seen_at == SNAPSHOT_AT:
+            return captured(model.name, model.table, write)
+        return write(read(CURRENT, model.table))
 
     def satellite(model: Satellite) -> int:
-        history = read(HISTORY, model.table)
-        fresh = satellite_increment(history, stored(model.name), model, newer_only)
-        return warehouse.append(VAULT, model.name, fresh)
+        def write(rows: DataFrame, _: DataFrame, last: Moment | None) -> int:
+            fresh = satellite_increment(rows, stored(model.name), model, last)
+            return warehouse.append(VAULT, model.name, fresh)
+
+        return captured(model.name, model.table, write)
 
     def status(model: Status) -> int:
-        history = read(HISTORY, model.link.table)
-        fresh = status_increment(history, stored(model.name), model, newer_only)
-        return warehouse.append(VAULT, model.name, fresh)
+        def write(rows: DataFrame, captures: DataFrame, last: Moment | None) -> int:
+            listed = None if model.per_source else captures
+            fresh = status_increment(rows, stored(model.name), model, listed, last)
+            return warehouse.append(VAULT, model.name, fresh)
+
+        return captured(model.name, model.link.table, write)
 
     steps = {}
     # The longest first: satellites compare whole captures.
@@ -131,6 +175,21 @@ def write_vault(
         (hub, HUBS.values()),
     ):
         steps |= {model.name: lambda w=write, m=model: w(m) for model in models}
+    try:
+        return _each(warehouse, steps, parallel)
+    finally:
+        warehouse.log_progress(VAULT, done)
+
+
+def compact(warehouse: Warehouse, parallel: int = 1) -> dict[str, bool]:
+    """Rewrite the tables that grow by small appends once they have gathered many files."""
+    steps = {
+        model.name: lambda m=model: warehouse.compact(VAULT, m.name, m.hash_key)
+        for model in [*HUBS.values(), *LINKS.values()]
+    }
+    for name in [*SATELLITES, CUSTOMER_ACCOUNT_STATUS.name, RUN_LOG]:
+        steps[name] = lambda n=name: warehouse.compact(VAULT, n)
+    steps[LOAD_LOG] = lambda: warehouse.compact(HISTORY, LOAD_LOG)
     return _each(warehouse, steps, parallel)
 
 
@@ -140,25 +199,30 @@ def rebuild_satellites(warehouse: Warehouse) -> dict[str, int]:
     Appended rows are never taken back, so a capture that arrives after a later one can leave a
     version which a full comparison would not have. This gives the exact result.
     """
+    def rows(table: str) -> DataFrame:
+        return warehouse.history(table, warehouse.captures(table))
+
     return {
-        name: warehouse.replace(
-            VAULT, name, build_satellite(warehouse.read(HISTORY, satellite.table), satellite)
-        )
+        name: warehouse.replace(VAULT, name, build_satellite(rows(satellite.table), satellite))
         for name, satellite in SATELLITES.items()
     }
 
 
-def write_business_vault(warehouse: Warehouse) -> dict[str, int]:
-    written = {}
-    for name, pit in POINTS_IN_TIME.items():
-        table = build_pit(
+def write_business_vault(warehouse: Warehouse, parallel: int = 1) -> dict[str, int]:
+    """Replace the point-in-time tables, for the captures the load log has; captures that were
+    removed from it are no pointers, and versions from them count from the next one on."""
+
+    def write(name: str) -> int:
+        pit = POINTS_IN_TIME[name]
+        table = build_pit_pruned(
             warehouse.read(VAULT, pit.hub.name),
             warehouse.read(VAULT, pit.satellite.name),
-            capture_list(warehouse.read(HISTORY, pit.satellite.table)),
+            warehouse.captures(pit.satellite.table),
             pit,
         )
-        written[name] = warehouse.replace(BUSINESS_VAULT, name, table)
-    return written
+        return warehouse.replace(BUSINESS_VAULT, name, table)
+
+    return _each(warehouse, {name: lambda n=name: write(n) for name in POINTS_IN_TIME}, parallel)
 
 
 def run_all(
@@ -166,25 +230,25 @@ def run_all(
     source: Reader,
     run_at: datetime | None = None,
     capture_id: str | None = None,
-    newer_only: bool | None = None,
+    newer_only: bool = True,
     parallel: int = 1,
 ) -> dict[str, dict]:
     """Run every step in order; repeating a run with its capture id and time adds nothing twice.
 
-    ``newer_only`` None decides by the load log: a capture later than every logged one needs only
-    the newer captures compared, so the cost of a run does not grow with the history. Any other,
-    late or repeated, is compared with the whole history. A run that failed is to be repeated.
+    ``newer_only`` lets each model read only the captures it has not seen, so that the cost of a run
+    does not grow with the history; False compares the whole history, as happens by itself after
+    a capture that arrives late. A run that failed is to be repeated.
     """
     run_at = run_at or utc_now()
-    if newer_only is None:
-        newer_only = warehouse.is_latest(run_at)
+    capture_id = capture_id or new_capture_id()
     return {
         "current": load_current(warehouse, source, run_at, parallel),
-        "silver": write_silver(warehouse),
-        "gold": write_gold(warehouse),
-        "captures": load_captures(warehouse, source, capture_id or new_capture_id(), run_at),
+        "silver": write_silver(warehouse, parallel),
+        "gold": write_gold(warehouse, parallel),
+        "captures": load_captures(warehouse, source, capture_id, run_at, parallel),
         "vault": write_vault(warehouse, newer_only, parallel),
-        "business_vault": write_business_vault(warehouse),
+        "business_vault": write_business_vault(warehouse, parallel),
+        "compacted": compact(warehouse, parallel),
     }
 
 

@@ -8,11 +8,15 @@ values, new owners. They select what changes, not what is read: all rows of the
 from __future__ import annotations
 
 from datetime import datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.sources.stamping import stamp_current, wall_clock
+from ledgerloom.sources.tables import (
+    INGESTED_AT as INGESTED_AT_COLUMN,
+)
 from ledgerloom.sources.tables import (
     SNAPSHOT_AT,
     SNAPSHOT_ID,
@@ -25,10 +29,17 @@ CAPTURES = 4
 FIRST_CAPTURE = datetime(2026, 9, 27)
 INGESTED_AT = datetime(2026, 9, 27)
 EARLIER_INGESTED_AT = datetime(2026, 9, 26)
+# Part of a current copy arrives with a second load.
+SECOND_LOAD_AT = datetime(2026, 9, 27, 6)
 
 # Integer key a table's rows derive from; kept until the change rules are applied.
 ROW = "_n"
 NUMBER = "_k"
+# Whether a row's key is one that has left the source since.
+GONE = "_gone"
+# Captures that still have such keys.
+GONE_AFTER = 2
+KEYS = {"customers": "customer_id", "accounts": "account_id"}
 
 
 class SampleBank:
@@ -43,24 +54,30 @@ class SampleBank:
         return self._base(name).drop(ROW)
 
     def current(self, name: str) -> DataFrame:
-        """The current copy; customers and accounts miss keys which the captures have."""
-        base = self._base(name)
-        if name in ("customers", "accounts"):
-            base = base.filter(F.col(ROW) % 37 != 0)
-        return stamp_current(base.drop(ROW), INGESTED_AT)
+        """The current copy: every row of the source, some of them from a second load."""
+        return self._current(name, self._base(name), INGESTED_AT, SECOND_LOAD_AT)
 
     def earlier_current(self, name: str) -> DataFrame:
         """The current copy of the day before, without the rows that arrive late."""
         base = self._base(name)
-        if name in ("customers", "accounts"):
-            base = base.filter(F.col(ROW) % 37 != 0)
         if name != "gl_accounts":
             base = base.filter(F.col(ROW) % 5 != 0)
-        return stamp_current(base.drop(ROW), EARLIER_INGESTED_AT)
+        return self._current(name, base, EARLIER_INGESTED_AT, EARLIER_INGESTED_AT)
+
+    def load_log(self) -> DataFrame:
+        """What the loads of all captures would have logged."""
+        counted = [
+            self.history(name)
+            .groupBy(F.col(SNAPSHOT_ID).alias("snapshot_id"), F.col(SNAPSHOT_AT).alias("snapshot_at"))
+            .agg(F.count(F.lit(1)).alias("row_count"))
+            .withColumn("table_name", F.lit(name))
+            for name in SOURCE_TABLES
+        ]
+        return reduce(DataFrame.unionByName, counted)
 
     def capture(self, name: str, number: int) -> DataFrame:
         """The source table as it was at one capture."""
-        return self._states(name, [number]).drop(ROW, NUMBER)
+        return self._states(name, [number]).drop(ROW, NUMBER, GONE)
 
     def history(self, name: str, first: int = 1, last: int = CAPTURES) -> DataFrame:
         """Stamped captures ``first`` to ``last`` of a table."""
@@ -73,7 +90,7 @@ class SampleBank:
             ),
         }
         states = self._states(name, list(range(first, last + 1)))
-        return states.withColumns(stamps).drop(ROW, NUMBER)
+        return states.withColumns(stamps).drop(ROW, NUMBER, GONE)
 
     def _read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.directory}/{name}.parquet")
@@ -82,11 +99,25 @@ class SampleBank:
         columns = [field.name for field in SOURCE_TABLES[name].schema.fields]
         return getattr(self, f"_{name}")().select(ROW, *columns)
 
+    def _current(
+        self, name: str, base: DataFrame, first: datetime, second: datetime
+    ) -> DataFrame:
+        stamped = stamp_current(base, first)
+        at = F.when(F.col(ROW) % 3 == 0, wall_clock(second)).otherwise(F.col(INGESTED_AT_COLUMN))
+        return stamped.withColumn(INGESTED_AT_COLUMN, at).drop(ROW)
+
     def _states(self, name: str, numbers: list[int]) -> DataFrame:
         n, k = F.col(ROW), F.col(NUMBER)
-        states = self._base(name).withColumn(
+        base = self._base(name).withColumn(GONE, F.lit(False))
+        if name in KEYS:
+            # Captures have keys which the current copy no longer has.
+            gone = base.filter(n % 37 == 0).withColumns(
+                {KEYS[name]: F.concat(F.trim(KEYS[name]), F.lit("-gone")), GONE: F.lit(True)}
+            )
+            base = base.unionByName(gone)
+        states = base.withColumn(
             NUMBER, F.explode(F.array(*[F.lit(number) for number in numbers]))
-        )
+        ).filter(~F.col(GONE) | (k <= GONE_AFTER))
         if name != "gl_accounts":
             states = states.filter(~((n % 5 == 0) & (k == 1)))
         if name == "accounts":
@@ -106,11 +137,20 @@ class SampleBank:
         )
 
     def _accounts(self) -> DataFrame:
+        """One account per customer, a second one for some; some are there twice, padded."""
         n = F.col("c_custkey")
         text = n.cast("string")
-        return self._read("customer").select(
+        plain = F.concat(F.lit("A"), text)
+        ids = F.array_compact(
+            F.array(
+                plain,
+                F.when(n % 3 == 0, F.concat(F.lit("B"), text)),
+                F.when(n % 12 == 0, F.concat(F.lit(" "), plain, F.lit("  "))),
+            )
+        )
+        return self._read("customer").withColumn("account_id", F.explode(ids)).select(
             n.alias(ROW),
-            F.concat(F.lit("A"), text).alias("account_id"),
+            "account_id",
             F.concat(F.lit("C"), text).alias("customer_id"),
             F.concat(F.lit("DE"), F.lpad(text, 10, "0")).alias("iban"),
             F.when(n % 20 == 0, "USD").otherwise("EUR").alias("currency"),
@@ -170,12 +210,14 @@ class SampleBank:
         )
 
     def _journal_postings(self) -> DataFrame:
+        """Two postings per order, some of them delivered more than once: as often as the order has
+        lines."""
         n, side = F.col("o_orderkey"), F.col("side")
         text = n.cast("string")
         amount = F.col("o_totalprice").cast("decimal(18,2)")
         code = (n + F.when(side == "D", 0).otherwise(1)) % 25 + 1000
         return (
-            self._read("orders")
+            self._delivered()
             .withColumn("side", F.explode(F.array(F.lit("D"), F.lit("C"))))
             .select(
                 n.alias(ROW),
@@ -190,6 +232,14 @@ class SampleBank:
             )
         )
 
+    def _delivered(self) -> DataFrame:
+        """Orders, every seventh once per line item, but at least once."""
+        orders, lines = self._read("orders"), self._read("lineitem").select("l_orderkey")
+        same = F.col("o_orderkey") == F.col("l_orderkey")
+        again = orders.join(lines, same, "left").drop("l_orderkey")
+        seventh = F.col("o_orderkey") % 7 == 0
+        return orders.filter(~seventh).unionByName(again.filter(seventh))
+
 
 def capture_time(number: int) -> datetime:
     return FIRST_CAPTURE + timedelta(days=number - 1)

@@ -9,16 +9,24 @@ from datetime import datetime
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerloom.operators.captures import Moment, logged_captures, of_captures
 from ledgerloom.operators.keyed import new_rows
 from ledgerloom.sources.stamping import stamp_capture, wall_clock
 from ledgerloom.sources.tables import SNAPSHOT_ID
 
 HISTORY = "bronze_history"
 LOAD_LOG = "load_log"
+RUN_LOG = "run_log"
 CAPTURE_ID = re.compile(r"[A-Za-z0-9._:-]+")
 LOAD_LOG_COLUMNS = (
     "table_name string, snapshot_id string, snapshot_at timestamp_ntz, row_count bigint"
 )
+# A model is complete up to this capture, which was the n-th of its table.
+RUN_LOG_COLUMNS = "model_name string, snapshot_id string, load_dts timestamp_ntz, captures bigint"
+# So many capture ids are named in a filter on the partition column; more are joined.
+NAMED_CAPTURES = 1_000
+# Files of a table beyond which ``compact`` rewrites it, per bucket (or in all without buckets).
+FILES_PER_BUCKET = 8
 
 
 class Warehouse:
@@ -58,7 +66,12 @@ class Warehouse:
         self.spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {self.namespace(namespace)}")
 
     def exists(self, namespace: str | None, table: str) -> bool:
-        return self.spark.catalog.tableExists(self.name(namespace, table))
+        name = self.name(namespace, table)
+        there = self.spark.catalog.tableExists
+        if not there(name) and there(f"{name}__old") and there(f"{name}__compact"):
+            # An interrupted ``compact`` had both ready.
+            self.spark.sql(f"ALTER TABLE {name}__compact RENAME TO {name}")
+        return there(name)
 
     def read(self, namespace: str | None, table: str) -> DataFrame:
         return self.spark.table(self.name(namespace, table))
@@ -128,12 +141,21 @@ class Warehouse:
     def append_capture(
         self, table: str, source: DataFrame, capture_id: str, captured_at: datetime
     ) -> int | None:
-        """Append one full capture of a source table, once per capture id.
+        """Append one full capture of a source table, once per capture id, and log it.
 
         A capture counts as loaded when the load log says so, which is written last. Without that
         entry, rows an interrupted run may have left under the id are replaced, so an interrupted
         run can be repeated with its id. Returns None if the capture was loaded already.
         """
+        written = self.store_capture(table, source, capture_id, captured_at)
+        if written is not None:
+            self.log_captures([(table, capture_id, captured_at, written)])
+        return written
+
+    def store_capture(
+        self, table: str, source: DataFrame, capture_id: str, captured_at: datetime
+    ) -> int | None:
+        """The same without the entry in the log; several captures can be logged in one write."""
         if not CAPTURE_ID.fullmatch(capture_id):
             raise ValueError(f"capture id must consist of letters, digits and ._:-, not {capture_id!r}")
         if self._logged(table, capture_id):
@@ -142,25 +164,80 @@ class Warehouse:
         name = self.name(HISTORY, table)
         stamped = stamp_capture(source, capture_id, captured_at)
         if not self.exists(HISTORY, table):
-            written = self.append(HISTORY, table, stamped, partition_by=SNAPSHOT_ID)
+            return self.append(HISTORY, table, stamped, partition_by=SNAPSHOT_ID)
+        counted, rows = self._counted(_in_order(stamped, self.spark.table(name), name))
+        if self.catalog:
+            counted.writeTo(name).overwrite(F.col(SNAPSHOT_ID) == capture_id)
         else:
-            counted, rows = self._counted(_in_order(stamped, self.spark.table(name), name))
-            if self.catalog:
-                counted.writeTo(name).overwrite(F.col(SNAPSHOT_ID) == capture_id)
-            else:
-                # Naming the partition limits the replacement to it, whatever the session settings,
-                # and takes away files an interrupted write left there unregistered.
-                self.spark.sql(
-                    f"INSERT OVERWRITE TABLE {name} PARTITION ({SNAPSHOT_ID} = '{capture_id}') "
-                    "SELECT * FROM {rows}",
-                    rows=counted.drop(SNAPSHOT_ID),
-                )
-            written = rows()
-        entry = self.spark.createDataFrame(
-            [(table, capture_id, captured_at, written)], LOAD_LOG_COLUMNS
-        )
-        self.append(HISTORY, LOAD_LOG, entry)
-        return written
+            # Naming the partition limits the replacement to it, whatever the session settings,
+            # and takes away files an interrupted write left there unregistered.
+            self.spark.sql(
+                f"INSERT OVERWRITE TABLE {name} PARTITION ({SNAPSHOT_ID} = '{capture_id}') "
+                "SELECT * FROM {rows}",
+                rows=counted.drop(SNAPSHOT_ID),
+            )
+        return rows()
+
+    def log_captures(self, entries: Sequence[tuple[str, str, datetime, int]]) -> None:
+        """Enter stored captures: table, capture id, time, rows. From here on they count."""
+        if entries:
+            rows = self.spark.createDataFrame(list(entries), LOAD_LOG_COLUMNS).coalesce(1)
+            self.append(HISTORY, LOAD_LOG, rows)
+
+    def captures(self, table: str) -> DataFrame:
+        """The captures of a source table that are logged and have rows."""
+        return logged_captures(self.load_log(), table)
+
+    def history(self, table: str, captures: DataFrame) -> DataFrame:
+        """The rows of these captures, reading only their partitions."""
+        rows = self.read(HISTORY, table)
+        named = [row["snapshot_id"] for row in captures.limit(NAMED_CAPTURES + 1).collect()]
+        if len(named) > NAMED_CAPTURES:
+            return of_captures(rows, captures)
+        return rows.filter(F.col(SNAPSHOT_ID).isin(named))
+
+    def progress(self, namespace: str, model: str) -> tuple[Moment, int] | None:
+        """The capture up to which a model is complete, and the how manieth it was."""
+        log = self.read_if_exists(namespace, RUN_LOG)
+        if log is None:
+            return None
+        entries = log.filter(F.col("model_name") == model)
+        last = entries.agg(F.max(F.struct("load_dts", "snapshot_id", "captures"))).first()[0]
+        return None if last is None else (Moment(last["load_dts"], last["snapshot_id"]), last["captures"])
+
+    def log_progress(self, namespace: str, entries: Sequence[tuple[str, Moment, int]]) -> None:
+        """Enter models that are complete up to a capture, after their rows are stored."""
+        if entries:
+            rows = [(model, last.snapshot_id, last.load_dts, number) for model, last, number in entries]
+            frame = self.spark.createDataFrame(rows, RUN_LOG_COLUMNS).coalesce(1)
+            self.append(namespace, RUN_LOG, frame)
+
+    def compact(self, namespace: str | None, table: str, bucket_key: str | None = None) -> bool:
+        """Rewrite a table that has gathered many files; whether it had.
+
+        The rewritten copy takes the table's name only when it is complete. A table of another
+        catalog is left to that catalog's own means.
+        """
+        if self.catalog or not self.exists(namespace, table):
+            return False
+        buckets = self.buckets if bucket_key and self.buckets else None
+        rows = self.read(namespace, table)
+        if len(rows.inputFiles()) <= FILES_PER_BUCKET * (buckets or 1):
+            return False
+        name = self.name(namespace, table)
+        self.spark.sql(f"DROP TABLE IF EXISTS {name}__compact")
+        if buckets:
+            rows = rows.repartition(buckets, bucket_key)
+            writer = rows.write.bucketBy(buckets, bucket_key)
+        else:
+            # As many files as their size asks for.
+            writer = rows.hint("rebalance").write
+        writer.format(self.table_format).saveAsTable(f"{name}__compact")
+        self.spark.sql(f"DROP TABLE IF EXISTS {name}__old")
+        self.spark.sql(f"ALTER TABLE {name} RENAME TO {name}__old")
+        self.spark.sql(f"ALTER TABLE {name}__compact RENAME TO {name}")
+        self.spark.sql(f"DROP TABLE {name}__old")
+        return True
 
     def is_latest(self, captured_at: datetime) -> bool:
         """Whether a capture at this time comes after every logged one."""

@@ -17,13 +17,15 @@ BASE = {
         from customer""",
     "accounts": """
         select c_custkey as n,
-               'A' || c_custkey::varchar as account_id,
+               case form when 1 then 'A' || c_custkey::varchar when 2 then 'B' || c_custkey::varchar
+                    else ' A' || c_custkey::varchar || '  ' end as account_id,
                'C' || c_custkey::varchar as customer_id,
                'DE' || lpad(c_custkey::varchar, 10, '0') as iban,
                case when c_custkey % 20 = 0 then 'USD' else 'EUR' end as currency,
                'ACTIVE' as status,
                date '2023-01-01' + cast(c_custkey % 1000 as int) as opened_at
-        from customer""",
+        from customer cross join (values (1), (2), (3)) as forms(form)
+        where form = 1 or (form = 2 and c_custkey % 3 = 0) or (form = 3 and c_custkey % 12 = 0)""",
     "gl_accounts": """
         select n_nationkey as n,
                (1000 + n_nationkey)::varchar as gl_account_code,
@@ -67,7 +69,11 @@ BASE = {
                     end as gl_account_code,
                case when side = 'D' then cast(o_totalprice as decimal(18,2)) end as debit_amount,
                case when side = 'C' then cast(o_totalprice as decimal(18,2)) end as credit_amount
-        from orders cross join (values ('D'), ('C')) as sides(side)""",
+        from (select * from orders where o_orderkey % 7 <> 0
+              union all
+              select orders.* from orders left join lineitem on l_orderkey = o_orderkey
+              where o_orderkey % 7 = 0) as delivered
+        cross join (values ('D'), ('C')) as sides(side)""",
 }
 
 # Present columns which a capture k replaces, and rows it has.
@@ -207,22 +213,27 @@ PITS = {
 LOOKUP_AT = "timestamp '2026-09-29 12:00:00'"
 
 
+# Keys that only the first two captures have.
+GONE = {
+    "customers": "trim(customer_id) || '-gone' as customer_id",
+    "accounts": "trim(account_id) || '-gone' as account_id",
+}
+
+
 def current(table: str, earlier: bool = False) -> str:
-    conditions = ["true"]
-    if table in ("customers", "accounts"):
-        conditions.append("n % 37 <> 0")
-    if earlier and table != "gl_accounts":
-        conditions.append("n % 5 <> 0")
-    day = "2026-09-26" if earlier else "2026-09-27"
+    conditions = ["n % 5 <> 0"] if earlier and table != "gl_accounts" else ["true"]
+    first = "2026-09-26 00:00:00" if earlier else "2026-09-27 00:00:00"
+    second = first if earlier else "2026-09-27 06:00:00"
     return f"""
         select * exclude (n), 'core_banking' as _source_system,
-               timestamp '{day} 00:00:00' as _ingested_at
+               case when n % 3 = 0 then timestamp '{second}' else timestamp '{first}' end
+                   as _ingested_at
         from ({BASE[table]}) as base
         where {" and ".join(conditions)}"""
 
 
 def history(table: str, last: int = 4) -> str:
-    conditions = [f"k <= {last}"]
+    conditions = [f"k <= {last}", "(not gone or k <= 2)"]
     if table != "gl_accounts":
         conditions.append("not (n % 5 = 0 and k = 1)")
     if table == "accounts":
@@ -232,12 +243,18 @@ def history(table: str, last: int = 4) -> str:
         "{1} as {0}".format(*[part.strip() for part in change.split(":=")])
         for change in STATE[table].split(";")
     )
+    rows = f"select *, false as gone from ({BASE[table]}) as base"
+    if table in GONE:
+        rows += f"""
+            union all
+            select * replace ({GONE[table]}), true as gone from ({BASE[table]}) as base
+            where n % 37 = 0"""
     return f"""
-        select * exclude (n, k) replace ({replaced}),
+        select * exclude (n, k, gone) replace ({replaced}),
                'core_banking' as _source_system,
                'cap-' || k::varchar as _snapshot_id,
                timestamp '2026-09-26 00:00:00' + to_days(cast(k as int)) as _snapshot_at
-        from ({BASE[table]}) as base
+        from ({rows}) as base
         cross join (values (1), (2), (3), (4)) as captures(k)
         where {" and ".join(conditions)}"""
 
@@ -441,6 +458,18 @@ def appended(stored: str, built: str, keys: list[str]) -> str:
         select * from built as b where not exists (select 1 from stored as e where {same})"""
 
 
+def crowded_postings() -> str:
+    """Captures in which a third of all postings are versions of one."""
+    return f"""
+        select * exclude (hash_) replace (
+            case when hash_ then 'P0-D' else posting_id end as posting_id,
+            case when hash_ then 'J0' else journal_entry_id end as journal_entry_id,
+            case when hash_ then '1000' else gl_account_code end as gl_account_code
+        )
+        from (select *, cast(substr(journal_entry_id, 2) as bigint) % 3 = 0 as hash_
+              from ({history("journal_postings")}) as rows) as marked"""
+
+
 def all_sql() -> dict[str, str]:
     tables = list(BASE)
     found = {
@@ -494,11 +523,19 @@ def all_sql() -> dict[str, str]:
         found["sts_customer_account"],
         ["customer_account_hk", "snapshot_id"],
     )
+    found["sts_customer_account_unlogged_capture"] = found["sts_customer_account"]
+    found["sat_journal_posting_amount_crowded"] = satellite(
+        "sat_journal_posting_amount", crowded_postings()
+    )
     found["sts_customer_account_newer_captures"] = found["sts_customer_account_incremental"]
     for name, (table, hub_name, satellite_name, _) in PITS.items():
-        rows = pit(name, found[hub_name], found[satellite_name], runs_of(history(table)))
+        runs = runs_of(history(table))
+        rows = pit(name, found[hub_name], found[satellite_name], runs)
         found[name] = rows
-        found[f"{name}_range_form"] = rows
+        remaining = f"select * from ({runs}) as runs where snapshot_id not in ('cap-1', 'cap-3')"
+        found[f"{name}_range_form"] = pit(
+            name, found[hub_name], found[satellite_name], remaining
+        )
         subject = name.removeprefix("pit_")
         found[f"{subject}_as_of"] = as_of(name, rows, found[satellite_name])
     return found

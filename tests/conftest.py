@@ -37,7 +37,7 @@ def data() -> str:
 def duck(data):
     connection = duckdb.connect()
     connection.execute("set timezone = 'UTC'")
-    for table in ("customer", "nation", "orders"):
+    for table in ("customer", "lineitem", "nation", "orders"):
         connection.execute(f"create view {table} as select * from '{data}/{table}.parquet'")
     yield connection
     connection.close()

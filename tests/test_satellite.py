@@ -1,8 +1,12 @@
 from __future__ import annotations
 
+from datetime import timedelta
+
 import pytest
-from helpers import account, account_history, bag, kept, load_duck, random_accounts, same
+from helpers import DAY, account, account_history, bag, kept, load_duck, random_accounts, same
+from pyspark.sql import functions as F
 
+from ledgerloom.operators.captures import Moment
 from ledgerloom.operators.keyed import new_rows
 from ledgerloom.operators.satellite import build_satellite, satellite_increment
 from ledgerloom.plans.models import ACCOUNT_DETAILS
@@ -40,51 +44,53 @@ def test_empty_and_single_capture(spark):
     assert build_satellite(one, ACCOUNT_DETAILS).count() == 1
 
 
-@pytest.mark.parametrize("hot_rows", [None, 0, 50, 1_000_000])
+@pytest.mark.parametrize("seed", [11, 12, 13])
 @pytest.mark.parametrize("crowded", [False, True])
-def test_random_history(spark, duck, hot_rows, crowded):
-    history = account_history(spark, random_accounts(11, crowded=crowded))
+def test_random_history(spark, duck, seed, crowded):
+    history = account_history(spark, random_accounts(seed, crowded=crowded))
     source = load_duck(duck, "history", history)
     # Copies within a capture are one version, as each equals the one before it.
     same(
-        build_satellite(history, ACCOUNT_DETAILS, hot_rows),
+        build_satellite(history, ACCOUNT_DETAILS),
         duck,
         sql.satellite("sat_account_details", source),
     )
 
 
-def test_more_hot_keys_than_the_list_holds(spark, monkeypatch):
-    history = account_history(spark, random_accounts(5, crowded=True))
-    expected = bag(build_satellite(history, ACCOUNT_DETAILS, None))
-    monkeypatch.setattr("ledgerloom.operators.satellite.HOT_KEYS", 3)
-    assert bag(build_satellite(history, ACCOUNT_DETAILS, 2)) == expected
+def after(history, captures, split):
+    """The captures after the first ``split``, and the last of these."""
+    at, name = captures[split - 1]
+    newer = history.filter(F.col("_snapshot_id").isin([n for _, n in captures[split:]]))
+    return newer, Moment(at, name)
 
 
 @pytest.mark.parametrize("newer_only", [False, True])
-@pytest.mark.parametrize("hot_rows", [None, 3])
-def test_two_runs_equal_one(spark, newer_only, hot_rows):
+def test_two_runs_equal_one(spark, newer_only):
     history = account_history(spark, random_accounts(7, crowded=True))
     captures = sorted(
         {(r["_snapshot_at"], r["_snapshot_id"]) for r in history.collect()}
     )
     names = [name for _, name in captures]
-    whole = bag(build_satellite(history, ACCOUNT_DETAILS, None))
+    whole = bag(build_satellite(history, ACCOUNT_DETAILS))
     for split in (1, 4):
         early = history.filter(history["_snapshot_id"].isin(names[:split]))
-        stored = kept(build_satellite(early, ACCOUNT_DETAILS, None))
-        added = satellite_increment(history, stored, ACCOUNT_DETAILS, newer_only, hot_rows)
-        after = kept(stored.unionByName(added))
-        assert bag(after) == whole
-        again = satellite_increment(history, after, ACCOUNT_DETAILS, newer_only, hot_rows)
-        assert again.isEmpty()
-
-
-def test_first_run_of_newer_only(spark):
+        stored = kept(build_satellite(early, ACCOUNT_DETAILS))
+        rows, last = after(history, captures, split) if newer_only else (history, None)
+        added = kept(satellite_increment(rows, stored, ACCOUNT_DETAILS, last))
+        complete = kept(stored.unionByName(added))
+        assert bag(complete) == whole
+        # The same again, or after a run that stored a part of it.
+        assert satellite_increment(rows, complete, ACCOUNT_DETAILS, last).isEmpty()
+        nothing, end = after(history, captures, len(captures))
+        assert satellite_increment(nothing, complete, ACCOUNT_DETAILS, end).isEmpty()
+
+
+def test_first_run(spark):
     history = account_history(spark, random_accounts(3))
     whole = bag(build_satellite(history, ACCOUNT_DETAILS))
-    assert bag(satellite_increment(history, None, ACCOUNT_DETAILS, True)) == whole
+    assert bag(satellite_increment(history, None, ACCOUNT_DETAILS)) == whole
     nothing = build_satellite(account_history(spark, []), ACCOUNT_DETAILS)
-    assert bag(satellite_increment(history, nothing, ACCOUNT_DETAILS, True)) == whole
+    assert bag(satellite_increment(history, nothing, ACCOUNT_DETAILS)) == whole
 
 
 def test_late_capture_is_added_and_nothing_taken_back(spark):
@@ -105,8 +111,35 @@ def test_stored_pairs_may_repeat(spark):
     assert new_rows(built, built, ["account_hk", "snapshot_id"], unique=False).isEmpty()
 
 
-def test_usual_plan_has_one_exchange(spark):
-    history = account_history(spark, random_accounts(2))
-    built = build_satellite(history, ACCOUNT_DETAILS)
-    plan = built._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 1
+def test_building_runs_no_job(spark):
+    history = account_history(spark, random_accounts(2, crowded=True))
+    spark.sparkContext.setJobGroup("building", "no job may run")
+    try:
+        build_satellite(history, ACCOUNT_DETAILS)
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("building")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_a_key_is_one_row_per_capture_and_task(spark):
+    """Rows of one key in one capture are combined before the exchange."""
+    rows = [account("HOT", "s0", 0, status=s) for s in "ABABAB" * 500]
+    rows += [account(f"A{i}", "s0", 0) for i in range(20)]
+    history = account_history(spark, rows).repartition(4).localCheckpoint()
+    plan = build_satellite(history, ACCOUNT_DETAILS)._jdf.queryExecution().executedPlan().toString()
+    first = plan[plan.index("partial_min(_version") :]
+    assert "Exchange" not in plan[: plan.index("partial_min(_version")].split("\n")[-1]
+    assert "Scan" in first
+    assert build_satellite(history, ACCOUNT_DETAILS).filter("account_id = 'HOT'").count() == 2
+
+
+def test_stored_versions_are_cut_to_the_newer_keys_first(spark):
+    history = account_history(spark, random_accounts(7))
+    stored = kept(build_satellite(history, ACCOUNT_DETAILS))
+    newer = account_history(spark, [account("A1", "s9", 90, status="x")])
+    last = Moment(DAY + timedelta(days=89), "s8")
+    fresh = satellite_increment(newer, stored, ACCOUNT_DETAILS, last)
+    plan = fresh._jdf.queryExecution().optimizedPlan().toString()
+    # Deeper in the plan is earlier.
+    assert plan.index("max_by") < plan.index("Join LeftSemi", plan.index("max_by"))
+    assert [s for _, s, _ in versions(fresh)] == ["s9"]

@@ -2,7 +2,9 @@ from __future__ import annotations
 
 import pytest
 from helpers import account, account_history, bag, kept, load_duck, random_accounts, same
+from pyspark.sql import functions as F
 
+from ledgerloom.operators.captures import Moment, capture_list
 from ledgerloom.operators.specs import Status
 from ledgerloom.operators.status import build_status, status_increment
 from ledgerloom.plans.models import CUSTOMER_ACCOUNT, CUSTOMER_ACCOUNT_STATUS
@@ -22,6 +24,14 @@ def test_random_history(spark, duck, seed):
     same(build_status(history, CUSTOMER_ACCOUNT_STATUS), duck, sql.status(source))
 
 
+def steps(history, captures, split, newer_only, per_source=False):
+    """What a second run reads: all, or the captures after the first ``split`` and their list."""
+    if not newer_only:
+        return history, None, None
+    newer = history.filter(F.col("_snapshot_id").isin([name for _, name in captures[split:]]))
+    return newer, capture_list(history, per_source), Moment(*captures[split - 1])
+
+
 @pytest.mark.parametrize("newer_only", [False, True])
 @pytest.mark.parametrize("seed", [1, 2])
 def test_two_runs_equal_one(spark, seed, newer_only):
@@ -33,11 +43,13 @@ def test_two_runs_equal_one(spark, seed, newer_only):
         for split in (1, 4):
             early = history.filter(history["_snapshot_id"].isin(names[:split]))
             stored = kept(build_status(early, status))
-            added = status_increment(history, stored, status, newer_only)
+            rows, listed, last = steps(history, captures, split, newer_only, status.per_source)
+            added = status_increment(rows, stored, status, listed, last)
             after = kept(stored.unionByName(added))
             if captures[split - 1][0] != captures[split][0]:
                 assert bag(after) == whole
-            assert status_increment(history, after, status, newer_only).isEmpty()
+            # The same again, as after an interrupted run.
+            assert status_increment(rows, after, status, listed, last).isEmpty()
 
 
 @pytest.mark.parametrize("newer_only", [False, True])
@@ -47,18 +59,30 @@ def test_split_within_one_instant(spark, newer_only):
     early = account_history(spark, stored_rows)
     stored = build_status(early, CUSTOMER_ACCOUNT_STATUS)
     history = early.unionByName(account_history(spark, [account("A2", "s3", 1)]))
+    captures = sorted({(r["_snapshot_at"], r["_snapshot_id"]) for r in history.collect()})
+    rows, listed, last = steps(history, captures, 3, newer_only)
     after = stored.unionByName(
-        status_increment(history, stored, CUSTOMER_ACCOUNT_STATUS, newer_only)
+        status_increment(rows, stored, CUSTOMER_ACCOUNT_STATUS, listed, last)
     )
     assert bag(after) == bag(build_status(history, CUSTOMER_ACCOUNT_STATUS))
 
 
-def test_first_run_of_newer_only(spark):
+def test_a_quiet_capture_changes_nothing(spark):
+    rows = [account("A1", f"s{i}", i) for i in range(4)]
+    history = account_history(spark, rows)
+    captures = sorted({(r["_snapshot_at"], r["_snapshot_id"]) for r in history.collect()})
+    stored = kept(build_status(history.filter("_snapshot_id <> 's3'"), CUSTOMER_ACCOUNT_STATUS))
+    newer, listed, last = steps(history, captures, 3, True)
+    assert last.snapshot_id == "s2"
+    assert status_increment(newer, stored, CUSTOMER_ACCOUNT_STATUS, listed, last).isEmpty()
+
+
+def test_first_run(spark):
     history = account_history(spark, random_accounts(3))
     whole = bag(build_status(history, CUSTOMER_ACCOUNT_STATUS))
-    assert bag(status_increment(history, None, CUSTOMER_ACCOUNT_STATUS, True)) == whole
+    assert bag(status_increment(history, None, CUSTOMER_ACCOUNT_STATUS)) == whole
     nothing = build_status(account_history(spark, []), CUSTOMER_ACCOUNT_STATUS)
-    assert bag(status_increment(history, nothing, CUSTOMER_ACCOUNT_STATUS, True)) == whole
+    assert bag(status_increment(history, nothing, CUSTOMER_ACCOUNT_STATUS)) == whole
 
 
 def test_gone_and_back(spark):

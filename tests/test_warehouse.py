@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators.keyed import build_hub, build_link, new_rows
 from ledgerloom.operators.point_in_time import build_pit
-from ledgerloom.operators.captures import capture_list
+from ledgerloom.operators.captures import Moment, capture_list
 from ledgerloom.operators.satellite import build_satellite
 from ledgerloom.operators.status import build_status
 from ledgerloom.plans import gold
@@ -21,7 +21,13 @@ from ledgerloom.plans.models import (
     POINTS_IN_TIME,
     SATELLITES,
 )
-from ledgerloom.plans.run import load_captures, load_current, rebuild_satellites, run_all
+from ledgerloom.plans.run import (
+    load_captures,
+    load_current,
+    rebuild_satellites,
+    run_all,
+    write_vault,
+)
 from ledgerloom.plans.silver import SILVER
 from ledgerloom.sources.readers import file_reader, frame_reader, row_counts
 from ledgerloom.sources.sample import CAPTURES, SampleBank, capture_time
@@ -51,7 +57,7 @@ def test_several_runs(empty, data):
     bank, last = SampleBank(empty, data), CAPTURES
     warehouse = Warehouse(empty, buckets=3)
 
-    def run(number, newer_only=None):
+    def run(number, newer_only=True):
         return run_all(
             warehouse,
             source_at(bank, number),
@@ -61,10 +67,10 @@ def test_several_runs(empty, data):
             parallel=4,
         )
 
-    # One run compares the whole history, the others only what is newer, as the load log allows it.
+    # One run compares the whole history, the others only what is newer.
     for number in range(1, last + 1):
         assert warehouse.is_latest(capture_time(number))
-        report = run(number, False if number == 2 else None)
+        report = run(number, number != 2)
     assert not warehouse.is_latest(capture_time(last))
     # A repeated run appends nothing anywhere.
     again = run(last)
@@ -196,6 +202,155 @@ def test_bucketed_target_is_read_in_place(empty, data):
         empty.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def bank_of_accounts(spark, rows):
+    """A source in which only accounts have rows."""
+    frames = {name: spark.createDataFrame([], table.schema) for name, table in SOURCE_TABLES.items()}
+    made = account_history(spark, rows).select(*SOURCE_TABLES["accounts"].schema.names)
+    return frame_reader(frames | {"accounts": made})
+
+
+def load(warehouse, source, capture_id, at):
+    load_current(warehouse, source, at)
+    return load_captures(warehouse, source, capture_id, at)
+
+
+def stored(warehouse, name):
+    return warehouse.read("raw_vault", name)
+
+
+def test_rows_without_log_entry_are_no_capture(empty):
+    """Rows of a run that ended before it was logged close and open nothing."""
+    warehouse = Warehouse(empty)
+    rows = [account(f"A{i}", "x", 0) for i in range(12)]
+    day = datetime(2026, 1, 1)
+    run_all(warehouse, bank_of_accounts(empty, rows), day, "c1")
+    before = bag(stored(warehouse, "sts_customer_account"))
+    left = warehouse.read("bronze_history", "accounts").limit(3).withColumns(
+        {"_snapshot_id": F.lit("c2"), "_snapshot_at": F.col("_snapshot_at") + F.expr("interval 1 day")}
+    )
+    warehouse.append("bronze_history", "accounts", left, partition_by="_snapshot_id")
+    run_all(warehouse, bank_of_accounts(empty, rows), day + timedelta(days=2), "c3")
+    assert bag(stored(warehouse, "sts_customer_account")) == before
+    rebuild_satellites(warehouse)
+    assert stored(warehouse, "sat_account_details").count() == 12
+
+
+def test_a_run_reads_only_captures_it_has_not_seen(empty):
+    """Also of a table that never changes, and the captures are partitions to the scan."""
+    warehouse = Warehouse(empty)
+    rows = [account(f"A{i}", "x", 0) for i in range(5)]
+    for number in range(10):
+        at = datetime(2026, 1, 1) + timedelta(days=number)
+        load(warehouse, bank_of_accounts(empty, rows), f"c{number}", at)
+        write_vault(warehouse)
+    assert warehouse.progress("raw_vault", "sat_account_details") == (
+        Moment(datetime(2026, 1, 10), "c9"), 10,
+    )
+    load(warehouse, bank_of_accounts(empty, rows), "c10", datetime(2026, 1, 11))
+    seen, number = warehouse.progress("raw_vault", "sat_account_details")
+    newer = warehouse.captures("accounts").filter(
+        seen.before(F.col("load_dts"), F.col("snapshot_id"))
+    )
+    one = warehouse.history("accounts", newer)
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "c10" in plan[plan.index("PartitionFilters") :].split("]")[0]
+    assert {path.split("_snapshot_id=")[1].split("/")[0] for path in one.inputFiles()} == {"c10"}
+    assert stored(warehouse, "sat_account_details").count() == 5
+    assert write_vault(warehouse)["sat_account_details"] == 0
+
+
+def test_many_captures_to_catch_up_with_are_joined(empty, monkeypatch):
+    monkeypatch.setattr("ledgerloom.sources.warehouse.NAMED_CAPTURES", 1)
+    warehouse = Warehouse(empty)
+    for number in range(3):
+        rows = [account("A1", "x", 0, status=f"s{number}")]
+        at = datetime(2026, 1, 1) + timedelta(days=number)
+        load(warehouse, bank_of_accounts(empty, rows), f"c{number}", at)
+    assert write_vault(warehouse)["sat_account_details"] == 3
+
+
+def test_a_late_capture_is_compared_with_all(empty):
+    warehouse = Warehouse(empty)
+    for number, status in ((1, "a"), (3, "b"), (2, "c")):
+        at = datetime(2026, 1, 1) + timedelta(days=number)
+        rows = [account("A1", "x", 0, status=status)]
+        load(warehouse, bank_of_accounts(empty, rows), f"c{number}", at)
+        write_vault(warehouse)
+    found = stored(warehouse, "sat_account_details").orderBy("load_dts").collect()
+    assert [r["status"] for r in found] == ["a", "c", "b"]
+
+
+def test_an_interrupted_write_is_not_doubled(empty, monkeypatch):
+    """Rows were stored, but the run ended before the run log was written."""
+    warehouse = Warehouse(empty)
+    for number in range(1, 4):
+        rows = [account(f"A{i}", "x", 0, status=f"s{number}") for i in range(4 + number)]
+        at = datetime(2026, 1, number)
+        load(warehouse, bank_of_accounts(empty, rows), f"c{number}", at)
+        with monkeypatch.context() as patch:
+            if number == 2:
+                patch.setattr(warehouse, "log_progress", lambda *_: None)
+            write_vault(warehouse)
+        write_vault(warehouse)
+    history = warehouse.read("bronze_history", "accounts")
+    assert bag(stored(warehouse, "sat_account_details")) == bag(
+        build_satellite(history, SATELLITES["sat_account_details"])
+    )
+    assert bag(stored(warehouse, "sts_customer_account")) == bag(
+        build_status(history, CUSTOMER_ACCOUNT_STATUS)
+    )
+
+
+def test_a_failed_load_goes_on_where_it_stopped(empty):
+    warehouse = Warehouse(empty)
+    at = datetime(2026, 1, 1)
+    good = bank_of_accounts(empty, [account("A1", "x", 0)])
+
+    def failing(name):
+        if name == "journal_postings":
+            raise OSError("no connection")
+        return good(name)
+
+    with pytest.raises(OSError):
+        load_captures(warehouse, failing, "c1", at)
+    logged = {r["table_name"] for r in warehouse.load_log().collect()}
+    assert "accounts" in logged and "journal_postings" not in logged
+    again = load_captures(warehouse, good, "c1", at)
+    assert again["accounts"] is None and again["journal_postings"] == 0
+
+
+def test_files_stay_few(empty):
+    """Thirty runs of small appends; the rows stay as they are."""
+    warehouse = Warehouse(empty, buckets=3)
+    hub = HUBS["hub_account"]
+    for number in range(30):
+        rows = empty.range(number * 4, number * 4 + 4).select(
+            F.format_string("h%d", "id").alias(hub.hash_key),
+            F.format_string("A%d", "id").alias(hub.key),
+            F.lit("x").alias("record_source"),
+        )
+        warehouse.append_new("raw_vault", hub.name, rows, [hub.hash_key], hub.hash_key)
+        warehouse.log_captures([("accounts", f"c{number}", datetime(2026, 1, 1), 4)])
+        warehouse.compact("raw_vault", hub.name, hub.hash_key)
+        warehouse.compact("bronze_history", "load_log")
+        assert len(stored(warehouse, hub.name).inputFiles()) <= 9 * 3
+        assert len(warehouse.load_log().inputFiles()) <= 9
+    assert stored(warehouse, hub.name).count() == 120
+    assert warehouse.load_log().count() == 30
+    plan = stored(warehouse, hub.name)._jdf.queryExecution().executedPlan().toString()
+    assert "Bucketed: true" in plan or "Bucketed: false (disabled by query planner)" in plan
+
+
+def test_an_interrupted_compaction_loses_nothing(empty):
+    warehouse = Warehouse(empty)
+    warehouse.log_captures([("accounts", "c1", datetime(2026, 1, 1), 4)])
+    name = warehouse.name("bronze_history", "load_log")
+    warehouse.load_log().write.saveAsTable(f"{name}__compact")
+    empty.sql(f"ALTER TABLE {name} RENAME TO {name}__old")
+    assert warehouse.exists("bronze_history", "load_log")
+    assert warehouse.load_log().count() == 1
+
+
 def test_rebuild_takes_late_versions_back(empty):
     warehouse = Warehouse(empty)
     history = account_history(
@@ -210,6 +365,8 @@ def test_rebuild_takes_late_versions_back(empty):
             )
         )
         rows.write.saveAsTable(f"bronze_history.{name}")
+    times = [datetime(2026, 1, 1) + timedelta(days=i) for i in range(3)]
+    warehouse.log_captures([("accounts", f"s{i}", at, 1) for i, at in enumerate(times)])
     assert rebuild_satellites(warehouse)["sat_account_details"] == 2
     assert warehouse.read("raw_vault", "sat_account_details").count() == 2
 
