@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+# Narrow rows of one file.
+FILE_ROWS = 100_000
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -30,10 +32,13 @@ def new_folder(spark: SparkSession, kind: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{kind}-{uuid.uuid4().hex}"
 
 
-def kept(df: DataFrame) -> DataFrame:
-    """The rows of ``df`` as files in the shared folder, which outlive an executor."""
+def kept(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """The rows of ``df`` as files in the shared folder, which outlive an executor.
+
+    ``rows`` is about how many narrow rows there are, if that is known: few rows need few files.
+    """
     shared_folder(df.sparkSession)
-    return df.checkpoint()
+    return (df if rows is None else df.coalesce(1 + rows // FILE_ROWS)).checkpoint()
 
 
 def file_system(uri: str) -> tuple[fs.FileSystem, str]:

@@ -23,7 +23,8 @@ def components(links: DataFrame) -> DataFrame:
     stars = kept(valid.select(a.alias("a"), b.alias("b")).distinct())
     state = _state(stars)
     while state[0]:
-        stars = _small_star(_large_star(stars))
+        # No step makes more links than it is given.
+        stars = _small_star(_large_star(stars, state[0]), state[0])
         before, state = state, _state(stars)
         if state == before:
             break
@@ -35,19 +36,24 @@ def _state(links: DataFrame) -> tuple:
     return tuple(links.agg(F.count("*"), F.sum(F.hash("a", "b").cast("long"))).first())
 
 
-def _large_star(links: DataFrame) -> DataFrame:
+def _lowest(links: DataFrame, number: int) -> DataFrame:
+    """The smallest neighbour below each node that has one."""
+    return kept(links.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("low")), number)
+
+
+def _large_star(links: DataFrame, number: int) -> DataFrame:
     """Join the larger neighbours of each node to the smallest of its neighbours and itself."""
-    lowest = kept(links.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("low")))
+    lowest = _lowest(links, number)
     up = links.join(lowest, links["b"] == lowest["node"], "left")
-    return kept(up.select("a", F.coalesce("low", "b").alias("b")).distinct())
+    return kept(up.select("a", F.coalesce("low", "b").alias("b")).distinct(), number)
 
 
-def _small_star(links: DataFrame) -> DataFrame:
+def _small_star(links: DataFrame, number: int) -> DataFrame:
     """Join the smaller neighbours of each node, and itself, to the smallest of them."""
-    lowest = kept(links.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("low")))
+    lowest = _lowest(links, number)
     moved = links.join(lowest, links["a"] == lowest["node"]).select(F.col("b").alias("a"), F.col("low").alias("b"))
     own = lowest.select(F.col("node").alias("a"), F.col("low").alias("b"))
-    return kept(moved.filter("a <> b").union(own).distinct())
+    return kept(moved.filter("a <> b").union(own).distinct(), number)
 
 
 def merge(parent: np.ndarray, left: np.ndarray, right: np.ndarray) -> None:

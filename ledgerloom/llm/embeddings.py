@@ -58,6 +58,7 @@ def near_duplicates(
         .agg(F.min("vec_id").alias("first_id"), F.count("*").alias("weight"))
         .withColumn("node", F.monotonically_increasing_id())
     )
+    number = classes.count()
     sized = classes.select("label", F.size("vector").alias("size"), "node", "weight", "vector")
     shards = (
         sized.groupBy(F.col("label").alias("of_label"), F.col("size").alias("of_size"))
@@ -100,18 +101,21 @@ def near_duplicates(
         return _links(left.iloc[0], right.iloc[0], cosine, beam)
 
     found = kept(
-        held.groupBy(*keys).cogroup(asking.groupBy(*keys)).applyInPandas(search, "node long, links long, other long")
+        held.groupBy(*keys).cogroup(asking.groupBy(*keys)).applyInPandas(search, "node long, links long, other long"),
+        number,
     )
     counted = found.groupBy(F.col("node").alias("of_node")).agg(F.sum("links").alias("links"))
     roots = components(found.filter("other is not null").select(F.col("node").alias("a"), F.col("other").alias("b")))
     rooted = kept(
         classes.select("node", "first_id")
         .join(roots.withColumnRenamed("node", "named"), F.col("node") == F.col("named"), "left")
-        .select("node", "first_id", F.coalesce("root", "node").alias("root"))
+        .select("node", "first_id", F.coalesce("root", "node").alias("root")),
+        number,
     )
-    smallest = kept(rooted.groupBy(F.col("root").alias("top")).agg(F.min("first_id").alias("component_id")))
+    smallest = kept(rooted.groupBy(F.col("root").alias("top")).agg(F.min("first_id").alias("component_id")), number)
+    named = rooted.join(smallest, F.col("root") == F.col("top")).select(F.col("node").alias("its"), "component_id")
     answers = kept(
-        classes.join(kept(rooted.join(smallest, F.col("root") == F.col("top")).select(F.col("node").alias("its"), "component_id")), F.col("node") == F.col("its"))
+        classes.join(kept(named, number), F.col("node") == F.col("its"))
         .join(counted, F.col("node") == F.col("of_node"), "left")
         .select(
             F.col("label").alias("of_label"),

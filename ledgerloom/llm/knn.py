@@ -110,8 +110,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = NEAREST, pivots: int
                 yield _best(some.as_buffer(), against.as_buffer(), k)
 
     found = (
-        kept(data)
-        .join(kept(asked), F.col("cell") == F.col("of_cell"))
+        data.join(asked, F.col("cell") == F.col("of_cell"))
         .select("asked", "rows")
         .mapInArrow(solve, "query_row long, query_id long, vec_id long, score long")
     )

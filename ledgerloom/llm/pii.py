@@ -200,7 +200,7 @@ def fit(documents: DataFrame) -> SpanModel | None:
     """
     votes = [f"span.{name} as `{name}`" for name in VOTES]
     found = documents.select(F.explode(candidates(or_empty(F.col("text")))).alias("span"))
-    patterns = kept(found.selectExpr("span.kind as kind", *votes).groupBy("kind", *VOTES).count())
+    patterns = kept(found.selectExpr("span.kind as kind", *votes).groupBy("kind", *VOTES).count(), 0)
     rows = [(tuple(row[name] for name in VOTES), row["kind"], row["count"]) for row in patterns.collect()]
     if not rows:
         return None

@@ -20,8 +20,12 @@ REVISIT_FROM = 1_000
 # Bytes of a file that a task fills, and of a range that a task reads.
 FILE_BYTES = 32_000_000
 RANGE = 8_000_000
+# Tasks that read ranges, at most; beyond, a task reads several.
+MOST_TASKS = 10_000
 # Groups of equal payloads that are sent to all tasks, at most: some 100 bytes each.
 BROADCAST_GROUPS = 100_000
+# Tasks that write the groups of equal payloads, a small row each.
+WRITERS = 64
 # A record has no date of its own in the pages.
 DATE = "1970-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -84,13 +88,14 @@ def write(pages: DataFrame, folder: str | None = None, file_bytes: int = FILE_BY
         F.sha2(F.col("payload").cast("binary"), 256).alias("same"),
     )
     # Equal payloads are counted in each task before they meet.
-    groups = kept(
+    groups = (
         keyed.filter(F.col("size") >= REVISIT_FROM)
         .groupBy(F.col("same").alias("of_same"))
         .agg(F.max("page_id").alias("holder"), F.count("*").alias("copies"))
         .filter("copies > 1 and holder is not null")
         .drop("copies")
     )
+    groups = kept(groups.coalesce(WRITERS))
     few = groups.limit(BROADCAST_GROUPS + 1).count() <= BROADCAST_GROUPS
     held = keyed.join(
         F.broadcast(groups) if few else groups, (F.col("same") == F.col("of_same")) & (F.col("size") >= REVISIT_FROM), "left"
@@ -141,10 +146,13 @@ def read(spark: SparkSession, folder: str, range_bytes: int = RANGE) -> DataFram
     ranges = kept(
         files.filter("length > 0").selectExpr(
             "path as file", "length", f"explode(sequence(0L, length - 1, {range_bytes}L)) as begin"
-        )
+        ),
+        0,
     )
-    longest = ranges.agg(F.max("length")).first()[0] or 0
-    dealt = ranges.repartition("file", "begin")
+    longest, number = ranges.agg(F.coalesce(F.max("length"), F.lit(0)), F.count("*")).first()
+    # A range is a task's work; a chain enters each range at one place, of few that look like one.
+    tasks = max(1, min(number, MOST_TASKS))
+    dealt = ranges.repartition(tasks)
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -158,16 +166,18 @@ def read(spark: SparkSession, folder: str, range_bytes: int = RANGE) -> DataFram
     # Only places that some chain enters matter between ranges.
     entered = found.filter("exit >= 0").selectExpr("file", "exit as at").distinct()
     jumps = kept(
-        found.join(entered, ["file", "at"], "left_semi").union(found.filter("at = 0")).distinct()
+        found.join(entered, ["file", "at"], "left_semi").union(found.filter("at = 0")).distinct().coalesce(tasks)
     )
     reached = jumps.filter("at = 0").select("file", "at")
     for _ in range(max(0, -(-longest // range_bytes) - 1).bit_length()):
         onward = jumps.selectExpr("file as to_file", "at as to_at", "exit as to_exit")
         there = F.expr("file = to_file and exit = to_at")
         reached = kept(
-            reached.union(reached.join(jumps, ["file", "at"]).select("file", F.col("exit").alias("at")).filter("at >= 0")).distinct()
+            reached.union(reached.join(jumps, ["file", "at"]).select("file", F.col("exit").alias("at")).filter("at >= 0")).distinct(),
+            number,
         )
-        jumps = kept(jumps.join(onward, there, "left").selectExpr("file", "at", "coalesce(to_exit, -1L) as exit"))
+        farther = jumps.join(onward, there, "left").selectExpr("file", "at", "coalesce(to_exit, -1L) as exit")
+        jumps = kept(farther.coalesce(tasks))
     entries = reached.selectExpr("file as in_file", "at", f"at div {range_bytes}L * {range_bytes}L as in_begin")
     starts = ranges.join(entries, F.expr("file = in_file and begin = in_begin")).select("file", "length", "begin", "at")
 
@@ -176,7 +186,7 @@ def read(spark: SparkSession, folder: str, range_bytes: int = RANGE) -> DataFram
             for file, length, begin, at in zip(*(column.to_pylist() for column in batch.columns)):
                 yield from _records(file, length, min(begin + range_bytes, length), at)
 
-    return starts.repartition("file", "begin").mapInArrow(records, RECORD)
+    return starts.repartition(tasks).mapInArrow(records, RECORD)
 
 
 class _File:
