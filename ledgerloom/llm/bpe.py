@@ -3,20 +3,33 @@
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import in_slices, kept, or_empty, texts_of
+from ledgerloom.llm.common import in_slices, kept, or_empty, ragged_take, texts_of
 
 # Characters of a chunk, and those it shares with the next one.
 CHUNK = 16_384
 OVERLAP = 1_024
+# Bytes of text, and ids, a task works on at once.
+SLICE = 4_000_000
+
+
+@dataclass(frozen=True)
+class Derive:
+    """Columns made of the ids of a batch of documents (and their decoded bytes), with their schema."""
+
+    schema: str
+    columns: Callable[[list[pa.Array]], list[pa.Array]]
 
 
 @lru_cache(maxsize=4)
@@ -32,6 +45,34 @@ def _splitter(pattern: str) -> regex.Pattern:
     return regex.compile(pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}"))
 
 
+def _ids(codec: tiktoken.Encoding, texts: pa.Array) -> pa.ListArray:
+    # No special tokens are known, so this is ordinary encoding.
+    ids = [codec.encode_to_numpy(text, disallowed_special=()) for text in texts_of(texts)]
+    ends = np.cumsum([0, *map(len, ids)])
+    flat = np.concatenate([np.empty(0, np.uint32), *ids]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
+
+
+@lru_cache(maxsize=4)
+def _bytes_of_ids(ranks_path: str, pattern: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes of all ids in a row, and where those of each id start and how many they are."""
+    codec = encoding(ranks_path, pattern)
+    tokens = [codec.decode_single_token_bytes(i) for i in range(codec.n_vocab)]
+    lengths = np.array([len(token) for token in tokens], np.int64)
+    return np.frombuffer(b"".join(tokens), np.uint8), np.cumsum(lengths) - lengths, lengths
+
+
+def _decoded(column: pa.ListArray, ranks_path: str, pattern: str) -> pa.Array:
+    """The bytes of all ids of each list one after another; those of a null list are none."""
+    flat, starts, lengths = _bytes_of_ids(ranks_path, pattern)
+    ids = column.flatten().to_numpy()
+    counts = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+    ends = np.concatenate(([0], np.cumsum(lengths[ids])))[np.concatenate(([0], np.cumsum(counts)))]
+    parts = [ragged_take(flat, starts[some], lengths[some]) for some in np.array_split(ids, 1 + len(ids) // 500_000)]
+    buffers = [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(np.concatenate(parts))]
+    return pa.Array.from_buffers(pa.binary(), len(column), buffers)
+
+
 def encode(
     documents: DataFrame,
     ranks_path: str,
@@ -40,9 +81,15 @@ def encode(
     text_column: str = "text",
     chunk: int = CHUNK,
     overlap: int = OVERLAP,
+    decoded: bool = False,
+    derive: Derive | None = None,
 ) -> DataFrame:
     """One row per document: its id and ``ids`` (array of int), without special tokens.
 
+    With ``decoded``, the tasks that encode decode the ids again, as :func:`decode` does; ids sent on
+    to another Python worker for this would need twice as many workers in memory. With ``derive``,
+    the columns it makes of these are returned instead.
+
     A text of more than ``chunk`` characters is cut into chunks that overlap. Each is split into
     pre-tokens by itself; two neighbours are stitched at the first place in their overlap where both
     begin a pre-token, since from there on both see the same. The pieces between stitches are encoded
@@ -56,14 +103,27 @@ def encode(
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = encoding(ranks_path, pattern)
         for batch in batches:
-            for part in in_slices(batch, 1):
-                ids = [codec.encode_ordinary(text) for text in texts_of(part.column(1))]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.list_(pa.int32()))], ["id", "ids"])
+            for part in in_slices(batch, 1, SLICE):
+                columns = finish(_ids(codec, part.column(1)))
+                yield pa.RecordBatch.from_arrays([part.column(0), *columns], ["id", *names])
+
+    def finish(ids: pa.ListArray) -> list[pa.Array]:
+        found = [ids, *([_decoded(ids, ranks_path, pattern)] if decoded else [])]
+        return derive.columns(found) if derive else found
+
+    def finished(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in in_slices(batch, 1, SLICE // 4):
+                yield pa.RecordBatch.from_arrays([part.column(0), *finish(part.column(1))], ["id", *names])
 
     kind = documents.schema[id_column].dataType.simpleString()
-    schema = f"id {kind}, ids array<int>"
+    made = derive.schema if derive else "ids array<int>" + (", decoded binary" if decoded else "")
+    names = [column.split()[0] for column in made.split(", ")]
+    schema = f"id {kind}, {made}"
     short = texts.filter(~is_long).mapInArrow(whole, schema)
     long = _encode_long(texts.filter(is_long), ranks_path, pattern, chunk, overlap)
+    if decoded or derive:
+        long = long.mapInArrow(finished, schema)
     return short.union(long).withColumnRenamed("id", id_column)
 
 
@@ -111,7 +171,7 @@ def _encode_long(texts: DataFrame, ranks_path: str, pattern: str, chunk: int, ov
         "lead(begin) over (partition by row order by k) as end",
         "bool_and(begin is not null) over (partition by row) as agree",
     )
-    placed = chunks.join(kept(stitches), F.expr("row = of_row and k = of_k"))
+    placed = chunks.join(kept(stitches, chunks.count()), F.expr("row = of_row and k = of_k"))
     first = F.col("begin") - F.col("k") * chunk
     pieces = placed.filter("agree").select(
         "id",
@@ -141,11 +201,9 @@ def _encode_long(texts: DataFrame, ranks_path: str, pattern: str, chunk: int, ov
     def encode_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = encoding(ranks_path, pattern)
         for batch in batches:
-            for part in in_slices(batch, 3):
-                ids = [codec.encode_ordinary(text) for text in texts_of(part.column(3))]
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:3], pa.array(ids, pa.list_(pa.int32()))], ["id", "row", "k", "ids"]
-                )
+            for part in in_slices(batch, 3, SLICE):
+                ids = _ids(codec, part.column(3))
+                yield pa.RecordBatch.from_arrays([*part.columns[:3], ids], ["id", "row", "k", "ids"])
 
     encoded = pieces.union(apart).mapInArrow(encode_pieces, f"id {kind}, row long, k long, ids array<int>")
     whole = encoded.groupBy("row").agg(
@@ -160,11 +218,9 @@ def decode(encoded: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     at = encoded.columns.index("ids")
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = encoding(ranks_path, pattern)
         for batch in batches:
-            texts = [codec.decode_bytes(ids or []) for ids in batch.column(at).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(texts, pa.binary())], [*batch.schema.names, "decoded"]
-            )
+            for part in in_slices(batch, at, SLICE // 8):
+                whole = _decoded(part.column(at), ranks_path, pattern)
+                yield pa.RecordBatch.from_arrays([*part.columns, whole], [*part.schema.names, "decoded"])
 
     return encoded.mapInArrow(join, schema)

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from hashlib import sha256
 
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import public_tokenizers
-
 from ledgerloom.llm import bpe, embeddings, knn, license, packing, pii, simhash, token_files, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,13 +59,22 @@ def best_fit_packing(spark: SparkSession, directory: str) -> DataFrame:
 
 def byte_level_bpe(spark: SparkSession, directory: str) -> DataFrame:
     ranks, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    encoded = bpe.encode(_table(spark, directory, "documents"), ranks, pattern)
-    return bpe.decode(encoded, ranks, pattern).select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
+    digests = bpe.Derive("n_tokens long, ids_sha256 string, decoded_sha256 string", _bpe_digests)
+    documents = _table(spark, directory, "documents")
+    return bpe.encode(documents, ranks, pattern, decoded=True, derive=digests)
+
+
+def _bpe_digests(found: list[pa.Array]) -> list[pa.Array]:
+    ids, decoded = found
+    numbers = ids.flatten().to_numpy().tolist()
+    ends = np.cumsum(pc.list_value_length(ids).to_numpy(zero_copy_only=False))
+    starts = np.concatenate(([0], ends[:-1]))
+    lines = [" ".join(map(str, numbers[s:e])) for s, e in zip(starts.tolist(), ends.tolist())]
+    return [
+        pa.array(ends - starts, pa.int64()),
+        pa.array([sha256(line.encode()).hexdigest() for line in lines], pa.string()),
+        pa.array([sha256(text.as_buffer()).hexdigest() for text in decoded], pa.string()),
+    ]
 
 
 def toxicity_scores(spark: SparkSession, directory: str) -> DataFrame:

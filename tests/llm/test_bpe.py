@@ -24,7 +24,10 @@ def test_ids_and_round_trip(spark, chunk, overlap):
         frame = frame.filter("length(text) < 2000 or text is null" if chunk < 100 else "true")
         encoded = bpe.encode(frame, RANKS, PATTERN, chunk=chunk, overlap=overlap)
         assert rows_of(encoded) == plain(frame)
-        decoded = bpe.decode(encoded, RANKS, PATTERN).drop("ids")
+        decoded = bpe.decode(encoded, RANKS, PATTERN)
+        at_once = bpe.encode(frame, RANKS, PATTERN, chunk=chunk, overlap=overlap, decoded=True)
+        assert rows_of(at_once) == rows_of(decoded)
+        decoded = decoded.drop("ids")
         texts = sorted(((r["doc_id"], bytearray((r["text"] or "").encode())) for r in frame.collect()), key=repr)
         assert rows_of(decoded) == texts
 
