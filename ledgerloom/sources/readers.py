@@ -20,6 +20,12 @@ class Split:
 
     Either a numeric, date or timestamp column with bounds, or a list of predicates that together
     cover every row once (the way for text keys, e.g. one hash remainder per predicate).
+
+    Each part is a query of its own, so the parts need not see the same state of the source. The
+    column must be one that never changes for a row: a row that moves to another range while the
+    parts are read is lost or read twice, and the vault then records a closing that was none. Where
+    the database can pin a state (a snapshot or a time in the table expression or the predicates),
+    give predicates that name it; with one partition the load is a single query.
     """
 
     column: str | None = None

@@ -125,7 +125,7 @@ def test_a_key_is_one_row_per_capture_and_task(spark):
     """Rows of one key in one capture are combined before the exchange."""
     rows = [account("HOT", "s0", 0, status=s) for s in "ABABAB" * 500]
     rows += [account(f"A{i}", "s0", 0) for i in range(20)]
-    history = account_history(spark, rows).repartition(4).localCheckpoint()
+    history = account_history(spark, rows).repartition(4).cache()
     plan = build_satellite(history, ACCOUNT_DETAILS)._jdf.queryExecution().executedPlan().toString()
     first = plan[plan.index("partial_min(_version") :]
     assert "Exchange" not in plan[: plan.index("partial_min(_version")].split("\n")[-1]
