@@ -17,7 +17,7 @@ BITS = [" ", "  ", "\n", " \n", "\n ", "\t", "a", "Bc", "word", "Über", "É", "
 @pytest.mark.parametrize("file, kind", [("byte_bpe_50k.json", word_cache.ByteWords), ("word_bpe_49k.json", word_cache.SpacedWords)])
 @pytest.mark.parametrize("remembered", [50, 500_000])
 def test_equals_the_tokenizer(monkeypatch, file, kind, remembered):
-    monkeypatch.setattr(word_cache, "WORDS", remembered)
+    monkeypatch.setattr(kind, "most_words", remembered)
     tokenizer = Tokenizer.from_file(public_tokenizers.path(file))
     tokenizer.encode_special_tokens = True
     encoder = kind(public_tokenizers.path(file))
