@@ -30,7 +30,7 @@ def pieces(documents: DataFrame, tokenizer_path: str, end_id: int, capacity: int
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = encoder(tokenizer_path, SpacedWords)
         for batch in batches:
-            for some in in_slices(batch, 1, 5_000_000):
+            for some in in_slices(batch, 1, 2_000_000):
                 flat, counts = codec.encode(some.column(1))
                 flat = with_ends(flat, counts, end_id)
                 counts = counts + 1
@@ -82,7 +82,8 @@ def pack(parts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
             "length as _of_length",
             "_share as _of_share",
             "sum(count) over (partition by length order by _share) - count as _before",
-        )
+        ),
+        capacity + sum(counts.values()) // NUMBERED,
     )
     numbered = dealt.selectExpr(
         "*", f"row_number() over (partition by length, _share order by {', '.join(f'`{c}`' for c in others)}) as _rank"

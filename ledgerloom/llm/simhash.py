@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import kept
+from ledgerloom.llm.common import FILE_ROWS, kept
 from ledgerloom.llm.components import components, merge
 
 WORDS = 3
@@ -80,17 +80,21 @@ def near_duplicates(
     are linked like any other with the fingerprint zero. Rows that repeat an id are rows of their
     own. An empty table gives no rows; other columns are not looked at.
     """
-    rows = kept(documents.select(F.col(id_column).alias("id"), fingerprint(F.col(text_column), words).alias("print")))
+    total = documents.count()
+    prints = documents.select(F.col(id_column).alias("id"), fingerprint(F.col(text_column), words).alias("print"))
+    rows = kept(prints.repartition(1 + total // FILE_ROWS))
     # Copies, however many, are one row from here on.
-    classes = kept(rows.groupBy("print").agg(F.min("id").alias("first_id")))
+    classes = kept(rows.groupBy("print").agg(F.min("id").alias("first_id")), total)
+    number = classes.count()
     roots = components(fingerprint_links(classes.select("print"), distance))
     rooted = kept(
         classes.join(roots, classes["print"] == roots["node"], "left").select(
             F.col("print").alias("own"), "first_id", F.coalesce("root", "print").alias("root")
-        )
+        ),
+        number,
     )
-    smallest = kept(rooted.groupBy(F.col("root").alias("top")).agg(F.min("first_id").alias("component_id")))
-    named = kept(rooted.join(smallest, rooted["root"] == smallest["top"]).select("own", "root", "component_id"))
+    smallest = kept(rooted.groupBy(F.col("root").alias("top")).agg(F.min("first_id").alias("component_id")), number)
+    named = kept(rooted.join(smallest, rooted["root"] == smallest["top"]).select("own", "root", "component_id"), number)
     return rows.join(named, F.col("print") == F.col("own")).select(
         F.col("id").alias(id_column), F.col("print").alias("fingerprint"), "component_id", "root"
     )

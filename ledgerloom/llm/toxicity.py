@@ -71,7 +71,7 @@ def _folding() -> dict[int, str]:
 
 
 _FOLDED = _folding()
-_IN_WORD = re.compile(r"(?<=[a-z])[0134578@$!|]+(?=[a-z])|\b[0134578@$!|]+(?=[a-z]{2})|(?<=[a-z]{2})[01345780$]+\b")
+_IN_WORD = re.compile(r"(?<=[a-z])[0134578@$!|]+(?=[a-z])|\b[0134578@$!|]+(?=[a-z]\w*[a-z])|(?<=[a-z]{2})[01345780$]+\b")
 _NO_LETTERS = re.compile(r"[\W\d_]+")
 
 
@@ -178,9 +178,10 @@ def fit(
         once.filter("toxic").orderBy(*order).limit(toxic_rows)
         .union(once.filter("not toxic").orderBy(*order).limit(clean_rows))
     )
-    sample = kept(
+    # The documents are read again for each use of the sample, which takes less than keeping it.
+    sample = (
         documents.select("doc_id", or_empty(F.col("text")).alias("text"))
-        .join(F.broadcast(kept(chosen)), F.col("doc_id") == F.col("of_id"))
+        .join(F.broadcast(kept(chosen, 0)), F.col("doc_id") == F.col("of_id"))
         .select("text", "toxic", (F.pmod(F.hash("doc_id"), F.lit(3)) > 0).alias("for_entries"))
     )
     lexicon, exceptions = _entries(sample.filter("for_entries"), entries)
@@ -228,7 +229,8 @@ def _entries(sample: DataFrame, most: int) -> tuple[tuple[tuple[str, float], ...
         .mapInArrow(count, "part string, in_toxic long, in_clean long")
         .groupBy("part")
         .agg(F.sum("in_toxic").alias("in_toxic"), F.sum("in_clean").alias("in_clean"))
-        .withColumn("weight", weight)
+        .withColumn("weight", weight),
+        20 * (n_toxic + n_clean),
     )
     share = (F.col("in_toxic") + F.col("in_clean")) / (n_toxic + n_clean or 1)
     spread = F.sqrt(share * (1 - share) * (1 / (n_toxic or 1) + 1 / (n_clean or 1)))

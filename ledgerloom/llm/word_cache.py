@@ -18,8 +18,7 @@ from ledgerloom.llm.common import ragged_take
 # Every task has a core of its own.
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-# Words and ids remembered; beyond either, those met only seldom are forgotten.
-WORDS = 700_000
+# Ids remembered; beyond these, or a class's number of words, those met only seldom are forgotten.
 IDS = 5_000_000
 
 
@@ -30,6 +29,9 @@ class WordEncoder:
     itself, but two equal ones must have equal ids.
     """
 
+    # Some 300 bytes each in every worker.
+    most_words = 250_000
+
     def __init__(self, path: str) -> None:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
@@ -64,7 +66,7 @@ class WordEncoder:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts (strings, null as empty) in a row, and how many each text has."""
-        if len(self.slots) > WORDS or len(self.ids) > IDS:
+        if len(self.slots) > self.most_words or len(self.ids) > IDS:
             self._forget()
         texts = pc.fill_null(texts, "")
         usual = self.usual(texts)
@@ -148,7 +150,8 @@ class WordEncoder:
 
     def _forget(self) -> None:
         """Keep what was met most often, a third of the words at most and only short ones."""
-        usual = np.sort(self.uses)[-WORDS // 3 :][0] if len(self.uses) > WORDS // 3 else 0
+        share = self.most_words // 3
+        usual = np.sort(self.uses)[-share] if len(self.uses) > share else 0
         stays = np.flatnonzero((self.uses > max(1, usual)) & (self.lengths < 32))
         words = list(self.slots)
         self.slots = {words[i]: slot for slot, i in enumerate(stays.tolist())}
@@ -179,6 +182,8 @@ class ByteWords(WordEncoder):
     before it; one that begins with a space stands for what follows that space.
     """
 
+    # Capitals and punctuation make more words different here, and a miss costs more.
+    most_words = 700_000
     _space_after_space = f"[ \t\r\n{_RARE_SPACE}] "
     _word_end = re.compile(r"(?<=\S)(?= )")
     _alone = re.compile(r" |\s$|^$")
