@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import crc32_of, in_slices, kept, or_empty
+from ledgerloom.llm.common import FILE_ROWS, crc32_of, in_slices, kept, or_empty
 from ledgerloom.llm.word_cache import SpacedWords, encoder, with_ends
 
 CAPACITY = 4_096
@@ -109,6 +109,7 @@ def pack(parts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
             )
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in parts.schema)
+    at = at.coalesce(1 + sum(counts.values()) // FILE_ROWS)
     return at.select(*[f"`{c}`" for c in columns], "_number").mapInArrow(
         place, f"{schema}, sequence_id long, offset long"
     )

@@ -30,7 +30,7 @@ class WordEncoder:
     """
 
     # Some 300 bytes each in every worker.
-    most_words = 250_000
+    most_words = 450_000
 
     def __init__(self, path: str) -> None:
         self.tokenizer = Tokenizer.from_file(path)
@@ -183,7 +183,7 @@ class ByteWords(WordEncoder):
     """
 
     # Capitals and punctuation make more words different here, and a miss costs more.
-    most_words = 700_000
+    most_words = 650_000
     _space_after_space = f"[ \t\r\n{_RARE_SPACE}] "
     _word_end = re.compile(r"(?<=\S)(?= )")
     _alone = re.compile(r" |\s$|^$")
