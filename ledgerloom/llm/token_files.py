@@ -67,8 +67,12 @@ def _pack_blocks(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     grid[:full, :BLOCK] = ids[: full * BLOCK].reshape(full, BLOCK)
     grid[full:, : len(ids) - full * BLOCK] = ids[full * BLOCK :]
     need = np.zeros((blocks, wide), np.uint8)
+    largest = int(ids.max())
+    # Ids of up to 32 bits are compared in half the memory.
+    compared = grid.astype(np.uint32) if largest < 2**32 else grid
     for _, bits in SELECTORS.values():
-        need += grid >= np.uint64(1 << bits)
+        if largest >= 1 << bits:
+            need += compared >= compared.dtype.type(1 << bits)
     # The widest id among as many as each selector takes, from every place on.
     chosen = np.zeros((blocks, BLOCK), np.uint8)
     widest, seen = need, 1
@@ -108,7 +112,7 @@ def _pack_blocks(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def unpack_ids(words: np.ndarray, offsets: np.ndarray, total: int) -> np.ndarray:
-    """The ``total`` ids (uint64) of ``words``, all words of a selector at a time."""
+    """The ``total`` ids of ``words``, all words of a selector at a time."""
     selectors = (words & np.uint64(15)).astype(np.int64)
     raw = np.zeros(len(words) + 1, bool)
     for at in np.flatnonzero(selectors == ESCAPE).tolist():
@@ -122,10 +126,13 @@ def unpack_ids(words: np.ndarray, offsets: np.ndarray, total: int) -> np.ndarray
     before = np.cumsum(counts) - counts
     shift = np.arange(len(first)) * wide - (before[first] if len(words) else 0)
     place = before + np.repeat(shift, np.diff(offsets.astype(np.int64)))
-    grid = np.zeros(len(first) * wide, np.uint64)
+    selectors[raw] = -1
+    used = np.bincount(selectors + 1, minlength=17)[1:]
+    narrow = not used[ESCAPE] and not any(used[s] for s, (_, bits) in SELECTORS.items() if bits > 32)
+    grid = np.zeros(len(first) * wide, np.uint32 if narrow else np.uint64)
     for selector, (count, bits) in SELECTORS.items():
-        mine = np.flatnonzero((selectors == selector) & ~raw)
-        if len(mine):
+        if used[selector]:
+            mine = np.flatnonzero(selectors == selector)
             at, rest = place[mine], words[mine] >> np.uint64(4)
             for _ in range(count):
                 grid[at] = rest & np.uint64((1 << bits) - 1)
@@ -210,7 +217,7 @@ def write(
             return pa.RecordBatch.from_pylist([row], schema)
 
         for batch in batches:
-            for some in in_slices(batch, 1, min(5_000_000, 2 * file_ids)):
+            for some in in_slices(batch, 1, min(3_000_000, 2 * file_ids)):
                 flat, counts = codec.encode(some.column(1))
                 doc_ids += some.column(0).to_pylist()
                 lengths.append(counts + 1)
