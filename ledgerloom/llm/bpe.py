@@ -92,8 +92,9 @@ def encode(
 
     A text of more than ``chunk`` characters is cut into chunks that overlap. Each is split into
     pre-tokens by itself; two neighbours are stitched at the first place in their overlap where both
-    begin a pre-token, since from there on both see the same. The pieces between stitches are encoded
-    in parallel. A text with neighbours that nowhere agree (a run longer than the overlap without
+    begin a pre-token, since from there on both see the same, and the character before is no white
+    space: where a run of it ends depends on what follows, which the piece before no longer sees. The
+    pieces between stitches are encoded in parallel. A text with neighbours that nowhere agree (a run longer than the overlap without
     any boundary) is encoded whole. Null and empty texts have no ids; rows that repeat an id are
     rows of their own; an empty table gives no rows; other columns are not looked at.
     """
@@ -145,13 +146,13 @@ def _encode_long(texts: DataFrame, ranks_path: str, pattern: str, chunk: int, ov
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Where pre-tokens begin in the part shared with the chunk before and with the one after."""
-        pattern_ = _splitter(pattern)
+        pattern_, white = _splitter(pattern), _splitter(r"\s")
         for batch in batches:
             heads, tails = [], []
             for k, body in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 begins = [match.start() for match in pattern_.finditer(body)]
                 heads.append([k * chunk + at for at in begins if at < overlap])
-                tails.append([k * chunk + at for at in begins if at >= chunk])
+                tails.append([k * chunk + at for at in begins if at >= chunk and not white.match(body, at - 1)])
             lists = [pa.array(part, pa.list_(pa.int64())) for part in (heads, tails)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *lists], ["row", "k", "head", "tail"])
 

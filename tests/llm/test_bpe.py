@@ -32,6 +32,14 @@ def test_ids_and_round_trip(spark, chunk, overlap):
         assert rows_of(decoded) == texts
 
 
+def test_chunks_that_end_after_white_space(spark):
+    """A chunk may start on the letter after a run of white space, or beside it."""
+    runs = ["\n\n", "\t\t", "\n \n", "  ", "\u00a0\n", "\n\n\n\n"]
+    frame = documents(spark, [f"{('word ' * 8).ljust(45 - len(run), 'x')}{run}bar {'more words ' * 9}" for run in runs])
+    for chunk in (44, 45, 46):
+        assert rows_of(bpe.encode(frame, RANKS, PATTERN, chunk=chunk, overlap=20)) == plain(frame)
+
+
 def test_empty_table(spark):
     assert bpe.decode(bpe.encode(empty_documents(spark), RANKS, PATTERN), RANKS, PATTERN).count() == 0
 
