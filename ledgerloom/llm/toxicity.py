@@ -167,12 +167,15 @@ def fit(
 
     It is fitted on a sample, at most ``toxic_rows`` and ``clean_rows`` labels, those with the
     smallest hash of their id: the entries are the words and word stems that are likeliest in the
-    toxic ones, counted in two thirds of the sample; the coefficients come from the rest.
+    toxic ones, counted in two thirds of the sample; the coefficients come from the rest, in which a
+    row counts for as many as there are of its label for each one chosen: scores then keep to the
+    share of toxic labels, which the sample does not have where it is cut.
     Labels null, without a document or held out are not used; an id labelled twice counts by its
     largest label; without labels the known words remain.
     """
     known = labels.filter("toxic is not null and doc_id is not null").filter(~held_out(F.col("doc_id")))
     once = known.groupBy(F.col("doc_id").alias("of_id")).agg((F.max("toxic") > 0).alias("toxic"))
+    there = {row["toxic"]: row["count"] for row in once.groupBy("toxic").count().collect()}
     order = [F.xxhash64("of_id"), F.col("of_id")]
     chosen = (
         once.filter("toxic").orderBy(*order).limit(toxic_rows)
@@ -197,7 +200,10 @@ def fit(
     schema = ", ".join([f"{name} double" for name in names] + ["toxic boolean"])
     measured = sample.filter("not for_entries").mapInArrow(measure, schema)
     rows = np.array([tuple(row) for row in measured.collect()], float).reshape(-1, FEATURES + 1)
-    return Model(lexicon, exceptions, _regression(rows[:, :-1], rows[:, -1]))
+    # Labels there are for each one in the sample.
+    stands_for = [max(1.0, there.get(label, 0) / max(most, 1)) for label, most in ((True, toxic_rows), (False, clean_rows))]
+    weights = np.where(rows[:, -1] > 0, *stands_for)
+    return Model(lexicon, exceptions, _regression(rows[:, :-1], rows[:, -1], weights))
 
 
 def _parts(folded: str) -> set[str]:
@@ -266,8 +272,10 @@ def _entries(sample: DataFrame, most: int) -> tuple[tuple[tuple[str, float], ...
     return tuple(lexicon.items()), exceptions
 
 
-def _regression(rows: np.ndarray, toxic: np.ndarray, strength: float = 0.01) -> tuple[float, ...]:
-    """Logistic regression by Newton steps; fixed coefficients where a label is missing."""
+def _regression(
+    rows: np.ndarray, toxic: np.ndarray, weights: np.ndarray, strength: float = 0.01
+) -> tuple[float, ...]:
+    """Logistic regression of weighted rows by Newton steps; fixed coefficients where a label is missing."""
     if not 0 < toxic.sum() < len(toxic):
         return -4.0, 1.0, 0.5, 0.5, 0.2
     design = np.column_stack([np.ones(len(rows)), rows])
@@ -275,8 +283,8 @@ def _regression(rows: np.ndarray, toxic: np.ndarray, strength: float = 0.01) ->
     penalty = strength * np.diag([0.0] + [1.0] * rows.shape[1])
     for _ in range(40):
         p = 1 / (1 + np.exp(-np.clip(design @ found, -30, 30)))
-        gradient = design.T @ (p - toxic) + penalty @ found
-        step = np.linalg.solve((design * (p * (1 - p))[:, None]).T @ design + penalty + 1e-6 * np.eye(len(found)), gradient)
+        gradient = design.T @ (weights * (p - toxic)) + penalty @ found
+        step = np.linalg.solve((design * (weights * p * (1 - p))[:, None]).T @ design + penalty + 1e-6 * np.eye(len(found)), gradient)
         found -= step * min(1.0, 5.0 / max(1e-12, float(np.abs(step).max())))
         if np.abs(step).max() < 1e-6:
             break

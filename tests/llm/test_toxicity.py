@@ -91,6 +91,29 @@ def test_learns_what_is_not_known(spark):
     assert held.filter("predicted <> toxic").count() <= 0.03 * held.count()
 
 
+def test_caps_leave_the_scores_about_as_they_are(spark):
+    """Where the sample has half of toxic rows and the table an eighth, scores keep to the table."""
+    rng = np.random.default_rng(1)
+    texts, labels = [], []
+    for i in range(6_000):
+        toxic = i % 8 == 0
+        body = list(rng.choice(["sun", "tree", "house", "road", "paper", "water"], 20))
+        # The word is in most toxic texts, and in some clean ones.
+        if rng.random() < (0.8 if toxic else 0.1):
+            body.insert(int(rng.integers(20)), "grumpf")
+        texts.append(" ".join(body))
+        labels.append((i, 1, int(toxic)))
+    docs, labels = documents(spark, texts), spark.createDataFrame(labels, LABELS)
+
+    def mean_scores(**caps):
+        found = toxicity.scored(docs, toxicity.fit(docs, labels, **caps)).groupBy(F.col("text").contains("grumpf"))
+        return [row["score"] for row in found.agg(F.avg("score").alias("score")).collect()]
+
+    whole, cut = sorted(mean_scores()), sorted(mean_scores(toxic_rows=400, clean_rows=400))
+    assert len(whole) == 2 and cut == pytest.approx(whole, abs=0.12)
+    print("mean scores", whole, cut)
+
+
 def test_held_out_labels_are_not_used(spark):
     docs, labels = labelled(spark)
     turned = labels.withColumn(
