@@ -100,9 +100,9 @@ def near_duplicates(
     def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         return _links(left.iloc[0], right.iloc[0], cosine, beam)
 
+    # Pairs of shards are the work: as many tasks as the exchange has, whatever the number of rows.
     found = kept(
-        held.groupBy(*keys).cogroup(asking.groupBy(*keys)).applyInPandas(search, "node long, links long, other long"),
-        number,
+        held.groupBy(*keys).cogroup(asking.groupBy(*keys)).applyInPandas(search, "node long, links long, other long")
     )
     counted = found.groupBy(F.col("node").alias("of_node")).agg(F.sum("links").alias("links"))
     roots = components(found.filter("other is not null").select(F.col("node").alias("a"), F.col("other").alias("b")))

@@ -53,6 +53,32 @@ def test_matches_brute_force(spark, shard_rows):
     assert rows_of(embeddings.near_duplicates(frame, shard_rows=shard_rows)) == plain(rows)
 
 
+def test_pairs_of_shards_are_dealt_out(spark, tmp_path, monkeypatch):
+    """Few vectors, but several pairs of shards: the search is not one task."""
+    links, folder = embeddings._links, str(tmp_path)
+
+    def noted(*given):
+        from pathlib import Path
+
+        from pyspark import TaskContext
+
+        Path(folder, str(TaskContext.get().partitionId())).touch()
+        return links(*given)
+
+    monkeypatch.setattr(embeddings, "_links", noted)
+    kept = {name: spark.conf.get(name) for name in ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions")}
+    try:
+        for name, value in zip(kept, ("false", "8")):
+            spark.conf.set(name, value)
+        rows = clustered(random.Random(3), 200)
+        found = embeddings.near_duplicates(spark.createDataFrame(rows, SCHEMA), shard_rows=20)
+        assert rows_of(found) == plain(rows)
+    finally:
+        for name, value in kept.items():
+            spark.conf.set(name, value)
+    assert len(list(tmp_path.iterdir())) > 2
+
+
 def test_odd_rows(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(1, [1.0, 0.0], 1), (2, [1.0, 0.0], 1), (2, [1.0, 0.0], 1), (3, [1.0, 0.0], None), (4, [1.0, 0.0], None)]
