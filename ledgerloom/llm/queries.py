@@ -12,7 +12,22 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, embeddings, knn, license, packing, pii, simhash, token_files, toxicity, warc
+from ledgerloom.llm import (
+    bpe,
+    embeddings,
+    fingerprints,
+    knn,
+    lexical,
+    license,
+    neighbours,
+    packing,
+    pii,
+    runs,
+    simhash,
+    token_files,
+    toxicity,
+    warc,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -129,6 +144,50 @@ def license_scans(spark: SparkSession, directory: str) -> DataFrame:
     )
 
 
+def periodic_runs(spark: SparkSession, directory: str) -> DataFrame:
+    found = runs.periodic_runs(runs.made_periodic(_table(spark, directory, "documents")))
+    # The longest run; of several the one with the smallest start, then period.
+    best = F.array_min(F.transform("runs", lambda run: F.struct((-run["length"]).alias("shorter"), run["start"], run["period"])))
+    lines = F.transform("runs", lambda run: F.concat(F.concat_ws(",", run["start"], run["length"], run["period"]), F.lit("\n")))
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("best.start").alias("start"),
+        (-F.col("best.shorter")).alias("length"),
+        F.col("best.period").alias("period"),
+        F.expr("(-1000 * best.shorter) div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def document_fingerprints(spark: SparkSession, directory: str) -> DataFrame:
+    rows = neighbours.with_next(_table(spark, directory, "documents"))
+    n_chars = F.char_length("text")
+    half = F.floor(n_chars / 2).cast("int")
+    edited = F.concat(F.substring("text", F.lit(1), n_chars - half), F.substring("next_text", F.lit(1), half))
+    found = rows.withColumn("edited", edited).select(
+        "doc_id",
+        n_chars.cast("long").alias("n_chars"),
+        F.sha2("edited", 256).alias("edited_sha256"),
+        fingerprints.sketches([F.col("text"), F.col("edited"), F.col("next_text")]).alias("of"),
+    )
+    own, edited, following = (F.col(f"of.sketch_{i}") for i in range(3))
+    return found.select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        fingerprints.written(own).alias("fingerprint"),
+        fingerprints.written(edited).alias("edited_fingerprint"),
+        fingerprints.resemblance(own, edited).alias("near_edited"),
+        fingerprints.resemblance(own, following).alias("near_next"),
+    )
+
+
+def ranked_search(spark: SparkSession, directory: str) -> DataFrame:
+    return lexical.search(_table(spark, directory, "documents"), _table(spark, directory, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_simhash_near_duplicates": simhash_near_duplicates,
     "op2_exact_top_k": exact_top_k,
@@ -140,6 +199,9 @@ QUERIES: dict[str, Query] = {
     "op8_personal_data": personal_data,
     "op9_license_scans": license_scans,
     "op10_toxicity": toxicity_scores,
+    "op11_periodic_runs": periodic_runs,
+    "op12_document_fingerprints": document_fingerprints,
+    "op13_ranked_search": ranked_search,
 }
 
 # Where SQL cannot say it, the tests compare with brute force.
@@ -170,4 +232,39 @@ SQL: dict[str, str] = {
             case when payload_bytes >= 1000 and page_id <> holder then holder end as refers_to
         from held
     """,
+    "op13_ranked_search": r"""
+        with terms_of as (
+            select doc_id, regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as terms
+            from documents where text is not null
+        ),
+        sized as (select doc_id, len(terms) as n from terms_of where len(terms) > 0),
+        totals as (select count(*) as docs, cast(sum(n) as bigint) as all_terms from sized),
+        lengths as (select doc_id, 100 - 90 + ((90 * n * docs) // all_terms) as m from sized, totals),
+        wanted as (
+            select distinct item_id, unnest(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+            from benchmark
+        ),
+        occurring as (
+            select doc_id, term, count(*) as tf from (select doc_id, unnest(terms) as term from terms_of)
+            where term in (select term from wanted) group by doc_id, term
+        ),
+        weights as (
+            select term, cast(floor(1000 * ln((2.0::double * docs + 2) / (2.0::double * count(*) + 1))) as bigint) as w
+            from occurring, totals group by term, docs
+        ),
+        scored as (
+            select item_id, doc_id, cast(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) as bigint) as score
+            from wanted join occurring using (term) join weights using (term) join lengths using (doc_id)
+            group by item_id, doc_id
+        ),
+        ranked as (
+            select *, cast(row_number() over (partition by item_id order by score desc, doc_id) as integer) as rank
+            from scored where score > 0
+        )
+        select item_id, rank, doc_id, score from ranked where rank <= 10
+    """,
 }
