@@ -1,0 +1,33 @@
+"""The registered queries without the optional part."""
+
+from __future__ import annotations
+
+import sys
+
+import pytest
+
+import __spark_entry__ as contract
+from ledgerloom.plans.queries import all_queries
+from oracle.sql import all_sql
+
+OPTIONAL = ["ledgerloom.llm", "ledgerloom.llm.queries", "corpus_pipeline", "tokenizers"]
+
+
+@pytest.mark.parametrize("hidden", [OPTIONAL[:2], OPTIONAL[:3], OPTIONAL[3:]])
+def test_core_without_training_data(monkeypatch, hidden):
+    for name in [*sys.modules]:
+        if name == "corpus_pipeline" or name.startswith("ledgerloom.llm"):
+            monkeypatch.delitem(sys.modules, name)
+    for name in hidden:
+        # An import of a name that is None in this list fails like one that is not there.
+        monkeypatch.setitem(sys.modules, name, None)
+    assert contract.queries().keys() == all_queries().keys()
+    assert contract.oracle_sql().keys() == all_sql().keys()
+    assert len(all_queries()) >= 75
+
+
+def test_pipeline_that_is_away(monkeypatch):
+    pytest.importorskip("ledgerloom.llm.queries")
+    monkeypatch.setitem(sys.modules, "corpus_pipeline", None)
+    assert "pipeline" not in contract.queries()
+    assert contract.queries().keys() > all_queries().keys()
