@@ -37,26 +37,36 @@ def sketch(text: Column, words: int = WORDS, size: int = SIZE) -> Column:
 
 
 def sketches(texts: list[Column], words: int = WORDS, size: int = SIZE) -> Column:
-    """The sketches of several texts of a row as a struct (``sketch_0``, ...); a text that occurs more than
-    once among neighbouring rows is looked at once."""
+    """The sketches of several texts of a row as a struct (``sketch_0``, ...), and how much the first
+    resembles each other one (``resemblance_1``, ...). A text that occurs more than once among
+    neighbouring rows is looked at once."""
     names = [f"sketch_{i}" for i in range(len(texts))]
+    others = [f"resemblance_{i}" for i in range(1, len(texts))]
+    kinds = [f"{name} binary" for name in names] + [f"{name} double" for name in others]
 
-    @F.arrow_udf(", ".join(f"{name} binary" for name in names))
+    @F.arrow_udf(", ".join(kinds))
     def of(*columns: pa.Array) -> pa.Array:
         batch = pa.RecordBatch.from_arrays([*columns], names=names)
-        slices = in_slices(batch, 0, SLICE // len(names))
-        parts = [pa.StructArray.from_arrays(_distinct_sketches(some.columns, words, size), names) for some in slices]
-        return pa.concat_arrays(parts) if parts else pa.array([], pa.struct([(name, pa.binary()) for name in names]))
+        parts = []
+        for some in in_slices(batch, 0, SLICE // len(names)):
+            found = _distinct_sketches(some.columns, words, size)
+            alike = [
+                pa.array([bytes_resemblance(x, y, size) for x, y in zip(found[0], other)], pa.float64())
+                for other in found[1:]
+            ]
+            parts.append(pa.StructArray.from_arrays([pa.array(one, pa.binary()) for one in found] + alike, names + others))
+        empty = [(name, pa.binary()) for name in names] + [(name, pa.float64()) for name in others]
+        return pa.concat_arrays(parts) if parts else pa.array([], pa.struct(empty))
 
     return of(*texts)
 
 
-def _distinct_sketches(columns: list[pa.Array], words: int, size: int) -> list[pa.Array]:
+def _distinct_sketches(columns: list[pa.Array], words: int, size: int) -> list[list[bytes]]:
     texts = pa.concat_arrays([pc.cast(pc.fill_null(column, ""), pa.large_string()) for column in columns])
     coded = texts.dictionary_encode()
-    found = pa.array(text_sketches(coded.dictionary, words, size), pa.binary()).take(coded.indices)
-    rows = len(columns[0])
-    return [found.slice(i * rows, rows) for i in range(len(columns))]
+    known = text_sketches(coded.dictionary, words, size)
+    places = coded.indices.to_numpy().reshape(len(columns), -1).tolist()
+    return [[known[place] for place in mine] for mine in places]
 
 
 def text_sketches(texts: pa.Array, words: int = WORDS, size: int = SIZE) -> list[bytes]:

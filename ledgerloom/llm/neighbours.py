@@ -27,12 +27,14 @@ def with_next(documents: DataFrame) -> DataFrame:
     goes to the part before as well, so that every part has all it needs and texts are exchanged once.
     """
     rows = _placed(documents)
+    parts = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     own = F.struct(F.col("dealt.part").alias("part"), F.lit(False).alias("guest"))
     before = F.struct(F.col("dealt.before").alias("part"), F.lit(True).alias("guest"))
     goes_to = F.array_compact(F.array(own, F.when(F.col("dealt.before").isNotNull(), before)))
-    dealt = rows.withColumn("dealt", _parts(_firsts(rows))(*PLACE)).select("doc_id", "text", *PLACE, F.inline(goes_to))
+    dealt = rows.withColumn("dealt", _parts(_firsts(rows, parts))(*PLACE)).select("doc_id", "text", *PLACE, F.inline(goes_to))
     order = Window.partitionBy("part").orderBy("guest", *PLACE)
-    found = dealt.withColumn("next_text", F.lead("text").over(order))
+    # As many tasks as parts, so that a task holds little at a time.
+    found = dealt.repartition(parts, "part").withColumn("next_text", F.lead("text").over(order))
     return found.filter(~F.col("guest")).select("doc_id", "text", "next_text")
 
 
@@ -47,10 +49,11 @@ def _placed(documents: DataFrame) -> DataFrame:
     )
 
 
-def _firsts(rows: DataFrame) -> list[tuple[int, ...]]:
-    """The place at which each part begins: no more rows than an exchange has partitions."""
-    parts = rows.select(*PLACE).repartitionByRange(*PLACE).groupBy(F.spark_partition_id().alias("part"))
-    return sorted(tuple(row["first"]) for row in parts.agg(F.min(F.struct(*PLACE)).alias("first")).collect())
+def _firsts(rows: DataFrame, parts: int) -> list[tuple[int, ...]]:
+    """The place at which each of ``parts`` parts begins, a row per part."""
+    # Places are narrow: without a number of its own this exchange would be joined into a few parts.
+    dealt = rows.select(*PLACE).repartitionByRange(parts, *PLACE).groupBy(F.spark_partition_id().alias("part"))
+    return sorted(tuple(row["first"]) for row in dealt.agg(F.min(F.struct(*PLACE)).alias("first")).collect())
 
 
 def _parts(firsts: list[tuple[int, ...]]):

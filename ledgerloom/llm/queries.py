@@ -172,15 +172,14 @@ def document_fingerprints(spark: SparkSession, directory: str) -> DataFrame:
         F.sha2("edited", 256).alias("edited_sha256"),
         fingerprints.sketches([F.col("text"), F.col("edited"), F.col("next_text")]).alias("of"),
     )
-    own, edited, following = (F.col(f"of.sketch_{i}") for i in range(3))
     return found.select(
         "doc_id",
         "n_chars",
         "edited_sha256",
-        fingerprints.written(own).alias("fingerprint"),
-        fingerprints.written(edited).alias("edited_fingerprint"),
-        fingerprints.resemblance(own, edited).alias("near_edited"),
-        fingerprints.resemblance(own, following).alias("near_next"),
+        fingerprints.written(F.col("of.sketch_0")).alias("fingerprint"),
+        fingerprints.written(F.col("of.sketch_1")).alias("edited_fingerprint"),
+        F.col("of.resemblance_1").alias("near_edited"),
+        F.col("of.resemblance_2").alias("near_next"),
     )
 
 
