@@ -41,13 +41,15 @@ def status_increment(
     status: Status,
     captures: DataFrame | None = None,
     last: Moment | None = None,
+    state: DataFrame | None = None,
 ) -> DataFrame:
     """Rows to append to a stored status satellite.
 
     Without ``last``, the whole history is compared again. With it, ``history`` holds only the
     captures after ``last``, up to which the satellite is complete, and ``captures`` all captures
-    from the time of ``last`` on; a relationship is until then what its last row says. The result is
-    the same as long as captures arrive in order.
+    from the time of ``last`` on; a relationship is until then what its last row says. ``state`` is that
+    kept apart, a row per relationship (see ``status_state``), so that rows of past changes are not read
+    again. The result is the same as long as captures arrive in order.
     """
     if existing is None or last is None:
         built = build_status(history, status, captures)
@@ -55,22 +57,18 @@ def status_increment(
 
     if captures is None:
         captures = capture_list(history, status.per_source)
-    captures = _from_moment(captures, existing, last, status)
-    newer = history
-    keys = [status.link.hash_key, *[role.hash_key for role in status.link.roles]]
-    matching = _matching(status)
-    seen = _present(newer, status).select(*_hashed(status), "snapshot_id").withColumns(
+    later = last.before(F.col("load_dts"), F.col("snapshot_id"))
+    if state is None:
+        state = status_state(existing.filter(~later), status)
+    captures = _from_moment(captures, state, last, status)
+    seen = _present(history, status).select(*_hashed(status), "snapshot_id").withColumns(
         {"_present": F.lit(True), "_stored": F.lit(False)}
     )
     # Stored relationships enter at the last capture seen, in the state they are in.
-    later = last.before(F.col("load_dts"), F.col("snapshot_id"))
-    state = (
-        existing.filter(~later)
-        .groupBy(*keys, "record_source")
-        .agg(F.max(F.struct("load_dts", "snapshot_id", "is_active"))["is_active"].alias("_present"))
-        .withColumns({"snapshot_id": F.lit(last.snapshot_id), "_stored": F.lit(True)})
+    entering = state.select(*_state_keys(status), F.col("is_active").alias("_present")).withColumns(
+        {"snapshot_id": F.lit(last.snapshot_id), "_stored": F.lit(True)}
     )
-    rows = seen.unionByName(state).join(_numbered(captures, status.per_source), matching)
+    rows = seen.unionByName(entering).join(_numbered(captures, status.per_source), _matching(status))
     changed = _changes(
         rows,
         [status.link.hash_key, "record_source"],
@@ -78,14 +76,30 @@ def status_increment(
         stored=F.col("_stored"),
     )
     # Rows that a run stored before it was interrupted are there already.
-    return new_rows(
-        _result(changed, status),
-        existing.filter(later),
-        [status.link.hash_key, "snapshot_id"],
-        unique=False,
+    stored = existing.filter(F.col("load_dts") >= last.at_literal).filter(later)
+    return new_rows(_result(changed, status), stored, [status.link.hash_key, "snapshot_id"], unique=False)
+
+
+def status_state(rows: DataFrame, status: Status) -> DataFrame:
+    """What every relationship is after the rows of a status satellite: its keys and ``is_active``."""
+    return (
+        rows.groupBy(*_state_keys(status))
+        .agg(F.max(F.struct("load_dts", "snapshot_id", "is_active"))["is_active"].alias("is_active"))
     )
 
 
+def next_state(state: DataFrame, changes: DataFrame, status: Status) -> DataFrame:
+    """The state after ``changes``, the rows appended since: a full outer join of two sides with one row
+    per relationship."""
+    keys = _state_keys(status)
+    now = status_state(changes, status).withColumnRenamed("is_active", "_now")
+    return state.join(now, keys, "full_outer").select(*keys, F.coalesce("_now", "is_active").alias("is_active"))
+
+
+def _state_keys(status: Status) -> list[str]:
+    return [status.link.hash_key, *[role.hash_key for role in status.link.roles], "record_source"]
+
+
 def _present(history: DataFrame, status: Status) -> DataFrame:
     # Copies of a relationship within a capture collapse inside each task before the exchange, so a
     # relationship has at most one row per capture from here on.
@@ -170,12 +184,12 @@ def _result(changed: DataFrame, status: Status) -> DataFrame:
 
 
 def _from_moment(
-    captures: DataFrame, existing: DataFrame, last: Moment, status: Status
+    captures: DataFrame, state: DataFrame, last: Moment, status: Status
 ) -> DataFrame:
     """``captures`` from the time of ``last`` on, that capture included for every source."""
     found = captures.filter(F.col("load_dts") >= last.at_literal)
-    sources = existing.select("record_source").distinct() if status.per_source else (
-        existing.limit(1).select()
+    sources = state.select("record_source").distinct() if status.per_source else (
+        state.limit(1).select()
     )
     start = sources.select(
         F.lit(last.snapshot_id).alias("snapshot_id"),

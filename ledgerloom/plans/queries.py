@@ -9,12 +9,19 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerloom.functions.keys import entity_key
 from ledgerloom.operators.captures import Moment, capture_list, logged_captures, of_captures
 from ledgerloom.operators.keyed import build_hub, build_link, link_increment, new_rows
-from ledgerloom.operators.point_in_time import as_of, build_pit, build_pit_pruned
+from ledgerloom.operators.point_in_time import (
+    as_of,
+    as_of_join,
+    build_pit,
+    build_pit_pruned,
+    pit_increment,
+)
 from ledgerloom.operators.satellite import build_satellite, satellite_increment
 from ledgerloom.operators.specs import Hub, Link, PointInTime, Satellite
-from ledgerloom.operators.status import build_status, status_increment
+from ledgerloom.operators.status import build_status, next_state, status_increment, status_state
 from ledgerloom.plans import gold
 from ledgerloom.plans.models import (
     CUSTOMER_ACCOUNT_STATUS,
@@ -26,7 +33,8 @@ from ledgerloom.plans.models import (
 from ledgerloom.plans.silver import SILVER
 from ledgerloom.sources.readers import row_counts
 from ledgerloom.sources.sample import CAPTURES, SampleBank, capture_time
-from ledgerloom.sources.tables import SNAPSHOT_AT, SNAPSHOT_ID, SOURCE_TABLES
+from ledgerloom.sources.stamping import wall_clock
+from ledgerloom.sources.tables import SNAPSHOT_AT, SNAPSHOT_ID, SOURCE_COLUMN, SOURCE_TABLES
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -74,6 +82,9 @@ def all_queries() -> dict[str, Query]:
         found[f"{name}_range_form"] = lambda bank, p=pit: _pit_of_remaining(bank, p)
         subject = name.removeprefix("pit_")
         found[f"{subject}_as_of"] = lambda bank, p=pit: _as_of(bank, p)
+        found[f"{name}_incremental"] = lambda bank, p=pit: _pit_in_two_steps(bank, p)
+    found["transactions_as_of"] = _transactions_as_of
+    found["sts_customer_account_kept_state"] = _kept_state
     return {
         name: lambda spark, directory, b=build: b(SampleBank(spark, directory))
         for name, build in found.items()
@@ -200,6 +211,22 @@ def _status_in_two_steps(bank: SampleBank, newer_only: bool = False) -> DataFram
     )
 
 
+def _kept_state(bank: SampleBank) -> DataFrame:
+    """What every relationship is after all captures, carried on from one to the next."""
+    status = CUSTOMER_ACCOUNT_STATUS
+    captures = logged_captures(bank.load_log(), "accounts")
+    stored = _status(bank, bank.history("accounts", last=1))
+    state = status_state(stored, status)
+    for number in range(2, CAPTURES + 1):
+        last = Moment(capture_time(number - 1), f"cap-{number - 1}")
+        until = captures.filter(F.col("load_dts") <= wall_clock(capture_time(number)))
+        one = bank.history("accounts", first=number, last=number)
+        # Nothing but the state is read of what is stored.
+        changes = status_increment(one, stored.limit(0), status, until, last, state)
+        state = next_state(state, changes, status)
+    return state
+
+
 def _status_beside_unlogged_rows(bank: SampleBank) -> DataFrame:
     """A history that also holds rows of a run which ended before it was logged."""
     partial = bank.history("accounts", first=CAPTURES).filter(F.col("account_id").endswith("1"))
@@ -223,6 +250,47 @@ def _as_of(bank: SampleBank, pit: PointInTime) -> DataFrame:
     return as_of(_pit_over(bank, pit, satellite), satellite, LOOKUP_AT, pit)
 
 
+def _pit_in_two_steps(bank: SampleBank, pit: PointInTime) -> DataFrame:
+    """Pointers after some captures, with the hub of the day before, and then those of the other ones."""
+    table, last = pit.satellite.table, Moment(capture_time(STORED_CAPTURES), f"cap-{STORED_CAPTURES}")
+    captures = logged_captures(bank.load_log(), table)
+    satellite = _pit_satellite(bank, pit)
+    earlier = bank.history(table, last=STORED_CAPTURES)
+    stored = build_pit(
+        build_hub(bank.earlier_current(table), pit.hub),
+        build_satellite(earlier, pit.satellite),
+        capture_list(earlier),
+        pit,
+    )
+    hub = build_hub(bank.current(table), pit.hub)
+    return stored.unionByName(pit_increment(hub, satellite, captures, stored, pit, last))
+
+
+def _transactions_as_of(bank: SampleBank) -> DataFrame:
+    """Every transaction with the state of its account at a moment of the transaction's own.
+
+    The sample's transactions are years older than its captures, so their moments are dealt out over
+    the days of these, one per hour.
+    """
+    pit = POINTS_IN_TIME["pit_account"]
+    hour = F.substring("transaction_id", 2, 20).cast("long") % (24 * (CAPTURES + 1))
+    facts = bank.current("transactions").select(
+        "transaction_id",
+        "account_id",
+        entity_key(F.col(SOURCE_COLUMN), F.trim("account_id")).alias(pit.hub.hash_key),
+        (wall_clock(capture_time(0)) + F.make_dt_interval(F.lit(0), hour.cast("int"))).alias("asked_at"),
+    )
+    satellite = _pit_satellite(bank, pit)
+    found = as_of_join(facts, _pit_over(bank, pit, satellite), satellite, pit, "asked_at")
+    names = [*pit.satellite.attribute_names, "snapshot_id", "snapshot_at", pit.pointer]
+    return found.select(
+        "transaction_id",
+        "account_id",
+        "asked_at",
+        *[F.col(f"{pit.satellite.name}.{name}").alias(name) for name in names],
+    )
+
+
 def _pit_of_remaining(bank: SampleBank, pit: PointInTime) -> DataFrame:
     captures = capture_list(bank.history(pit.satellite.table))
     return build_pit_pruned(

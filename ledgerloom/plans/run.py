@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from datetime import datetime
 from functools import partial
 
@@ -13,10 +14,10 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators.captures import Moment
 from ledgerloom.operators.keyed import build_hub, link_increment
-from ledgerloom.operators.point_in_time import build_pit_pruned
+from ledgerloom.operators.point_in_time import build_pit_pruned, pit_increment
 from ledgerloom.operators.satellite import build_satellite, satellite_increment
 from ledgerloom.operators.specs import Hub, Link, Satellite, Status
-from ledgerloom.operators.status import status_increment
+from ledgerloom.operators.status import next_state, status_increment, status_state
 from ledgerloom.plans import gold
 from ledgerloom.plans.models import (
     CUSTOMER_ACCOUNT_STATUS,
@@ -26,6 +27,7 @@ from ledgerloom.plans.models import (
     SATELLITES,
 )
 from ledgerloom.plans.silver import SILVER
+from ledgerloom.sources.guard import RunGuard
 from ledgerloom.sources.readers import Reader
 from ledgerloom.sources.stamping import new_capture_id, stamp_current, utc_now
 from ledgerloom.sources.tables import SNAPSHOT_AT, SOURCE_TABLES, check_columns
@@ -36,6 +38,8 @@ SILVER_SPACE = None  # current-state models name no namespace and go to the defa
 GOLD_SPACE = "gold"
 VAULT = "raw_vault"
 BUSINESS_VAULT = "business_vault"
+# After a status satellite's name: what each relationship is now.
+STATE = "_state"
 
 
 def load_current(
@@ -119,23 +123,15 @@ def write_vault(
     stored = partial(warehouse.read_if_exists, VAULT)
     done: list[tuple[str, Moment, int]] = []
 
-    def captured(
-        model: str, table: str, write: Callable[[DataFrame, DataFrame, Moment | None], int]
-    ) -> int:
+    def captured(model: str, table: str, write: Callable[[DataFrame, _Seen], int]) -> int:
         """Write from the captures a model has yet to see, and note that it has seen them."""
-        captures = warehouse.captures(table)
-        order = F.struct("load_dts", "snapshot_id")
-        number, newest = captures.agg(F.count(F.lit(1)), F.max(order)).first()
-        last = None
-        seen = warehouse.progress(VAULT, model) if newer_only else None
-        if seen is not None:
-            later = seen[0].before(F.col("load_dts"), F.col("snapshot_id"))
-            in_order = captures.filter(~later).count() == seen[1]
-            last = seen[0] if in_order else None
-        newer = captures.filter(later) if last else captures
-        written = write(warehouse.history(table, newer), captures, last)
-        if newest is not None:
-            done.append((model, Moment(newest["load_dts"], newest["snapshot_id"]), number))
+        seen = _seen(warehouse, VAULT, model, table, newer_only)
+        newer = seen.captures
+        if seen.last:
+            newer = newer.filter(seen.last.before(F.col("load_dts"), F.col("snapshot_id")))
+        written = write(warehouse.history(table, newer), seen)
+        if seen.newest is not None:
+            done.append((model, seen.newest, seen.number))
         return written
 
     def hub(model: Hub) -> int:
@@ -152,17 +148,31 @@ def write_vault(
         return write(read(CURRENT, model.table))
 
     def satellite(model: Satellite) -> int:
-        def write(rows: DataFrame, _: DataFrame, last: Moment | None) -> int:
-            fresh = satellite_increment(rows, stored(model.name), model, last)
+        def write(rows: DataFrame, seen: _Seen) -> int:
+            fresh = satellite_increment(rows, stored(model.name), model, seen.last)
             return warehouse.append(VAULT, model.name, fresh)
 
         return captured(model.name, model.table, write)
 
     def status(model: Status) -> int:
-        def write(rows: DataFrame, captures: DataFrame, last: Moment | None) -> int:
-            listed = None if model.per_source else captures
-            fresh = status_increment(rows, stored(model.name), model, listed, last)
-            return warehouse.append(VAULT, model.name, fresh)
+        kept = f"{model.name}{STATE}"
+
+        def write(rows: DataFrame, seen: _Seen) -> int:
+            listed = None if model.per_source else seen.captures
+            state = _state_at(stored(kept), seen.last)
+            fresh = status_increment(rows, stored(model.name), model, listed, seen.last, state)
+            written = warehouse.append(VAULT, model.name, fresh)
+            if seen.newest is not None:
+                changes = read(VAULT, model.name)
+                if state is None:
+                    now = status_state(changes, model)
+                else:
+                    # The rows just appended, and those of a run that was interrupted after its own.
+                    changes = changes.filter(F.col("load_dts") >= seen.last.at_literal)
+                    now = next_state(state, changes, model)
+                at = {"state_dts": seen.newest.at_literal, "state_id": F.lit(seen.newest.snapshot_id)}
+                warehouse.replace(VAULT, kept, now.withColumns(at))
+            return written
 
         return captured(model.name, model.link.table, write)
 
@@ -189,12 +199,15 @@ def compact(warehouse: Warehouse, parallel: int = 1) -> dict[str, bool]:
     }
     for name in [*SATELLITES, CUSTOMER_ACCOUNT_STATUS.name, RUN_LOG]:
         steps[name] = lambda n=name: warehouse.compact(VAULT, n)
+    for name in POINTS_IN_TIME:
+        steps[name] = lambda n=name: warehouse.compact(BUSINESS_VAULT, n)
     steps[LOAD_LOG] = lambda: warehouse.compact(HISTORY, LOAD_LOG)
     return _each(warehouse, steps, parallel)
 
 
 def rebuild_satellites(warehouse: Warehouse) -> dict[str, int]:
-    """Replace every satellite by a full comparison of the history.
+    """Replace every satellite by a full comparison of the history, and the point-in-time tables over
+    them.
 
     Appended rows are never taken back, so a capture that arrives after a later one can leave a
     version which a full comparison would not have. This gives the exact result.
@@ -202,27 +215,86 @@ def rebuild_satellites(warehouse: Warehouse) -> dict[str, int]:
     def rows(table: str) -> DataFrame:
         return warehouse.history(table, warehouse.captures(table))
 
-    return {
+    rebuilt = {
         name: warehouse.replace(VAULT, name, build_satellite(rows(satellite.table), satellite))
         for name, satellite in SATELLITES.items()
     }
+    if any(warehouse.exists(BUSINESS_VAULT, name) for name in POINTS_IN_TIME):
+        write_business_vault(warehouse, newer_only=False)
+    return rebuilt
+
 
+def write_business_vault(
+    warehouse: Warehouse, newer_only: bool = True, parallel: int = 1
+) -> dict[str, int]:
+    """Append to the point-in-time tables what newer captures and keys bring; returns the rows written.
 
-def write_business_vault(warehouse: Warehouse, parallel: int = 1) -> dict[str, int]:
-    """Replace the point-in-time tables, for the captures the load log has; captures that were
-    removed from it are no pointers, and versions from them count from the next one on."""
+    A capture that was logged late or removed since changes the number of captures up to the last one
+    seen. Then, after a capture of the very time of the last one, and without ``newer_only``, the table is
+    replaced; captures that were removed are no
+    pointers, and versions from them count from the next one on.
+    """
+    done: list[tuple[str, Moment, int]] = []
 
     def write(name: str) -> int:
         pit = POINTS_IN_TIME[name]
-        table = build_pit_pruned(
-            warehouse.read(VAULT, pit.hub.name),
-            warehouse.read(VAULT, pit.satellite.name),
-            warehouse.captures(pit.satellite.table),
-            pit,
-        )
-        return warehouse.replace(BUSINESS_VAULT, name, table)
+        seen = _seen(warehouse, BUSINESS_VAULT, name, pit.satellite.table, newer_only)
+        hub = warehouse.read(VAULT, pit.hub.name)
+        satellite = warehouse.read(VAULT, pit.satellite.name)
+        existing = warehouse.read_if_exists(BUSINESS_VAULT, name)
+        if existing is not None and seen.last and not _shares_time(seen):
+            fresh = pit_increment(hub, satellite, seen.captures, existing, pit, seen.last)
+            written = warehouse.append(BUSINESS_VAULT, name, fresh)
+        else:
+            table = build_pit_pruned(hub, satellite, seen.captures, pit)
+            written = warehouse.replace(BUSINESS_VAULT, name, table)
+        if seen.newest is not None:
+            done.append((name, seen.newest, seen.number))
+        return written
+
+    try:
+        return _each(warehouse, {name: lambda n=name: write(n) for name in POINTS_IN_TIME}, parallel)
+    finally:
+        warehouse.log_progress(BUSINESS_VAULT, done)
 
-    return _each(warehouse, {name: lambda n=name: write(n) for name in POINTS_IN_TIME}, parallel)
+
+@dataclass(frozen=True)
+class _Seen:
+    """The captures of a table, how many, the newest, and the last one a model has seen, if it can go on
+    from there."""
+
+    captures: DataFrame
+    number: int
+    newest: Moment | None
+    last: Moment | None
+
+
+def _seen(warehouse: Warehouse, namespace: str, model: str, table: str, newer_only: bool) -> _Seen:
+    captures = warehouse.captures(table)
+    order = F.struct("load_dts", "snapshot_id")
+    number, newest = captures.agg(F.count(F.lit(1)), F.max(order)).first()
+    progress = warehouse.progress(namespace, model) if newer_only else None
+    last = None
+    if progress is not None:
+        later = progress[0].before(F.col("load_dts"), F.col("snapshot_id"))
+        last = progress[0] if captures.filter(~later).count() == progress[1] else None
+    return _Seen(captures, number, newest and Moment(newest["load_dts"], newest["snapshot_id"]), last)
+
+
+def _shares_time(seen: _Seen) -> bool:
+    """Whether a capture after the last one seen has its time."""
+    later = seen.last.before(F.col("load_dts"), F.col("snapshot_id"))
+    return not seen.captures.filter(F.col("load_dts") == seen.last.at_literal).filter(later).isEmpty()
+
+
+def _state_at(kept: DataFrame | None, last: Moment | None) -> DataFrame | None:
+    """The kept state, if it is that after the capture ``last``."""
+    if kept is None or last is None:
+        return None
+    at = kept.select("state_dts", "state_id").first()
+    if at is None or Moment(at["state_dts"], at["state_id"]) != last:
+        return None
+    return kept.drop("state_dts", "state_id")
 
 
 def run_all(
@@ -232,24 +304,35 @@ def run_all(
     capture_id: str | None = None,
     newer_only: bool = True,
     parallel: int = 1,
+    guard: RunGuard | None = None,
 ) -> dict[str, dict]:
     """Run every step in order; repeating a run with its capture id and time adds nothing twice.
 
+    Only one run at a time is let in (``RunRefused``), by a claim beside the warehouse; one that was taken
+    for dead stops before its next step (``RunLost``).
+
     ``newer_only`` lets each model read only the captures it has not seen, so that the cost of a run
     does not grow with the history; False compares the whole history, as happens by itself after
     a capture that arrives late. A run that failed is to be repeated.
     """
     run_at = run_at or utc_now()
     capture_id = capture_id or new_capture_id()
-    return {
-        "current": load_current(warehouse, source, run_at, parallel),
-        "silver": write_silver(warehouse, parallel),
-        "gold": write_gold(warehouse, parallel),
-        "captures": load_captures(warehouse, source, capture_id, run_at, parallel),
-        "vault": write_vault(warehouse, newer_only, parallel),
-        "business_vault": write_business_vault(warehouse, parallel),
-        "compacted": compact(warehouse, parallel),
+    steps = {
+        "current": lambda: load_current(warehouse, source, run_at, parallel),
+        "silver": lambda: write_silver(warehouse, parallel),
+        "gold": lambda: write_gold(warehouse, parallel),
+        "captures": lambda: load_captures(warehouse, source, capture_id, run_at, parallel),
+        "vault": lambda: write_vault(warehouse, newer_only, parallel),
+        "business_vault": lambda: write_business_vault(warehouse, newer_only, parallel),
+        "compacted": lambda: compact(warehouse, parallel),
     }
+    guard = guard or warehouse.guard()
+    done = {}
+    with guard.run(f"capture {capture_id} of {run_at.isoformat()}") as claim:
+        for name, step in steps.items():
+            guard.check(claim)
+            done[name] = step()
+    return done
 
 
 def _each(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Sequence
 from datetime import datetime
 
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators.captures import Moment, logged_captures, of_captures
 from ledgerloom.operators.keyed import new_rows
+from ledgerloom.sources.guard import DEAD_AFTER, RENEW_EVERY, RunGuard
 from ledgerloom.sources.stamping import stamp_capture, wall_clock
 from ledgerloom.sources.tables import SNAPSHOT_ID
 
@@ -23,10 +25,10 @@ LOAD_LOG_COLUMNS = (
 )
 # A model is complete up to this capture, which was the n-th of its table.
 RUN_LOG_COLUMNS = "model_name string, snapshot_id string, load_dts timestamp_ntz, captures bigint"
-# So many capture ids are named in a filter on the partition column; more are joined.
-NAMED_CAPTURES = 1_000
 # Files of a table beyond which ``compact`` rewrites it, per bucket (or in all without buckets).
 FILES_PER_BUCKET = 8
+# The claims of runs, beside the tables.
+CLAIMS = "_runs"
 
 
 class Warehouse:
@@ -34,9 +36,12 @@ class Warehouse:
 
     A model that names a namespace goes there, one that names none to ``default_namespace``.
 
-    ``catalog`` None means the session catalog, whose file tables are written with ``saveAsTable``;
-    any other catalog is written through ``writeTo``, which makes replacing a table atomic where the
-    table format supports it. ``buckets`` stores hubs and links bucketed by hash key: their keys are
+    ``catalog`` None means the session catalog. There a table is a view of its present generation, a file
+    table of its own that is complete before the view turns to it: a reader finds the old rows or
+    the new ones, never no table, and whatever stops a write leaves the old ones. The generation
+    before stays for readers that have begun, until the next replacement. The captures are plain
+    tables, as only partitions of them are ever replaced. Any other catalog is written through
+    ``writeTo``, which makes replacing a table atomic where the table format supports it. ``buckets`` stores hubs and links bucketed by hash key: their keys are
     unique, so buckets are even, and the append filter and the point-in-time join then read them
     without an exchange. Satellites are not bucketed, as one key may have any number of versions.
     """
@@ -65,13 +70,15 @@ class Warehouse:
     def ensure_namespace(self, namespace: str | None) -> None:
         self.spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {self.namespace(namespace)}")
 
+    def guard(
+        self, folder: str | None = None, renew_every: float = RENEW_EVERY, dead_after: float = DEAD_AFTER
+    ) -> RunGuard:
+        """What lets one run at a time into this warehouse; see :class:`RunGuard`."""
+        root = folder or f"{self.spark.conf.get('spark.sql.warehouse.dir')}/{CLAIMS}"
+        return RunGuard(self.spark, root, renew_every, dead_after)
+
     def exists(self, namespace: str | None, table: str) -> bool:
-        name = self.name(namespace, table)
-        there = self.spark.catalog.tableExists
-        if not there(name) and there(f"{name}__old") and there(f"{name}__compact"):
-            # An interrupted ``compact`` had both ready.
-            self.spark.sql(f"ALTER TABLE {name}__compact RENAME TO {name}")
-        return there(name)
+        return self.spark.catalog.tableExists(self.name(namespace, table))
 
     def read(self, namespace: str | None, table: str) -> DataFrame:
         return self.spark.table(self.name(namespace, table))
@@ -87,7 +94,9 @@ class Warehouse:
         if self.catalog:
             counted.writeTo(name).using(self.table_format).createOrReplace()
         else:
-            counted.write.format(self.table_format).mode("overwrite").saveAsTable(name)
+            fresh = _generation(name)
+            counted.write.format(self.table_format).saveAsTable(fresh)
+            self._turn(name, fresh)
         return rows()
 
     def append(
@@ -117,12 +126,16 @@ class Warehouse:
                     writer = writer.partitionedBy(F.col(partition_by))
                 writer.create()
             return rows()
+        # A table that is partitioned is never replaced as a whole.
+        target = name if partition_by else self._stored(name) if created else _generation(name)
         writer = counted.write.format(self.table_format).mode("append")
         if partition_by:
             writer = writer.partitionBy(partition_by)
         if bucket_key and self.buckets:
             writer = writer.bucketBy(self.buckets, bucket_key)
-        writer.saveAsTable(name)
+        writer.saveAsTable(target)
+        if not created and not partition_by:
+            self._turn(name, target)
         return rows()
 
     def append_new(
@@ -190,11 +203,7 @@ class Warehouse:
 
     def history(self, table: str, captures: DataFrame) -> DataFrame:
         """The rows of these captures, reading only their partitions."""
-        rows = self.read(HISTORY, table)
-        named = [row["snapshot_id"] for row in captures.limit(NAMED_CAPTURES + 1).collect()]
-        if len(named) > NAMED_CAPTURES:
-            return of_captures(rows, captures)
-        return rows.filter(F.col(SNAPSHOT_ID).isin(named))
+        return of_captures(self.read(HISTORY, table), captures)
 
     def progress(self, namespace: str, model: str) -> tuple[Moment, int] | None:
         """The capture up to which a model is complete, and the how manieth it was."""
@@ -215,7 +224,7 @@ class Warehouse:
     def compact(self, namespace: str | None, table: str, bucket_key: str | None = None) -> bool:
         """Rewrite a table that has gathered many files; whether it had.
 
-        The rewritten copy takes the table's name only when it is complete. A table of another
+        The rewritten copy becomes the present generation only when it is complete. A table of another
         catalog is left to that catalog's own means.
         """
         if self.catalog or not self.exists(namespace, table):
@@ -225,20 +234,40 @@ class Warehouse:
         if len(rows.inputFiles()) <= FILES_PER_BUCKET * (buckets or 1):
             return False
         name = self.name(namespace, table)
-        self.spark.sql(f"DROP TABLE IF EXISTS {name}__compact")
+        fresh = _generation(name)
         if buckets:
             rows = rows.repartition(buckets, bucket_key)
             writer = rows.write.bucketBy(buckets, bucket_key)
         else:
             # As many files as their size asks for.
             writer = rows.hint("rebalance").write
-        writer.format(self.table_format).saveAsTable(f"{name}__compact")
-        self.spark.sql(f"DROP TABLE IF EXISTS {name}__old")
-        self.spark.sql(f"ALTER TABLE {name} RENAME TO {name}__old")
-        self.spark.sql(f"ALTER TABLE {name}__compact RENAME TO {name}")
-        self.spark.sql(f"DROP TABLE {name}__old")
+        writer.format(self.table_format).saveAsTable(fresh)
+        self._turn(name, fresh)
         return True
 
+    def _stored(self, name: str) -> str:
+        """The file table a name stands for: its present generation, or itself."""
+        described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {name}")
+        text = described.filter("col_name = 'View Text'").first()
+        return name if text is None else text["data_type"].removeprefix(_VIEW)
+
+    def _turn(self, name: str, fresh: str) -> None:
+        """Let a name stand for a complete generation, in one step of the catalog; older ones than the
+        one before go, among them such as an interrupted run left."""
+        before = None
+        if self.spark.catalog.tableExists(name):
+            before = self._stored(name)
+            if before == name:
+                # A plain table, from before there were generations.
+                before = _generation(name)
+                self.spark.sql(f"ALTER TABLE {name} RENAME TO {before}")
+        self.spark.sql(f"CREATE OR REPLACE VIEW {name} AS {_VIEW}{fresh}")
+        space, _, table = name.rpartition(".")
+        for row in self.spark.sql(f"SHOW TABLES IN {space} LIKE '{table}{_MARK}*'").collect():
+            found = f"{space}.{row['tableName']}"
+            if found not in (fresh, before):
+                self.spark.sql(f"DROP TABLE IF EXISTS {found}")
+
     def is_latest(self, captured_at: datetime) -> bool:
         """Whether a capture at this time comes after every logged one."""
         log = self.read_if_exists(HISTORY, LOAD_LOG)
@@ -263,6 +292,15 @@ class Warehouse:
         return counted, lambda: observation.get["rows"]
 
 
+_MARK = "__g_"
+_VIEW = "SELECT * FROM "
+
+
+def _generation(name: str) -> str:
+    """A name no other generation has, not even one an interrupted run left files of."""
+    return f"{name}{_MARK}{uuid.uuid4().hex}"
+
+
 def _in_order(df: DataFrame, target: DataFrame, name: str) -> DataFrame:
     """``df`` in the target's column order; a changed set of columns or types is refused."""
     have = {field.name: field.dataType for field in df.schema.fields}

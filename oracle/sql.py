@@ -404,6 +404,39 @@ def as_of(name: str, pit_rows: str, satellite_rows: str, at: str = LOOKUP_AT) ->
           on s.{hash_key} = p.{hash_key} and s.load_dts = p.{pointer}"""
 
 
+def facts_as_of(name: str, pit_rows: str, satellite_rows: str) -> str:
+    """Transactions with the state of their account at a moment of their own."""
+    _, hub_name, satellite_name, pointer = PITS[name]
+    _, _, hash_key = KEYS[hub_name]
+    attributes = ", ".join(f"s.{attribute}" for attribute, _ in SATELLITES[satellite_name][3])
+    return f"""
+        with points as (
+            select p.{hash_key}, p.snapshot_id, p.snapshot_at, p.{pointer}, {attributes}
+            from ({pit_rows}) as p
+            join (select * from ({satellite_rows}) as versions
+                  qualify row_number() over (partition by {hash_key}, load_dts
+                                             order by snapshot_id desc) = 1) as s
+              on s.{hash_key} = p.{hash_key} and s.load_dts = p.{pointer}),
+        facts as (
+            select transaction_id, account_id,
+                   {entity_hash("trim(account_id)", "_source_system")} as fact_key,
+                   timestamp '2026-09-26 00:00:00'
+                       + to_hours(cast(substr(transaction_id, 2) as bigint) % 120) as asked_at
+            from ({current("transactions")}) as rows)
+        select f.transaction_id, f.account_id, f.asked_at, s.* exclude ({hash_key})
+        from facts as f asof left join points as s
+          on s.{hash_key} = f.fact_key and f.asked_at >= s.snapshot_at"""
+
+
+def states(source: str) -> str:
+    """Whether each relationship is in the last capture."""
+    return f"""
+        select customer_account_hk, customer_hk, account_hk, record_source, is_active
+        from ({status(source)}) as changes
+        qualify row_number() over (partition by customer_account_hk
+                                   order by load_dts desc, snapshot_id desc) = 1"""
+
+
 def gold_summary() -> str:
     return f"""
         select a.account_id, a.customer_id,
@@ -538,4 +571,9 @@ def all_sql() -> dict[str, str]:
         )
         subject = name.removeprefix("pit_")
         found[f"{subject}_as_of"] = as_of(name, rows, found[satellite_name])
+        found[f"{name}_incremental"] = rows
+    found["transactions_as_of"] = facts_as_of(
+        "pit_account", found["pit_account"], found["sat_account_details"]
+    )
+    found["sts_customer_account_kept_state"] = states(history("accounts"))
     return found

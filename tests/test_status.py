@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators.captures import Moment, capture_list
 from ledgerloom.operators.specs import Status
-from ledgerloom.operators.status import build_status, status_increment
+from ledgerloom.operators.status import build_status, next_state, status_increment, status_state
 from ledgerloom.plans.models import CUSTOMER_ACCOUNT, CUSTOMER_ACCOUNT_STATUS
 from oracle import sql
 
@@ -128,3 +128,26 @@ def test_sources_apart_or_together(spark):
 
 def test_empty_history(spark):
     assert build_status(account_history(spark, []), CUSTOMER_ACCOUNT_STATUS).isEmpty()
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_state_carried_on(spark, seed):
+    """The kept state stands for all rows of the past, capture by capture."""
+    history = account_history(spark, random_accounts(seed))
+    captures = sorted({(r["_snapshot_at"], r["_snapshot_id"]) for r in history.collect()})
+    first = history.filter(F.col("_snapshot_id") == captures[0][1])
+    stored = kept(build_status(first, CUSTOMER_ACCOUNT_STATUS))
+    state = kept(status_state(stored, CUSTOMER_ACCOUNT_STATUS))
+    listed = capture_list(history)
+    for (before, name), (at, now) in zip(captures, captures[1:]):
+        last = Moment(before, name)
+        past = ~Moment(at, now).before(F.col("load_dts"), F.col("snapshot_id"))
+        one = history.filter(F.col("_snapshot_id") == now)
+        # Nothing of the past is at hand but the state.
+        changes = kept(
+            status_increment(one, stored.limit(0), CUSTOMER_ACCOUNT_STATUS, listed.filter(past), last, state)
+        )
+        stored = kept(stored.unionByName(changes))
+        state = kept(next_state(state, changes, CUSTOMER_ACCOUNT_STATUS))
+        assert bag(state) == bag(status_state(stored, CUSTOMER_ACCOUNT_STATUS))
+    assert bag(stored) == bag(build_status(history, CUSTOMER_ACCOUNT_STATUS))
