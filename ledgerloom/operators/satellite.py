@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.keys import change_hash, require_stable_text
 from ledgerloom.operators.captures import Moment
-from ledgerloom.operators.keyed import identified_rows, new_rows
+from ledgerloom.operators.keyed import identified_rows, new_rows, with_values
 from ledgerloom.operators.specs import Satellite
 from ledgerloom.sources.tables import SNAPSHOT_AT, SNAPSHOT_ID, SOURCE_COLUMN
 
@@ -82,9 +82,13 @@ def changed_versions(
     Per key and capture only the lowest and the highest version are needed to compare with the
     capture before; each task finds its own before the exchange, so that a key with any number of
     rows is one row per capture and task from there on. The versions between them differ from their
-    neighbours anyway. They are looked up only where lowest and highest differ, and the rows are
-    read again for this only if there is such a place at all.
+    neighbours anyway. They are looked up in the captures that have a key with several versions, a list
+    no longer than that of captures, which Spark sends to the scan: where it is empty, Spark leaves
+    out that part of the plan while it runs, and the rows are read once.
     """
+    # A join on these would leave out nulls below it, and so find no use for the exchange of another part
+    # of the plan; a row without key or capture is none anyway.
+    rows = with_values(rows, [*by, *CAPTURE])
     # Packed once, the attributes travel once; a separate lag column would double the exchange.
     packed = rows.select(*by, *CAPTURE, *carried, F.struct(*attributes).alias("_version"))
     where = [*by, *CAPTURE, *carried]
@@ -101,8 +105,9 @@ def changed_versions(
         *[F.col(name).alias(f"_{name}") for name in [*by, *CAPTURE]], F.col("_version").alias("_lowest")
     )
     same = reduce(and_, [F.col(name) == F.col(f"_{name}") for name in [*by, *CAPTURE]])
+    crowded_captures = F.broadcast(crowded.select("_snapshot_id").distinct())
     others = (
-        packed.filter(crowded.exists())
+        packed.join(crowded_captures, F.col("snapshot_id") == F.col("_snapshot_id"), "left_semi")
         .join(crowded, same & (F.col("_version") > F.col("_lowest")), "left_semi")
         .distinct()
         .select(*where, "_version")

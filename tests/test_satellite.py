@@ -143,3 +143,33 @@ def test_stored_versions_are_cut_to_the_newer_keys_first(spark):
     # Deeper in the plan is earlier.
     assert plan.index("max_by") < plan.index("Join LeftSemi", plan.index("max_by"))
     assert [s for _, s, _ in versions(fresh)] == ["s9"]
+
+
+def scans(df) -> list[str]:
+    """Names of the scans of a plan that were not dropped while it ran, without those of reused exchanges."""
+    df.collect()
+    plans, found = [df._jdf.queryExecution().executedPlan()], []
+    while plans:
+        plan = plans.pop()
+        kind = plan.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            plans.append(plan.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            plans.append(plan.plan())
+        elif kind != "ReusedExchangeExec":
+            if kind == "FileSourceScanExec":
+                found.append(plan.toString())
+            children = plan.children()
+            plans += [children.apply(i) for i in range(children.size())]
+    return found
+
+
+@pytest.mark.parametrize("crowded, read", [(False, 1), (True, 2)])
+def test_history_is_read_once(spark, tmp_path, crowded, read):
+    """Versions between lowest and highest are looked up only where a key has several in a capture."""
+    rows = random_accounts(2, crowded=crowded)
+    account_history(spark, rows).write.parquet(str(tmp_path / "history"))
+    history = spark.read.parquet(str(tmp_path / "history"))
+    built = build_satellite(history, ACCOUNT_DETAILS)
+    assert len(scans(built)) == read
+    assert bag(built) == bag(build_satellite(account_history(spark, rows), ACCOUNT_DETAILS))
