@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -63,6 +64,27 @@ def write_whole(folder: str, name: str, parts: Iterable[bytes]) -> tuple[str, in
     return f"{folder}/{name}", size
 
 
+# What tasks have left in this worker process for the next ones, by operator, and how to let go of it.
+_HELD: dict[str, Callable[[], object]] = {}
+
+
+def hold(operator: str, drop: Callable[[], object]) -> None:
+    """Called where a task begins: a worker goes from one operator's tasks to another's, and what it
+    remembers of the others would stay beside what this one needs."""
+    for other in [name for name in _HELD if name != operator]:
+        _HELD.pop(other)()
+    _HELD[operator] = drop
+
+
+def give_back() -> None:
+    """Hand memory that is free again back to the machine, where the C library can; a worker that waits for
+    its next task counts with what it keeps."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def crc32_of(ids: np.ndarray) -> int:
     """Unsigned crc32 of ids as little-endian unsigned 32-bit integers."""
     return zlib.crc32(np.ascontiguousarray(ids, dtype="<u4").tobytes())

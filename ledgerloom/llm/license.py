@@ -260,14 +260,15 @@ def scan(documents: DataFrame) -> DataFrame:
     Null and empty texts have no words and no places. Every row is looked at by itself, repeated
     ones too; an empty table stays empty; columns of these names are replaced.
     """
-    words = documents.withColumn("_words", normal(or_empty(F.col("text"))))
-    return words.withColumns(
-        {
-            "n_words": F.when(F.char_length("_words") <= 2, 0).otherwise(_spaces(F.col("_words")) - 1),
-            "base": base_places(F.col("_words")),
-            "detections": detections(F.col("_words")),
-        }
-    ).drop("_words")
+    found = {
+        "n_words": F.when(F.char_length("words") <= 2, 0).otherwise(_spaces(F.col("words")) - 1),
+        "base": base_places(F.col("words")),
+        "detections": detections(F.col("words")),
+    }
+    # A row travels as one column, so that its columns' names meet no others.
+    rows = documents.select(F.struct("*").alias("row"), normal(or_empty(F.col("text"))).alias("words"))
+    stay = [F.col("row").getField(name).alias(name) for name in documents.columns if name not in found]
+    return rows.select(*stay, *[column.alias(name) for name, column in found.items()])
 
 
 def certainty(found: Column) -> Column:

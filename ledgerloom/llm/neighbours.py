@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 # A row's place: ids from the greatest down, nulls last; of equal ids by a hash of the text, then as stored.
 PLACE = ["turned", "without_id", "print", "stored"]
+# Parts for each partition an exchange has: a task hands over all texts of a part, and those after them.
+SMALLER = 4
 _LAST = 2**63 - 1
 
 
@@ -23,11 +25,11 @@ def with_next(documents: DataFrame) -> DataFrame:
     empty table gives no rows, and other columns are not looked at.
 
     A first pass over places alone finds where the parts of a range partitioning begin, a row per
-    part; as many parts as exchanges have. In the second, the first row of each part
+    part, a few times as many as exchanges have partitions. In the second, the first row of each part
     goes to the part before as well, so that every part has all it needs and texts are exchanged once.
     """
     rows = _placed(documents)
-    parts = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = SMALLER * int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     own = F.struct(F.col("dealt.part").alias("part"), F.lit(False).alias("guest"))
     before = F.struct(F.col("dealt.before").alias("part"), F.lit(True).alias("guest"))
     goes_to = F.array_compact(F.array(own, F.when(F.col("dealt.before").isNotNull(), before)))

@@ -11,9 +11,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import FILE_ROWS, crc32_of, in_slices, kept, or_empty
+from ledgerloom.llm.common import FILE_ROWS, crc32_of, give_back, hold, in_slices, kept, or_empty
 from ledgerloom.llm.word_cache import SpacedWords, encoder, with_ends
 
+# Bytes of text encoded together: beyond it a worker takes more memory and no less time.
+SLICE = 700_000
 CAPACITY = 4_096
 # Pieces of one length numbered in one task.
 NUMBERED = 50_000
@@ -28,9 +30,10 @@ def pieces(documents: DataFrame, tokenizer_path: str, end_id: int, capacity: int
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold("packing", encoder.cache_clear)
         codec = encoder(tokenizer_path, SpacedWords)
         for batch in batches:
-            for some in in_slices(batch, 1, 2_000_000):
+            for some in in_slices(batch, 1, SLICE):
                 flat, counts = codec.encode(some.column(1))
                 flat = with_ends(flat, counts, end_id)
                 counts = counts + 1
@@ -48,6 +51,7 @@ def pieces(documents: DataFrame, tokenizer_path: str, end_id: int, capacity: int
                     pa.array(crcs, pa.int64()),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "piece", "start", "length", "ids_crc32"])
+        give_back()
 
     kind = documents.schema["doc_id"].dataType.simpleString()
     texts = documents.select("doc_id", or_empty(F.col("text")).alias("text"))

@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import FILE_ROWS, kept
+from ledgerloom.llm.common import FILE_ROWS, give_back, hold, kept
 from ledgerloom.llm.components import components, merge
 
 WORDS = 3
@@ -60,7 +60,10 @@ def fingerprint(text: Column, words: int = WORDS) -> Column:
 
     @F.pandas_udf("long")
     def of(texts: pd.Series) -> pd.Series:
-        return pd.Series([text_fingerprint(text, words) for text in texts], dtype="int64")
+        hold("simhash", lambda: None)
+        found = pd.Series([text_fingerprint(text, words) for text in texts], dtype="int64")
+        give_back()
+        return found
 
     return of(text)
 
@@ -104,19 +107,22 @@ def keep_one(documents: DataFrame, words: int = WORDS, distance: int = DISTANCE)
     """The documents (``doc_id``, ``text``, others) that stay: one of each group of near-duplicates.
 
     The one with the smallest id stays; of rows that share it the one with the smallest fingerprint,
-    and of copies of that row any one. A group without ids keeps its smallest fingerprint. All
-    columns stay as they are.
+    and of those the one with the smallest text, then with the smallest hash of all its columns. A
+    group without ids keeps its smallest fingerprint. All columns stay as they are, whatever their names.
     """
     stays = (
         near_duplicates(documents, words, distance)
         .filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
         .groupBy("root")
-        .agg(F.min("fingerprint").alias("_stay_print"), F.min("doc_id").alias("_stay_id"))
+        .agg(F.min("fingerprint").alias("stay_print"), F.min("doc_id").alias("stay_id"))
         .drop("root")
     )
-    rows = documents.withColumn("_print", fingerprint(F.col("text"), words)).dropDuplicates(["doc_id", "_print"])
-    same = (F.col("_print") == F.col("_stay_print")) & F.col("doc_id").eqNullSafe(F.col("_stay_id"))
-    return rows.join(kept(stays), same, "left_semi").select(*[f"`{name}`" for name in documents.columns])
+    # A row travels as one column, so that its columns' names meet no others.
+    packed = documents.select(F.struct("*").alias("row"), fingerprint(F.col("text"), words).alias("print"))
+    order = F.struct("row.text", F.xxhash64("row"))
+    rows = packed.groupBy(F.col("row.doc_id").alias("id"), "print").agg(F.min_by("row", order).alias("row"))
+    same = (F.col("print") == F.col("stay_print")) & F.col("id").eqNullSafe(F.col("stay_id"))
+    return rows.join(kept(stays), same, "left_semi").select("row.*")
 
 
 def fingerprint_links(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:

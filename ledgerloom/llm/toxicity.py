@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import kept, or_empty
+from ledgerloom.llm.common import give_back, hold, kept, or_empty
 
 THRESHOLD = 0.7
 # Labelled rows the model is fitted on, at most, by label.
@@ -141,7 +141,9 @@ def score(text: Column, model: Model) -> Column:
 
     @F.pandas_udf("double")
     def of(texts: pd.Series) -> pd.Series:
+        hold("toxicity", _automaton.cache_clear)
         rows = [features(text or "", model.lexicon, model.exceptions) for text in texts]
+        give_back()
         return pd.Series(_probability(np.array(rows, float).reshape(-1, FEATURES), model.coefficients))
 
     return of(text)

@@ -30,7 +30,8 @@ def odd_documents(spark: SparkSession) -> DataFrame:
     rows = [(i, t, None, None, None) for i, t in enumerate(ODD_TEXTS)]
     rows += [rows[5], rows[5], (None, "no id here at all", "de", "x", 3), (None, None, None, None, None)]
     frame = spark.createDataFrame(rows, DOCUMENTS)
-    clash = ["id", "ids", "print", "node", "root", "a", "b", "count", "k", "block", "value", "kind", "start"]
+    clash = ["id", "ids", "print", "node", "root", "a", "b", "count", "k", "block", "value", "kind", "start",
+             "_found", "_clean", "_print", "_stay_id", "_words", "row", "found", "clean", "words", "stay_id"]
     for name in clash:
         frame = frame.selectExpr("*", f"'{name}' as `{name}`")
     return frame
