@@ -35,19 +35,25 @@ def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal data replaced by its kind; ``n_chars`` follows the text if it changed.
 
-    Null texts stay null and rows without personal data stay as they are.
+    Null texts stay null and rows without personal data stay as they are. Rows that repeat are rows of
+    their own, and an empty table stays empty. Other columns may have any name.
     """
     found = pii.spans(or_empty(F.col("text")), pii.fit(docs))
-    clean = docs.withColumn("_found", found).withColumn("_clean", pii.redact(F.col("text"), F.col("_found")))
-    changed = {"text": F.col("_clean")}
+    # A row travels as one column, so that its columns' names meet no others.
+    rows = docs.select(F.struct("*").alias("row"), found.alias("found"))
+    rows = rows.withColumn("clean", pii.redact(F.col("row.text"), F.col("found")))
+    changed = {"text": F.col("clean")}
     if "n_chars" in docs.columns:
-        length = F.when(F.size("_found") > 0, F.char_length("_clean")).otherwise(F.col("n_chars"))
+        length = F.when(F.size("found") > 0, F.char_length("clean")).otherwise(F.col("row.n_chars"))
         changed["n_chars"] = length.cast(docs.schema["n_chars"].dataType)
-    return clean.select(*[changed.get(name, F.col(f"`{name}`")).alias(name) for name in docs.columns])
+    return rows.select(*[changed.get(name, F.col("row").getField(name)).alias(name) for name in docs.columns])
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents and their places in sequences; null texts are empty texts."""
+    """The pieces of all documents and their places in sequences; null texts are empty texts.
+
+    Rows that repeat are documents of their own, and an empty table has no pieces.
+    """
     return packing.pack(packing.pieces(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=1))
 
 
