@@ -51,12 +51,7 @@ def satellite_increment(
 
     # Stored keys are known by their hash key only, so here the comparison is per hash key.
     by, carried = [satellite.hash_key], [satellite.label, "record_source"]
-    fresh = _capture_rows(history, satellite).select(
-        _hash_key(satellite).alias(satellite.hash_key),
-        *carried,
-        *satellite.attribute_names,
-        *CAPTURE,
-    )
+    fresh = _hashed_rows(history, satellite)
     later = last.before(F.col("load_dts"), F.col("snapshot_id"))
     changed = changed_versions(
         fresh.unionByName(_last_versions(existing.filter(~later), fresh, satellite)),
@@ -71,6 +66,40 @@ def satellite_increment(
     )
 
 
+def satellite_repair(
+    history: DataFrame, existing: DataFrame, satellite: Satellite, late: DataFrame, first: Moment
+) -> tuple[DataFrame, DataFrame]:
+    """What captures that arrived late change in a stored satellite: rows to add, and rows to take back.
+
+    ``late`` are those captures, ``first`` the earliest of them, and ``history`` all captures from ``first`` up to
+    the last one the satellite has seen. Only keys of the late captures can change, and only from
+    ``first`` on: these are compared again, beginning with their last stored version before. The result is
+    that of comparing the whole history.
+    """
+    since = ~_before(first)
+    key, carried = satellite.hash_key, [satellite.label, "record_source"]
+    rows = _hashed_rows(history, satellite)
+    arrived = late.select(F.col("snapshot_id").alias("_late")).distinct()
+    touched = rows.join(arrived, F.col("snapshot_id") == F.col("_late"), "left_semi").select(key).distinct()
+    again = rows.join(touched, key, "left_semi")
+    last = _last_versions(existing.filter(_before(first)), touched, satellite)
+    changed = changed_versions(again.unionByName(last), [key], satellite.attribute_names, carried)
+    right = changed.filter(since).select(*_columns(satellite, F.col(key)))
+    stored = existing.filter(F.col("load_dts") >= first.at_literal).filter(since).join(touched, key, "left_semi")
+    same = [key, *CAPTURE, "hashdiff"]
+    columns = existing.columns
+    return (
+        right.join(stored, same, "left_anti").select(*columns),
+        stored.join(right, same, "left_anti").select(*columns),
+    )
+
+
+def _before(moment: Moment) -> Column:
+    """Whether a row is of a capture before this one."""
+    same = (F.col("load_dts") == moment.at_literal) & (F.col("snapshot_id") >= F.lit(moment.snapshot_id))
+    return ~(moment.before(F.col("load_dts"), F.col("snapshot_id")) | same)
+
+
 def changed_versions(
     rows: DataFrame, by: Sequence[str], attributes: Sequence[str], carried: Sequence[str] = ()
 ) -> DataFrame:
@@ -127,6 +156,16 @@ def _capture_rows(history: DataFrame, satellite: Satellite) -> DataFrame:
     )
 
 
+def _hashed_rows(history: DataFrame, satellite: Satellite) -> DataFrame:
+    return _capture_rows(history, satellite).select(
+        _hash_key(satellite).alias(satellite.hash_key),
+        satellite.label,
+        "record_source",
+        *satellite.attribute_names,
+        *CAPTURE,
+    )
+
+
 def _last_versions(existing: DataFrame, fresh: DataFrame, satellite: Satellite) -> DataFrame:
     """The last stored version of the keys that occur in the newer captures."""
     # The last stored version is also the last seen one: what was not stored equalled it.

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime
 from functools import partial
 
@@ -15,7 +15,11 @@ from pyspark.sql import functions as F
 from ledgerloom.operators.captures import Moment
 from ledgerloom.operators.keyed import build_hub, link_increment
 from ledgerloom.operators.point_in_time import build_pit_pruned, pit_increment
-from ledgerloom.operators.satellite import build_satellite, satellite_increment
+from ledgerloom.operators.satellite import (
+    build_satellite,
+    satellite_increment,
+    satellite_repair,
+)
 from ledgerloom.operators.specs import Hub, Link, Satellite, Status
 from ledgerloom.operators.status import next_state, status_increment, status_state
 from ledgerloom.plans import gold
@@ -115,7 +119,8 @@ def write_vault(
 
     Only logged captures are read. A model over captures enters in the run log up to which capture it
     is complete; with ``newer_only`` it reads those after that one, whether or not they changed
-    anything. If a capture was logged since with an earlier time, the whole history is compared. No
+    anything. If a capture was logged since with an earlier time, satellites are repaired from there on,
+    for its keys, and the other models compare the whole history. No
     model reads another one, so up to ``parallel`` of them are written at a time, and one with a long
     last task does not leave the cluster idle.
     """
@@ -125,13 +130,12 @@ def write_vault(
 
     def captured(model: str, table: str, write: Callable[[DataFrame, _Seen], int]) -> int:
         """Write from the captures a model has yet to see, and note that it has seen them."""
-        seen = _seen(warehouse, VAULT, model, table, newer_only)
+        seen = _seen(warehouse, VAULT, model, table, newer_only, repairs=model in SATELLITES)
         newer = seen.captures
         if seen.last:
             newer = newer.filter(seen.last.before(F.col("load_dts"), F.col("snapshot_id")))
         written = write(warehouse.history(table, newer), seen)
-        if seen.newest is not None:
-            done.append((model, seen.newest, seen.number))
+        done.extend(seen.entries(model))
         return written
 
     def hub(model: Hub) -> int:
@@ -149,8 +153,9 @@ def write_vault(
 
     def satellite(model: Satellite) -> int:
         def write(rows: DataFrame, seen: _Seen) -> int:
+            repaired = repair_satellite(warehouse, model, seen.captures, seen.late, seen.last) if seen.late else 0
             fresh = satellite_increment(rows, stored(model.name), model, seen.last)
-            return warehouse.append(VAULT, model.name, fresh)
+            return repaired + warehouse.append(VAULT, model.name, fresh)
 
         return captured(model.name, model.table, write)
 
@@ -191,6 +196,29 @@ def write_vault(
         warehouse.log_progress(VAULT, done)
 
 
+def repair_satellite(
+    warehouse: Warehouse, model: Satellite, captures: DataFrame, late: Sequence[Moment], last: Moment
+) -> int:
+    """Take captures that arrived late into a stored satellite; returns the rows added.
+
+    Captures before them are not read. Where no row has to be taken back, rows are appended; else the
+    satellite is replaced by its rows without those.
+    """
+    first = min(late, key=lambda one: (one.load_dts, one.snapshot_id))
+    from_there = captures.filter(F.col("load_dts") >= first.at_literal)
+    from_there = from_there.filter(~last.before(F.col("load_dts"), F.col("snapshot_id")))
+    arrived = captures.filter(F.col("snapshot_id").isin([one.snapshot_id for one in late]))
+    existing = warehouse.read(VAULT, model.name)
+    add, gone = satellite_repair(warehouse.history(model.table, from_there), existing, model, arrived, first)
+    if gone.isEmpty():
+        return warehouse.append(VAULT, model.name, add)
+    # Before the rows themselves change.
+    added = add.count()
+    same = [model.hash_key, "load_dts", "snapshot_id", "hashdiff"]
+    warehouse.replace(VAULT, model.name, existing.join(gone.select(*same), same, "left_anti").unionByName(add))
+    return added
+
+
 def compact(warehouse: Warehouse, parallel: int = 1) -> dict[str, bool]:
     """Rewrite the tables that grow by small appends once they have gathered many files."""
     steps = {
@@ -248,8 +276,7 @@ def write_business_vault(
         else:
             table = build_pit_pruned(hub, satellite, seen.captures, pit)
             written = warehouse.replace(BUSINESS_VAULT, name, table)
-        if seen.newest is not None:
-            done.append((name, seen.newest, seen.number))
+        done.extend(seen.entries(name))
         return written
 
     try:
@@ -260,25 +287,47 @@ def write_business_vault(
 
 @dataclass(frozen=True)
 class _Seen:
-    """The captures of a table, how many, the newest, and the last one a model has seen, if it can go on
-    from there."""
+    """The captures of a table, how many, the newest, those a model has yet to enter, the last one it has
+    seen, if it can go on from there, and those before that one which arrived after it."""
 
     captures: DataFrame
     number: int
     newest: Moment | None
+    unseen: tuple[Moment, ...]
     last: Moment | None
+    late: tuple[Moment, ...] = ()
+
+    def entries(self, model: str) -> list[tuple[str, Moment, int]]:
+        """What the run log is to say once the model has taken all of them in."""
+        if self.newest is None:
+            return []
+        # The newest again, even if it was seen, as the number may have changed.
+        return [(model, one, self.number) for one in dict.fromkeys([*self.unseen, self.newest])]
 
 
-def _seen(warehouse: Warehouse, namespace: str, model: str, table: str, newer_only: bool) -> _Seen:
+def _seen(
+    warehouse: Warehouse, namespace: str, model: str, table: str, newer_only: bool, repairs: bool = False
+) -> _Seen:
     captures = warehouse.captures(table)
     order = F.struct("load_dts", "snapshot_id")
     number, newest = captures.agg(F.count(F.lit(1)), F.max(order)).first()
-    progress = warehouse.progress(namespace, model) if newer_only else None
-    last = None
-    if progress is not None:
-        later = progress[0].before(F.col("load_dts"), F.col("snapshot_id"))
-        last = progress[0] if captures.filter(~later).count() == progress[1] else None
-    return _Seen(captures, number, newest and Moment(newest["load_dts"], newest["snapshot_id"]), last)
+    newest = newest and Moment(newest["load_dts"], newest["snapshot_id"])
+    progress, known = warehouse.progress(namespace, model), warehouse.seen(namespace, model)
+    fresh = captures if known is None else captures.join(known, "snapshot_id", "left_anti")
+    unseen = tuple(Moment(row["load_dts"], row["snapshot_id"]) for row in fresh.orderBy(order).collect())
+    seen = _Seen(captures, number, newest, unseen, None)
+    if progress is None or not newer_only:
+        return seen
+    last, before = progress
+    later = last.before(F.col("load_dts"), F.col("snapshot_id"))
+    known_captures = captures.filter(~later)
+    if known_captures.count() == before:
+        return replace(seen, last=last)
+    # Some arrived late, or were removed; what was seen is known by name, or, from older runs, not.
+    late = tuple(one for one in unseen if (one.load_dts, one.snapshot_id) < (last.load_dts, last.snapshot_id))
+    if repairs and late and known.count() == before == known_captures.join(known, "snapshot_id").count():
+        return replace(seen, last=last, late=late)
+    return seen
 
 
 def _shares_time(seen: _Seen) -> bool:

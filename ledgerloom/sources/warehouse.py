@@ -214,8 +214,16 @@ class Warehouse:
         last = entries.agg(F.max(F.struct("load_dts", "snapshot_id", "captures"))).first()[0]
         return None if last is None else (Moment(last["load_dts"], last["snapshot_id"]), last["captures"])
 
+    def seen(self, namespace: str, model: str) -> DataFrame | None:
+        """The captures a model has entered in the run log: snapshot_id."""
+        log = self.read_if_exists(namespace, RUN_LOG)
+        if log is None:
+            return None
+        return log.filter(F.col("model_name") == model).select("snapshot_id").distinct()
+
     def log_progress(self, namespace: str, entries: Sequence[tuple[str, Moment, int]]) -> None:
-        """Enter models that are complete up to a capture, after their rows are stored."""
+        """Enter captures that models have taken in, after their rows are stored; up to the last of
+        them a model is complete, and that was the n-th of its table."""
         if entries:
             rows = [(model, last.snapshot_id, last.load_dts, number) for model, last, number in entries]
             frame = self.spark.createDataFrame(rows, RUN_LOG_COLUMNS).coalesce(1)

@@ -302,6 +302,25 @@ def test_a_late_capture_is_compared_with_all(empty, monkeypatch):
     assert [r["status"] for r in found] == ["a", "c", "b"]
 
 
+@pytest.mark.parametrize("order", [(1, 3, 2, 4), (2, 4, 1, 3), (3, 1, 4, 2)])
+def test_late_captures_give_what_a_rebuild_gives(empty, monkeypatch, order):
+    """Versions are taken back where a late capture makes them repeats, and only then is a table replaced."""
+    only_accounts(monkeypatch)
+    monkeypatch.setattr("ledgerloom.plans.run.build_satellite", lambda *_: 1 / 0)
+    warehouse = Warehouse(empty)
+    for number in order:
+        # A2 changes with every capture; A1 is the same in the later two, A3 comes and goes.
+        rows = [account("A1", "x", 0, status=str(number // 2)), account("A2", "x", 0, status=str(number))]
+        rows += [account("A3", "x", 0)] * (number % 2)
+        at = datetime(2026, 1, number)
+        load(warehouse, bank_of_accounts(empty, rows), f"c{number}", at)
+        write_vault(warehouse)
+        history = warehouse.read("bronze_history", "accounts")
+        expected = bag(build_satellite(history, SATELLITES["sat_account_details"]))
+        assert bag(stored(warehouse, "sat_account_details")) == expected
+    assert write_vault(warehouse)["sat_account_details"] == 0
+
+
 def test_an_interrupted_write_is_not_doubled(empty, monkeypatch):
     """Rows were stored, but the run ended before the run log was written."""
     only_accounts(monkeypatch)
