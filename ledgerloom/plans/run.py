@@ -204,7 +204,7 @@ def repair_satellite(
     Captures before them are not read. Where no row has to be taken back, rows are appended; else the
     satellite is replaced by its rows without those.
     """
-    first = min(late, key=lambda one: (one.load_dts, one.snapshot_id))
+    first = min(late, key=_order)
     from_there = captures.filter(F.col("load_dts") >= first.at_literal)
     from_there = from_there.filter(~last.before(F.col("load_dts"), F.col("snapshot_id")))
     arrived = captures.filter(F.col("snapshot_id").isin([one.snapshot_id for one in late]))
@@ -309,27 +309,33 @@ def _seen(
     warehouse: Warehouse, namespace: str, model: str, table: str, newer_only: bool, repairs: bool = False
 ) -> _Seen:
     captures = warehouse.captures(table)
-    order = F.struct("load_dts", "snapshot_id")
-    number, newest = captures.agg(F.count(F.lit(1)), F.max(order)).first()
-    newest = newest and Moment(newest["load_dts"], newest["snapshot_id"])
-    progress, known = warehouse.progress(namespace, model), warehouse.seen(namespace, model)
-    fresh = captures if known is None else captures.join(known, "snapshot_id", "left_anti")
-    unseen = tuple(Moment(row["load_dts"], row["snapshot_id"]) for row in fresh.orderBy(order).collect())
-    seen = _Seen(captures, number, newest, unseen, None)
-    if progress is None or not newer_only:
+    # Lists of runs, compared here rather than by a job each.
+    listed = sorted(_moments(captures), key=_order)
+    entered = set() if (known := warehouse.seen(namespace, model)) is None else {row[0] for row in known.collect()}
+    unseen = tuple(one for one in listed if one.snapshot_id not in entered)
+    seen = _Seen(captures, len(listed), listed[-1] if listed else None, unseen, None)
+    progress = warehouse.progress(namespace, model) if newer_only else None
+    if progress is None:
         return seen
     last, before = progress
-    later = last.before(F.col("load_dts"), F.col("snapshot_id"))
-    known_captures = captures.filter(~later)
-    if known_captures.count() == before:
+    up_to_last = [one for one in listed if _order(one) <= _order(last)]
+    if len(up_to_last) == before:
         return replace(seen, last=last)
     # Some arrived late, or were removed; what was seen is known by name, or, from older runs, not.
-    late = tuple(one for one in unseen if (one.load_dts, one.snapshot_id) < (last.load_dts, last.snapshot_id))
-    if repairs and late and known.count() == before == known_captures.join(known, "snapshot_id").count():
+    late = tuple(one for one in up_to_last if one.snapshot_id not in entered)
+    if repairs and late and len(entered) == before == len(up_to_last) - len(late):
         return replace(seen, last=last, late=late)
     return seen
 
 
+def _moments(captures: DataFrame) -> list[Moment]:
+    return [Moment(row["load_dts"], row["snapshot_id"]) for row in captures.collect()]
+
+
+def _order(moment: Moment) -> tuple[datetime, str]:
+    return moment.load_dts, moment.snapshot_id
+
+
 def _shares_time(seen: _Seen) -> bool:
     """Whether a capture after the last one seen has its time."""
     later = seen.last.before(F.col("load_dts"), F.col("snapshot_id"))

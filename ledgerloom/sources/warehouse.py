@@ -255,9 +255,10 @@ class Warehouse:
 
     def _stored(self, name: str) -> str:
         """The file table a name stands for: its present generation, or itself."""
-        described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {name}")
-        text = described.filter("col_name = 'View Text'").first()
-        return name if text is None else text["data_type"].removeprefix(_VIEW)
+        for row in self.spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect():
+            if row["col_name"] == "View Text":
+                return row["data_type"].removeprefix(_VIEW)
+        return name
 
     def _turn(self, name: str, fresh: str) -> None:
         """Let a name stand for a complete generation, in one step of the catalog; older ones than the
@@ -269,7 +270,9 @@ class Warehouse:
                 # A plain table, from before there were generations.
                 before = _generation(name)
                 self.spark.sql(f"ALTER TABLE {name} RENAME TO {before}")
-        self.spark.sql(f"CREATE OR REPLACE VIEW {name} AS {_VIEW}{fresh}")
+        # CREATE OR REPLACE would drop the view first.
+        turn = "ALTER" if self.spark.catalog.tableExists(name) else "CREATE"
+        self.spark.sql(f"{turn} VIEW {name} AS {_VIEW}{fresh}")
         space, _, table = name.rpartition(".")
         for row in self.spark.sql(f"SHOW TABLES IN {space} LIKE '{table}{_MARK}*'").collect():
             found = f"{space}.{row['tableName']}"
