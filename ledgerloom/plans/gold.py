@@ -6,11 +6,24 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.operators.keyed import with_values
+from ledgerloom.operators.totals import COUNT, DayTotals
+from ledgerloom.operators.totals import TOTAL as DAY_TOTAL
 
 AMOUNT = "decimal(18,2)"
 TOTAL = "decimal(28,2)"
 TOP_CUSTOMERS = 20
 TOP_CURRENCY = "EUR"
+# What the two reports over transactions keep from run to run.
+ACCOUNT_DAYS = DayTotals(
+    "account_day_totals",
+    ("account_id", "currency", "gl_account_code"),
+    "booking_date",
+    "amount",
+    needed=("transaction_id",),
+)
+CUSTOMER_DAYS = DayTotals(
+    "customer_day_totals", ("customer_id", "currency"), "booking_date", "amount", needed=("customer_id",)
+)
 
 
 def _full_name() -> Column:
@@ -26,9 +39,27 @@ def account_transaction_summary(
     account with very many of them enters a join as one row per ledger code; the second sum restores
     the result where a key occurs more than once in a lookup table.
     """
-    totals = transactions.groupBy("account_id", "currency", "gl_account_code").agg(
+    return _account_report(accounts, customers, _account_totals(transactions), gl_accounts)
+
+
+def account_summary_of_days(
+    accounts: DataFrame, customers: DataFrame, kept: DataFrame, transactions: DataFrame, gl_accounts: DataFrame
+) -> DataFrame:
+    """The same from kept totals per day; only transactions without a day are read themselves."""
+    undated = _account_totals(transactions.filter(F.col(ACCOUNT_DAYS.day).isNull()))
+    dated = kept.groupBy(*ACCOUNT_DAYS.keys).agg(F.sum(COUNT).alias("_count"), F.sum(DAY_TOTAL).alias("_total"))
+    return _account_report(accounts, customers, dated.unionByName(undated), gl_accounts)
+
+
+def _account_totals(transactions: DataFrame) -> DataFrame:
+    return transactions.groupBy(*ACCOUNT_DAYS.keys).agg(
         F.count("transaction_id").alias("_count"), F.sum("amount").alias("_total")
     )
+
+
+def _account_report(
+    accounts: DataFrame, customers: DataFrame, totals: DataFrame, gl_accounts: DataFrame
+) -> DataFrame:
     return (
         accounts.select("account_id", "customer_id", "currency")
         .join(customers.select("customer_id", "first_name", "last_name"), "customer_id", "left")
@@ -72,6 +103,16 @@ def customer_daily_transactions(transactions: DataFrame, customers: DataFrame) -
             F.sum("amount").cast(TOTAL).alias("total_amount"),
         )
     )
+    return _daily_report(daily, customers)
+
+
+def customer_daily_of_days(kept: DataFrame, customers: DataFrame) -> DataFrame:
+    """The same from kept totals per day."""
+    daily = kept.withColumnsRenamed({COUNT: "transaction_count", DAY_TOTAL: "total_amount"})
+    return _daily_report(daily, customers)
+
+
+def _daily_report(daily: DataFrame, customers: DataFrame) -> DataFrame:
     names = customers.select("customer_id", "first_name", "last_name")
     return daily.join(names, "customer_id", "left").select(
         "customer_id",

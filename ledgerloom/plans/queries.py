@@ -22,6 +22,7 @@ from ledgerloom.operators.point_in_time import (
 from ledgerloom.operators.satellite import build_satellite, satellite_increment
 from ledgerloom.operators.specs import Hub, Link, PointInTime, Satellite
 from ledgerloom.operators.status import build_status, next_state, status_increment, status_state
+from ledgerloom.operators.totals import DayTotals, next_totals, touched_days
 from ledgerloom.plans import gold
 from ledgerloom.plans.models import (
     CUSTOMER_ACCOUNT_STATUS,
@@ -60,6 +61,8 @@ def all_queries() -> dict[str, Query]:
     found["gold_account_transaction_summary"] = _gold_summary
     found["gold_customer_daily_transactions"] = _gold_daily
     found["gold_top_customer"] = lambda bank: gold.top_customers(_gold_daily(bank))
+    found["gold_account_transaction_summary_by_change"] = _gold_summary_by_change
+    found["gold_customer_daily_transactions_by_change"] = _gold_daily_by_change
     for name, hub in HUBS.items():
         found[name] = lambda bank, h=hub: build_hub(bank.current(h.table), h)
         found[f"{name}_incremental"] = lambda bank, h=hub: _hub_in_two_steps(bank, h)
@@ -152,6 +155,37 @@ def _gold_daily(bank: SampleBank) -> DataFrame:
     )
 
 
+def _kept_totals(bank: SampleBank, totals: DayTotals) -> DataFrame:
+    """Totals kept from a copy before corrections, brought up to the present one.
+
+    Before, amounts of each January were others, half of each February's transactions had yet to come,
+    and each March had some that are gone.
+    """
+    now = _silver(bank, "silver_transactions")
+    month, number = F.month(totals.day), F.substring("transaction_id", 2, 20).cast("long")
+    before = now.filter(~((month == 2) & (number % 2 == 0)) | F.col(totals.day).isNull()).withColumn(
+        totals.amount, F.when(month == 1, F.col(totals.amount) + 1).otherwise(F.col(totals.amount)).cast(gold.AMOUNT)
+    )
+    gone = now.filter(F.month(totals.day) == 3).filter(number % 3 == 0)
+    before = before.unionByName(gone.withColumn("transaction_id", F.concat("transaction_id", F.lit("-gone"))))
+    kept = next_totals(before, None, totals, touched_days(before, None, totals))
+    return next_totals(now, kept, totals, touched_days(now, kept, totals))
+
+
+def _gold_summary_by_change(bank: SampleBank) -> DataFrame:
+    return gold.account_summary_of_days(
+        _silver(bank, "silver_accounts"),
+        _silver(bank, "silver_customers"),
+        _kept_totals(bank, gold.ACCOUNT_DAYS),
+        _silver(bank, "silver_transactions"),
+        _silver(bank, "silver_gl_accounts"),
+    )
+
+
+def _gold_daily_by_change(bank: SampleBank) -> DataFrame:
+    return gold.customer_daily_of_days(_kept_totals(bank, gold.CUSTOMER_DAYS), _silver(bank, "silver_customers"))
+
+
 def _hub_in_two_steps(bank: SampleBank, hub: Hub) -> DataFrame:
     stored = build_hub(bank.earlier_current(hub.table), hub)
     built = build_hub(bank.current(hub.table), hub)

@@ -22,6 +22,7 @@ from ledgerloom.operators.satellite import (
 )
 from ledgerloom.operators.specs import Hub, Link, Satellite, Status
 from ledgerloom.operators.status import next_state, status_increment, status_state
+from ledgerloom.operators.totals import DayTotals, next_totals, touched_days
 from ledgerloom.plans import gold
 from ledgerloom.plans.models import (
     CUSTOMER_ACCOUNT_STATUS,
@@ -44,6 +45,8 @@ VAULT = "raw_vault"
 BUSINESS_VAULT = "business_vault"
 # After a status satellite's name: what each relationship is now.
 STATE = "_state"
+# After the name of kept totals: the days that were totalled last.
+TOUCHED = "_touched"
 
 
 def load_current(
@@ -89,21 +92,30 @@ def write_silver(warehouse: Warehouse, parallel: int = 1) -> dict[str, int]:
     return _each(warehouse, {name: lambda n=name: write(n) for name in SILVER}, parallel)
 
 
-def write_gold(warehouse: Warehouse, parallel: int = 1) -> dict[str, int]:
+def write_gold(warehouse: Warehouse, parallel: int = 1, newer_only: bool = True) -> dict[str, int]:
+    """Replace the reports; returns the rows of each.
+
+    Both reports over transactions keep their totals per day, each with a mark of the rows it was made
+    from. Only days whose rows are others now are totalled again; without ``newer_only`` all are.
+    """
+
     def silver(name: str) -> DataFrame:
         return warehouse.read(SILVER_SPACE, name)
 
     customers, transactions = silver("silver_customers"), silver("silver_transactions")
     summary_name, daily_name = "gold_account_transaction_summary", "gold_customer_daily_transactions"
 
+    def kept(totals: DayTotals) -> DataFrame:
+        return refresh_totals(warehouse, transactions, totals, newer_only)
+
     def summary() -> int:
-        rows = gold.account_transaction_summary(
-            silver("silver_accounts"), customers, transactions, silver("silver_gl_accounts")
+        rows = gold.account_summary_of_days(
+            silver("silver_accounts"), customers, kept(gold.ACCOUNT_DAYS), transactions, silver("silver_gl_accounts")
         )
         return warehouse.replace(GOLD_SPACE, summary_name, rows)
 
     def daily() -> int:
-        rows = gold.customer_daily_transactions(transactions, customers)
+        rows = gold.customer_daily_of_days(kept(gold.CUSTOMER_DAYS), customers)
         return warehouse.replace(GOLD_SPACE, daily_name, rows)
 
     written = _each(warehouse, {summary_name: summary, daily_name: daily}, parallel)
@@ -112,6 +124,23 @@ def write_gold(warehouse: Warehouse, parallel: int = 1) -> dict[str, int]:
     return written
 
 
+def refresh_totals(
+    warehouse: Warehouse, rows: DataFrame, totals: DayTotals, newer_only: bool = True
+) -> DataFrame:
+    """Bring kept totals up to the rows of now, and return them.
+
+    The list of days is written first, so that rows are marked once and the list's size is known. Totals
+    and the marks they stand for are replaced in one step: a run that stops before leaves both as they were.
+    """
+    kept = warehouse.read_if_exists(GOLD_SPACE, totals.name) if newer_only else None
+    listed = f"{totals.name}{TOUCHED}"
+    touched = warehouse.replace(GOLD_SPACE, listed, touched_days(rows, kept, totals).coalesce(1))
+    if touched or kept is None:
+        fresh = next_totals(rows, kept, totals, warehouse.read(GOLD_SPACE, listed))
+        warehouse.replace(GOLD_SPACE, totals.name, fresh)
+    return warehouse.read(GOLD_SPACE, totals.name)
+
+
 def write_vault(
     warehouse: Warehouse, newer_only: bool = True, parallel: int = 1
 ) -> dict[str, int]:
@@ -375,7 +404,7 @@ def run_all(
     steps = {
         "current": lambda: load_current(warehouse, source, run_at, parallel),
         "silver": lambda: write_silver(warehouse, parallel),
-        "gold": lambda: write_gold(warehouse, parallel),
+        "gold": lambda: write_gold(warehouse, parallel, newer_only),
         "captures": lambda: load_captures(warehouse, source, capture_id, run_at, parallel),
         "vault": lambda: write_vault(warehouse, newer_only, parallel),
         "business_vault": lambda: write_business_vault(warehouse, newer_only, parallel),

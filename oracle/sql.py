@@ -527,6 +527,8 @@ def all_sql() -> dict[str, str]:
         "gold_account_transaction_summary": gold_summary(),
         "gold_customer_daily_transactions": gold_daily(),
         "gold_top_customer": gold_top(),
+        "gold_account_transaction_summary_by_change": gold_summary(),
+        "gold_customer_daily_transactions_by_change": gold_daily(),
     }
     for table in tables:
         found[f"bronze_{table}"] = current(table)
