@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import or_empty
+from ledgerloom.llm.scans import let, running, sums_before
 
 # Places where these words stand one after another always count.
 BASE = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
@@ -86,7 +87,7 @@ NOTICES = (
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy", "hereby granted"),
     ("isc", "permission to use copy modify and or distribute this software for any purpose", "permission to use"),
     ("bsd", "redistribution and use in source and binary forms(?: with or without modification)?", "redistribution"),
-    ("bsd-3-clause", "neither the name of .{1,80}? may be used to endorse or promote products", "endorse or promote"),
+    ("bsd-3-clause", "may be used to endorse or promote products(?: derived from (?:this software|it))?", "endorse or promote"),
     ("gpl", "this (?:program|library) is free software you can redistribute it and or modify it", "free software"),
     ("apache-2.0", "you may not use this file except in compliance with the license", "in compliance"),
     ("unlicense", "this is free and unencumbered software released into the public domain", "unencumbered"),
@@ -105,6 +106,42 @@ NOTICES = (
     ("cc-by", "creativecommons org licenses by", "creativecommons"),
     ("cc-by-sa", "creativecommons org licenses by sa", "creativecommons"),
     ("cc0", "creativecommons org publicdomain zero", "creativecommons"),
+    ("mit", "to deal in the software without restriction", "deal in the software"),
+    ("mit", "the above copyright notice and this permission notice shall be included in all copies", "permission notice"),
+    ("mit", "the software is provided as is without warranty of any kind express or implied", "without warranty"),
+    ("isc", "the software is provided as is and the author disclaims all warranties", "disclaims all warranties"),
+    ("isc", "provided that the above copyright notice and this permission notice appear in all copies", "permission notice"),
+    ("bsd", "redistributions of source code must retain the above copyright notice", "above copyright notice"),
+    ("bsd", "redistributions in binary form must reproduce the above copyright notice", "above copyright notice"),
+    ("bsd", "this software is provided by the (?:copyright holders?|regents|authors?) and contributors as is", "and contributors"),
+    ("bsd-4-clause", "all advertising materials mentioning features or use of this software", "advertising materials"),
+    ("apache-1.1", "must not be used to endorse or promote products", "endorse or promote"),
+    ("apache-2.0", "software distributed under the license is distributed on an as is basis", "as is basis"),
+    ("apache-2.0", "without warranties or conditions of any kind either express or implied", "conditions of any kind"),
+    ("gpl", "this (?:program|library) is free software", "free software"),
+    ("gpl", "either version [123] of the license or at your option any later version", "any later version"),
+    ("gpl", "without even the implied warranty of merchantability or fitness for a particular purpose", "implied warranty"),
+    ("gpl", "you should have received a copy of the gnu general public license", "should have received"),
+    ("lgpl", "either version 2 1 of the license or at your option any later version", "any later version"),
+    ("lgpl", "you should have received a copy of the gnu (?:lesser|library) general public license", "should have received"),
+    ("agpl", "you should have received a copy of the gnu affero general public license", "should have received"),
+    ("mpl-2.0", "this source code form is subject to the terms of the mozilla public license", "source code form"),
+    ("mpl-1.1", "the contents of this file are subject to the mozilla public license version", "contents of this file"),
+    ("cddl", "the contents of this file are subject to the terms of the common development", "contents of this file"),
+    ("epl", "this program and the accompanying materials are made available under the terms of the eclipse", "accompanying materials"),
+    ("bsl-1.0", "free of charge to any person or organization obtaining a copy", "person or organization"),
+    ("bsl-1.0", "boost org license 1 0", "boost org"),
+    ("zlib", "the origin of this software must not be misrepresented", "misrepresented"),
+    ("zlib", "altered source versions must be plainly marked as such", "plainly marked"),
+    ("unlicense", "anyone is free to copy modify publish use compile sell or distribute this software", "anyone is free"),
+    ("cc0", "has waived all copyright and related or neighboring rights", "waived all"),
+    ("cc-by", "you are free to share copy and redistribute the material in any medium or format", "free to share"),
+    ("ofl", "with reserved font name", "reserved font name"),
+    ("artistic", "state the conditions under which a package may be copied", "conditions under which"),
+    ("postgresql", "permission to use copy modify and distribute this software and its documentation", "permission to use"),
+    ("openssl", "this product includes software developed by the openssl project", "openssl"),
+    ("x11", "in advertising or otherwise to promote the sale use or other dealings in this software", "other dealings"),
+    ("proprietary", "unauthorized copying of this file via any medium is strictly prohibited", "unauthorized copying"),
 )
 
 
@@ -156,8 +193,15 @@ def _words(label: str) -> str:
 
 
 RULES = rules()
-# One of these is in every text that a rule can match.
-GATE = r"licen[sc]e|spdx|gpl|bsd|creative ?commons|cc by|cc0|eupl|cecill|wtfpl|mit no attr|(?:gnu|apache|opensource|mozilla) org|rights reserved|proprietary|public domain|permission|redistribut|free software|in compliance|unencumbered|express or implied"
+# One of these is in every text that a rule can match; a test holds the rules against it.
+GATE = (
+    r"licen[sc]e|spdx|gpl|bsd|creative ?commons|cc by|cc0|eupl|cecill|wtfpl|mit no attr"
+    r"|(?:gnu|apache|opensource|mozilla|boost) org|rights reserved|proprietary|public domain|permission|redistribut"
+    r"|free software|in compliance|unencumbered|express or implied|endorse or promote|copyright|warrant"
+    r"|deal in the software|and contributors|advertising|any later version|source code form|as is basis"
+    r"|conditions|misrepresented|plainly marked|anyone is free|waived all|free to share|font name"
+    r"|openssl|person or organization|contents of this file|accompanying materials|unauthorized copying"
+)
 
 
 def normal(text: Column) -> Column:
@@ -178,14 +222,22 @@ def _located(words: Column, pattern: Column) -> Column:
         F.split(words, whole, -1).alias("gap"), F.regexp_extract_all(words, whole, F.lit(0)).alias("found")
     )
 
-    def add(done: Column, part: Column) -> Column:
-        start = done["at"] + _spaces(part["gap"])
-        end = start + _spaces(part["found"])
-        span = F.struct((start - 1).alias("start"), end.alias("end"))
-        return F.struct(end.alias("at"), F.concat(done["spans"], F.array(span)).alias("spans"))
+    def spans(parts: Column) -> Column:
+        gaps = F.transform(parts, lambda part: _spaces(part["gap"]))
+        words_in = F.transform(parts, lambda part: _spaces(part["found"]))
+        return let(F.arrays_zip(gaps.alias("gap"), words_in.alias("found")), placed)
+
+    def placed(parts: Column) -> Column:
+        before = sums_before(F.transform(parts, lambda part: part["gap"] + part["found"]))
+        return F.transform(
+            F.arrays_zip(before.alias("at"), parts.alias("part")),
+            lambda one: F.struct(
+                (one["at"] + one["part"]["gap"] - 1).alias("start"),
+                (one["at"] + one["part"]["gap"] + one["part"]["found"]).alias("end"),
+            ),
+        )
 
-    zero = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<struct<start: int, end: int>>)").alias("spans"))
-    return F.aggregate(F.filter(parts, lambda part: part["found"].isNotNull()), zero, add, lambda done: done["spans"])
+    return let(F.filter(parts, lambda part: part["found"].isNotNull()), spans)
 
 
 DETECTIONS = "array<struct<start: int, end: int, label: string, rule: string, priority: int, confidence: double>>"
@@ -239,18 +291,25 @@ def detections(words: Column) -> Column:
 
     # From left to right, the longest and highest first; reach[p] is how far a detection of
     # priority p or higher extends that began before.
-    def add(done: Column, span: Column) -> Column:
-        covered = F.element_at(done["reach"], span["priority"] + 1) >= span["end"]
-        reach = F.transform(
-            done["reach"], lambda end, p: F.when(p <= span["priority"], F.greatest(end, span["end"])).otherwise(end)
+    def add(reach: Column, span: Column) -> Column:
+        return F.transform(
+            reach, lambda end, p: F.when(p <= span["priority"], F.greatest(end, span["end"])).otherwise(end)
         )
-        slim = F.struct(*[span[name].alias(name) for name in ("start", "end", "label", "rule", "priority", "confidence")])
-        return F.struct(reach.alias("reach"), F.when(covered, done["kept"]).otherwise(F.concat(done["kept"], F.array(slim))).alias("kept"))
 
-    zero = F.struct(
-        F.array_repeat(F.lit(0), PRIORITIES).alias("reach"), F.expr(f"cast(array() as {DETECTIONS})").alias("kept")
-    )
-    kept = F.aggregate(F.array_sort(found), zero, add, lambda done: done["kept"])
+    def further(reach: Column, more: Column) -> Column:
+        return F.zip_with(reach, more, lambda a, b: F.greatest(a, b))
+
+    def covered(reach: Column, span: Column) -> Column:
+        return F.element_at(reach, span["priority"] + 1) >= span["end"]
+
+    def uncovered(spans: Column) -> Column:
+        zero = F.array_repeat(F.lit(0), PRIORITIES)
+        hidden = running(spans, "boolean", zero, add, further, "array<int>", covered)
+        left = F.filter(F.arrays_zip(spans.alias("span"), hidden.alias("hidden")), lambda one: ~one["hidden"])
+        names = ("start", "end", "label", "rule", "priority", "confidence")
+        return F.transform(left, lambda one: F.struct(*[one["span"][name].alias(name) for name in names]))
+
+    kept = let(F.array_sort(found), uncovered)
     return F.when(words.rlike(GATE), kept).otherwise(F.expr(f"cast(array() as {DETECTIONS})"))
 
 
@@ -258,7 +317,8 @@ def scan(documents: DataFrame) -> DataFrame:
     """``documents`` with ``n_words``, ``base`` (``start``, ``label``) and ``detections``.
 
     Null and empty texts have no words and no places. Every row is looked at by itself, repeated
-    ones too; an empty table stays empty; columns of these names are replaced.
+    ones too; an empty table stays empty; columns of these names are replaced. Texts are read whole, and
+    the time a text takes grows with its length and its places, not with their square.
     """
     found = {
         "n_words": F.when(F.char_length("words") <= 2, 0).otherwise(_spaces(F.col("words")) - 1),
