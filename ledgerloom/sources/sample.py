@@ -7,6 +7,7 @@ values, new owners. They select what changes, not what is read: all rows of the
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime, timedelta
 from functools import reduce
 
@@ -40,6 +41,10 @@ GONE = "_gone"
 # Captures that still have such keys.
 GONE_AFTER = 2
 KEYS = {"customers": "customer_id", "accounts": "account_id"}
+# Tables whose rows a history multiplies, and the key by which they are dealt out before.
+DEALT = {"customer": "c_custkey", "orders": "o_orderkey"}
+
+Read = Callable[[str], DataFrame]
 
 
 class SampleBank:
@@ -95,9 +100,20 @@ class SampleBank:
     def _read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.directory}/{name}.parquet")
 
-    def _base(self, name: str) -> DataFrame:
+    def _dealt(self, name: str) -> DataFrame:
+        """The rows of one file, dealt out to as many tasks as an exchange has.
+
+        A history makes several rows of each, up to some ten times as many. A task that scans a file, or a
+        split of one, would hold them all at once.
+        """
+        rows = self._read(name)
+        if name not in DEALT:
+            return rows
+        return rows.repartition(int(self.spark.conf.get("spark.sql.shuffle.partitions")), DEALT[name])
+
+    def _base(self, name: str, read: Read | None = None) -> DataFrame:
         columns = [field.name for field in SOURCE_TABLES[name].schema.fields]
-        return getattr(self, f"_{name}")().select(ROW, *columns)
+        return getattr(self, f"_{name}")(read or self._read).select(ROW, *columns)
 
     def _current(
         self, name: str, base: DataFrame, first: datetime, second: datetime
@@ -108,7 +124,7 @@ class SampleBank:
 
     def _states(self, name: str, numbers: list[int]) -> DataFrame:
         n, k = F.col(ROW), F.col(NUMBER)
-        base = self._base(name).withColumn(GONE, F.lit(False))
+        base = self._base(name, self._dealt).withColumn(GONE, F.lit(False))
         if name in KEYS:
             # Captures have keys which the current copy no longer has.
             gone = base.filter(n % 37 == 0).withColumns(
@@ -124,11 +140,11 @@ class SampleBank:
             states = states.filter(~((n % 11 == 0) & (k == 3)) & ~((n % 13 == 0) & (k == 4)))
         return states.withColumns(_changes(name, n, k))
 
-    def _customers(self) -> DataFrame:
+    def _customers(self, read: Read) -> DataFrame:
         n = F.col("c_custkey")
         plain = F.concat(F.lit("C"), n.cast("string"))
         padded = F.concat(F.lit("  "), plain, F.lit(" "))
-        return self._read("customer").select(
+        return read("customer").select(
             n.alias(ROW),
             F.when(n % 10 == 0, padded).otherwise(plain).alias("customer_id"),
             F.when(n % 23 != 0, F.col("c_mktsegment")).alias("first_name"),
@@ -136,7 +152,7 @@ class SampleBank:
             wall_clock(datetime(2023, 1, 1, 8, 30)).alias("created_at"),
         )
 
-    def _accounts(self) -> DataFrame:
+    def _accounts(self, read: Read) -> DataFrame:
         """One account per customer, a second one for some; some are there twice, padded."""
         n = F.col("c_custkey")
         text = n.cast("string")
@@ -148,7 +164,7 @@ class SampleBank:
                 F.when(n % 12 == 0, F.concat(F.lit(" "), plain, F.lit("  "))),
             )
         )
-        return self._read("customer").withColumn("account_id", F.explode(ids)).select(
+        return read("customer").withColumn("account_id", F.explode(ids)).select(
             n.alias(ROW),
             "account_id",
             F.concat(F.lit("C"), text).alias("customer_id"),
@@ -158,7 +174,7 @@ class SampleBank:
             F.date_add(F.lit("2023-01-01").cast("date"), (n % 1000).cast("int")).alias("opened_at"),
         )
 
-    def _gl_accounts(self) -> DataFrame:
+    def _gl_accounts(self, read: Read) -> DataFrame:
         n, region = F.col("n_nationkey"), F.col("n_regionkey")
         category = (
             F.when(region == 0, "ASSET")
@@ -166,7 +182,7 @@ class SampleBank:
             .when(region == 2, "INCOME")
             .otherwise("EXPENSE")
         )
-        return self._read("nation").select(
+        return read("nation").select(
             n.alias(ROW),
             (n + 1000).cast("string").alias("gl_account_code"),
             F.col("n_name").alias("account_name"),
@@ -174,14 +190,14 @@ class SampleBank:
             (n % 6 != 0).alias("is_active"),
         )
 
-    def _transactions(self) -> DataFrame:
+    def _transactions(self, read: Read) -> DataFrame:
         n, owner = F.col("o_orderkey"), F.col("o_custkey")
         destination = (
             F.when(n % 4 == 0, F.concat(F.lit("A"), ((owner + 1) % 150).cast("string")))
             .when(n % 4 == 1, "")
             .when(n % 4 == 3, "   ")
         )
-        return self._read("orders").select(
+        return read("orders").select(
             n.alias(ROW),
             F.concat(F.lit("T"), n.cast("string")).alias("transaction_id"),
             F.when(owner % 97 != 0, F.concat(F.lit("C"), owner.cast("string"))).alias(
@@ -198,10 +214,10 @@ class SampleBank:
             F.col("o_orderdate").cast("timestamp_ntz").alias("created_at"),
         )
 
-    def _journal_entries(self) -> DataFrame:
+    def _journal_entries(self, read: Read) -> DataFrame:
         n = F.col("o_orderkey")
         text = n.cast("string")
-        return self._read("orders").select(
+        return read("orders").select(
             n.alias(ROW),
             F.concat(F.lit("J"), text).alias("journal_entry_id"),
             F.when(n % 31 != 0, F.concat(F.lit("T"), text)).alias("transaction_id"),
@@ -209,7 +225,7 @@ class SampleBank:
             F.when(F.col("o_orderstatus") == "F", "POSTED").otherwise("DRAFT").alias("status"),
         )
 
-    def _journal_postings(self) -> DataFrame:
+    def _journal_postings(self, read: Read) -> DataFrame:
         """Two postings per order, some of them delivered more than once: as often as the order has
         lines."""
         n, side = F.col("o_orderkey"), F.col("side")
@@ -217,7 +233,7 @@ class SampleBank:
         amount = F.col("o_totalprice").cast("decimal(18,2)")
         code = (n + F.when(side == "D", 0).otherwise(1)) % 25 + 1000
         return (
-            self._delivered()
+            self._delivered(read)
             .withColumn("side", F.explode(F.array(F.lit("D"), F.lit("C"))))
             .select(
                 n.alias(ROW),
@@ -232,9 +248,9 @@ class SampleBank:
             )
         )
 
-    def _delivered(self) -> DataFrame:
+    def _delivered(self, read: Read) -> DataFrame:
         """Orders, every seventh once per line item, but at least once."""
-        orders, lines = self._read("orders"), self._read("lineitem").select("l_orderkey")
+        orders, lines = read("orders"), self._read("lineitem").select("l_orderkey")
         same = F.col("o_orderkey") == F.col("l_orderkey")
         again = orders.join(lines, same, "left").drop("l_orderkey")
         seventh = F.col("o_orderkey") % 7 == 0
