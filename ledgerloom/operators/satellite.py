@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -16,6 +14,8 @@ from ledgerloom.operators.specs import Satellite
 from ledgerloom.sources.tables import SNAPSHOT_AT, SNAPSHOT_ID, SOURCE_COLUMN
 
 CAPTURE = ["load_dts", "snapshot_id"]
+# The hash key in bytes, half as long as its text and no more compressible: exchanges carry this one.
+KEY = "_key"
 
 
 def build_satellite(history: DataFrame, satellite: Satellite) -> DataFrame:
@@ -45,25 +45,28 @@ def satellite_increment(
     are compared with the last stored version per key. The result is the same as long as captures
     arrive in order, and its cost does not grow with the history.
     """
-    if existing is None or last is None:
-        built = build_satellite(history, satellite)
-        return new_rows(built, existing, [satellite.hash_key, "snapshot_id"], unique=False)
+    if existing is None:
+        return build_satellite(history, satellite)
+    rows = _capture_rows(history, satellite)
+    by = ["record_source", *satellite.parent.columns]
+    if last is None:
+        changed = changed_versions(rows, by, satellite.attribute_names)
+        return _unstored(_keyed(changed, satellite), existing, satellite)
 
-    # Stored keys are known by their hash key only, so here the comparison is per hash key.
-    by, carried = [satellite.hash_key], [satellite.label, "record_source"]
-    fresh = _hashed_rows(history, satellite)
     later = last.before(F.col("load_dts"), F.col("snapshot_id"))
-    changed = changed_versions(
-        fresh.unionByName(_last_versions(existing.filter(~later), fresh, satellite)),
-        by,
-        satellite.attribute_names,
-        carried,
-    )
-    built = changed.filter(later).select(*_columns(satellite, F.col(satellite.hash_key)))
+    # Within the newer captures the raw keys are compared, as in a whole history. Only what is left meets
+    # the stored versions, which are known by hash key: of each key, its first row.
+    lows, others = _compared(rows.filter(later), by, satellite.attribute_names)
+    begins = F.col("_before").isNull().alias("_begins")
+    lows = _keyed(lows, satellite, F.struct(*satellite.attribute_names).alias("_version"), begins)
+    keys = lows.filter("_begins").select(KEY)
+    seen = _last_versions(existing.filter(~later).select(_stored_key(satellite), "*"), keys, satellite, KEY)
+    seen = seen.select(KEY, F.struct(*satellite.attribute_names).alias("_seen"))
+    known = F.col("_begins") & F.col("_seen").isNotNull() & F.col("_seen").eqNullSafe(F.col("_version"))
+    lows = lows.join(seen, KEY, "left").filter(~known).drop("_version", "_begins", "_seen")
+    changed = lows.unionByName(_keyed(others, satellite))
     # Rows that a run stored before it was interrupted are there already.
-    return new_rows(
-        built, existing.filter(later), [satellite.hash_key, "snapshot_id"], unique=False
-    )
+    return _unstored(changed, existing.filter(later), satellite)
 
 
 def satellite_repair(
@@ -107,13 +110,26 @@ def changed_versions(
 
     Several rows of one key in one capture follow each other in attribute order. ``carried`` columns
     depend on the key and are only passed along.
+    """
+    lows, others = _compared(rows, by, attributes, carried)
+    return lows.drop("_before").unionByName(others)
+
+
+def _compared(
+    rows: DataFrame, by: Sequence[str], attributes: Sequence[str], carried: Sequence[str] = ()
+) -> tuple[DataFrame, DataFrame]:
+    """Changed rows in two parts: the lowest of a key in a capture, and the others of that capture.
+
+    The former have ``_before``, the highest version of the key in the capture before, null in its first.
 
     Per key and capture only the lowest and the highest version are needed to compare with the
     capture before; each task finds its own before the exchange, so that a key with any number of
     rows is one row per capture and task from there on. The versions between them differ from their
     neighbours anyway. They are looked up in the captures that have a key with several versions, a list
     no longer than that of captures, which Spark sends to the scan: where it is empty, Spark leaves
-    out that part of the plan while it runs, and the rows are read once.
+    out that part of the plan while it runs, and the rows are read once. There, copies are combined and the
+    lowest taken out, both by exchanges on the whole row: a key with any number of versions is spread over
+    all tasks.
     """
     # A join on these would leave out nulls below it, and so find no use for the exchange of another part
     # of the plan; a row without key or capture is none anyway.
@@ -124,24 +140,24 @@ def changed_versions(
     ends = packed.groupBy(*where).agg(
         F.min("_version").alias("_version"), F.max("_version").alias("_highest")
     )
+    # Mostly both are the same, which the second exchange then carries once.
+    several = ~F.col("_version").eqNullSafe(F.col("_highest"))
     order = Window.partitionBy(*by).orderBy(*CAPTURE)
-    first = (
-        ends.withColumn("_before", F.lag("_highest").over(order))
+    before = F.coalesce(F.lag("_highest").over(order), F.lag("_version").over(order))
+    lows = (
+        ends.withColumn("_highest", F.when(several, F.col("_highest")))
+        .withColumn("_before", before)
         .filter(~F.col("_before").eqNullSafe(F.col("_version")))
-        .select(*where, "_version")
-    )
-    crowded = ends.filter(~F.col("_version").eqNullSafe(F.col("_highest"))).select(
-        *[F.col(name).alias(f"_{name}") for name in [*by, *CAPTURE]], F.col("_version").alias("_lowest")
+        .select(*where, "_version.*", "_before")
     )
-    same = reduce(and_, [F.col(name) == F.col(f"_{name}") for name in [*by, *CAPTURE]])
-    crowded_captures = F.broadcast(crowded.select("_snapshot_id").distinct())
-    others = (
-        packed.join(crowded_captures, F.col("snapshot_id") == F.col("_snapshot_id"), "left_semi")
-        .join(crowded, same & (F.col("_version") > F.col("_lowest")), "left_semi")
-        .distinct()
-        .select(*where, "_version")
-    )
-    return first.unionByName(others).select(*by, *CAPTURE, *carried, "_version.*")
+    crowded = F.broadcast(ends.filter(several).select(F.col("snapshot_id").alias("_crowded")).distinct())
+    # This always holds; asking keeps both columns, so that the exchange is used again.
+    lowest = ends.filter(F.col("_version") <= F.col("_highest")).select(*where, "_version")
+    rows_there, lowest_there = [
+        part.join(crowded, F.col("snapshot_id") == F.col("_crowded"), "left_semi") for part in (packed, lowest)
+    ]
+    others = rows_there.distinct().join(lowest_there, [*where, "_version"], "left_anti")
+    return lows, others.select(*where, "_version.*")
 
 
 def _capture_rows(history: DataFrame, satellite: Satellite) -> DataFrame:
@@ -166,21 +182,45 @@ def _hashed_rows(history: DataFrame, satellite: Satellite) -> DataFrame:
     )
 
 
-def _last_versions(existing: DataFrame, fresh: DataFrame, satellite: Satellite) -> DataFrame:
+def _last_versions(existing: DataFrame, fresh: DataFrame, satellite: Satellite, key: str | None = None) -> DataFrame:
     """The last stored version of the keys that occur in the newer captures."""
+    key = key or satellite.hash_key
     # The last stored version is also the last seen one: what was not stored equalled it.
     passed = [satellite.label, *satellite.attribute_names, *CAPTURE, "record_source"]
     latest = F.struct(*CAPTURE, *satellite.attribute_names)
     return (
-        existing.join(fresh.select(satellite.hash_key).distinct(), satellite.hash_key, "left_semi")
-        .groupBy(satellite.hash_key)
+        existing.join(fresh.select(key).distinct(), key, "left_semi")
+        .groupBy(key)
         .agg(F.max_by(F.struct(*passed), latest).alias("_last"))
-        .select(satellite.hash_key, "_last.*")
+        .select(key, "_last.*")
     )
 
 
+def _keyed(changed: DataFrame, satellite: Satellite, *more: Column) -> DataFrame:
+    """Changed rows by hash key in bytes, still without change hash."""
+    columns = [satellite.label, *satellite.attribute_names, *CAPTURE, "record_source"]
+    return changed.select(_bytes(_hash_key(satellite)), *columns, *more)
+
+
+def _stored_key(satellite: Satellite) -> Column:
+    return _bytes(F.col(satellite.hash_key))
+
+
+def _bytes(hash_key: Column) -> Column:
+    # Never null, so that no join adds a filter on it, which would keep Spark from using an exchange again.
+    return F.coalesce(F.unhex(hash_key), F.lit(b"")).alias(KEY)
+
+
+def _unstored(changed: DataFrame, existing: DataFrame, satellite: Satellite) -> DataFrame:
+    """Of changed rows by key in bytes, those of which no row of that key and capture is stored."""
+    stored = existing.select(_stored_key(satellite), "snapshot_id")
+    fresh = new_rows(changed, stored, [KEY, "snapshot_id"], unique=False)
+    return fresh.select(*_columns(satellite, F.lower(F.hex(KEY))))
+
+
 def _hash_key(satellite: Satellite) -> Column:
-    return satellite.parent.hash(F.col("record_source"))
+    # Rows have all parts of it by now. Knowing that, Spark adds no filter for a join above.
+    return F.coalesce(satellite.parent.hash(F.col("record_source")), F.lit(""))
 
 
 def _columns(satellite: Satellite, hash_key: Column) -> list:

@@ -193,3 +193,43 @@ def test_repair_equals_a_rebuild(spark, seed):
     # The same again, as after an interrupted run.
     add, gone = satellite_repair(from_there, after, ACCOUNT_DETAILS, late, first)
     assert add.isEmpty() and gone.isEmpty()
+
+
+def shuffled_by(plan: str) -> list[str]:
+    return [line.split("hashpartitioning(")[1] for line in plan.split("\n") if "hashpartitioning(" in line]
+
+
+def test_versions_of_a_crowded_key_are_spread(spark):
+    """The versions between lowest and highest meet no join that deals them by key and capture alone."""
+    rows = [account("HOT", "s0", 0, iban=f"I{i % 400}") for i in range(1200)]
+    rows += [account(f"A{i}", "s0", 0) for i in range(20)]
+    built = build_satellite(account_history(spark, rows), ACCOUNT_DETAILS)
+    plan = built._jdf.queryExecution().executedPlan().toString()
+    joins = [line for line in plan.split("\n") if "Join" in line and "LeftSemi" in line]
+    assert joins and all("snapshot_id" in line and "account_id" not in line for line in joins)
+    assert all("_version" in line for line in plan.split("\n") if "Join" in line and "LeftAnti" in line)
+    assert built.filter("account_id = 'HOT'").count() == 400
+    assert built.count() == 420
+
+
+def test_newer_captures_are_compared_by_raw_key_and_joined_by_bytes(spark):
+    """What is stored is read by one exchange, and no exchange carries a hash as text or a change hash."""
+    history = account_history(spark, random_accounts(5, crowded=True))
+    captures = sorted({(r["_snapshot_at"], r["_snapshot_id"]) for r in history.collect()})
+    early = history.filter(F.col("_snapshot_id").isin([name for _, name in captures[:3]]))
+    stored = kept(build_satellite(early, ACCOUNT_DETAILS))
+    rows, last = after(history, captures, 3)
+    for increment in (
+        satellite_increment(rows, stored, ACCOUNT_DETAILS, last),
+        satellite_increment(history, stored, ACCOUNT_DETAILS),
+    ):
+        plan = increment._jdf.queryExecution().executedPlan().toString()
+        assert not [by for by in shuffled_by(plan) if "account_hk" in by or "hashdiff" in by]
+        added = bag(stored.unionByName(increment))
+        assert added == bag(build_satellite(history, ACCOUNT_DETAILS))
+
+
+def test_an_exchange_of_stored_rows_is_used_again(spark):
+    """The hash key is known to be there, so that a join above adds no filter which makes two exchanges differ."""
+    history = account_history(spark, random_accounts(5))
+    assert not build_satellite(history, ACCOUNT_DETAILS).schema["account_hk"].nullable
