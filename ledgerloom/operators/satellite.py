@@ -128,8 +128,8 @@ def _compared(
     neighbours anyway. They are looked up in the captures that have a key with several versions, a list
     no longer than that of captures, which Spark sends to the scan: where it is empty, Spark leaves
     out that part of the plan while it runs, and the rows are read once. There, copies are combined and the
-    lowest taken out, both by exchanges on the whole row: a key with any number of versions is spread over
-    all tasks.
+    lowest taken out in one grouping by the whole row: a key with any number of versions is spread over all
+    tasks.
     """
     # A join on these would leave out nulls below it, and so find no use for the exchange of another part
     # of the plan; a row without key or capture is none anyway.
@@ -153,10 +153,13 @@ def _compared(
     crowded = F.broadcast(ends.filter(several).select(F.col("snapshot_id").alias("_crowded")).distinct())
     # This always holds; asking keeps both columns, so that the exchange is used again.
     lowest = ends.filter(F.col("_version") <= F.col("_highest")).select(*where, "_version")
-    rows_there, lowest_there = [
-        part.join(crowded, F.col("snapshot_id") == F.col("_crowded"), "left_semi") for part in (packed, lowest)
-    ]
-    others = rows_there.distinct().join(lowest_there, [*where, "_version"], "left_anti")
+    there = packed.withColumn("_is_lowest", F.lit(False)).unionByName(lowest.withColumn("_is_lowest", F.lit(True)))
+    others = (
+        there.join(crowded, F.col("snapshot_id") == F.col("_crowded"), "left_semi")
+        .groupBy(*where, "_version")
+        .agg(F.max("_is_lowest").alias("_is_lowest"))
+        .filter("not _is_lowest")
+    )
     return lows, others.select(*where, "_version.*")
 
 
