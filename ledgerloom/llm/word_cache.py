@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import os
 import re
-import string
 from functools import lru_cache
 from itertools import repeat
 
@@ -21,6 +20,14 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 # Ids remembered; beyond these, or a class's number of words, those met only seldom are forgotten.
 IDS = 5_000_000
 
+# White space beside blanks, tabs and line breaks, as a class of characters.
+_RARE_SPACE = "\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+_SPACE = f" \t\r\n{_RARE_SPACE}"
+# Letters and digits whose lower case is one of them again: one capital elsewhere becomes a letter and
+# a mark when lower-cased, and marks go with punctuation.
+_ALNUM = "0-9A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff"
+_MARKS = r"!-/:-@\[-`{-~"
+
 
 class WordEncoder:
     """Ids of whole texts by a tokenizer file.
@@ -31,15 +38,20 @@ class WordEncoder:
 
     # Some 300 bytes each in every worker.
     most_words = 450_000
+    # Words that may consist of others, and their parts: groups of a pattern, in order.
+    _joined = f"[{_MARKS}]$"
+    _parts = f"^(?P<stem>[^{_SPACE}]*[{_ALNUM}])(?P<marks>[{_MARKS}]+)$"
 
     def __init__(self, path: str) -> None:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.slots: dict[str, int] = {}
-        self.uses = np.empty(0, np.int64)
-        self.ids = np.empty(0, np.uint32)
-        self.lengths = np.empty(0, np.int64)
-        self.starts = np.empty(0, np.int64)
+        # By slot; with room for more, so that a few new words do not copy all others.
+        self.uses = np.zeros(0, np.int64)
+        self.lengths = np.zeros(0, np.int32)
+        self.starts = np.zeros(0, np.int32)
+        self.ids = np.zeros(0, np.uint32)
+        self.n_ids = 0
 
     def cut(self, texts: pa.Array) -> pa.ListArray:
         """The words of texts, where :meth:`usual` says that a plain way of cutting will do."""
@@ -66,7 +78,7 @@ class WordEncoder:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts (strings, null as empty) in a row, and how many each text has."""
-        if len(self.slots) > self.most_words or len(self.ids) > IDS:
+        if len(self.slots) > self.most_words or self.n_ids > IDS:
             self._forget()
         texts = pc.fill_null(texts, "")
         usual = self.usual(texts)
@@ -75,7 +87,9 @@ class WordEncoder:
             return first
         rest = [self.cut_unusual(text) for text in texts.filter(pa.array(~usual)).to_pylist()]
         counts = np.fromiter(map(len, rest), np.int64, len(rest))
-        second = self._encode_slots(self._slots([word for words in rest for word in words]), counts)
+        slots = self._slots([word for words in rest for word in words])
+        np.add.at(self.uses, slots, 1)
+        second = self._encode_slots(slots, counts)
         return in_order(first, second, usual)
 
     def first_words(self, cut: pa.ListArray, slots: np.ndarray) -> None:
@@ -84,7 +98,10 @@ class WordEncoder:
     def _encode_cut(self, cut: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
         # Words that occur often in these texts are looked up once.
         coded = cut.flatten().dictionary_encode()
-        slots = self._slots(coded.dictionary.to_numpy(zero_copy_only=False).tolist())[coded.indices.to_numpy()]
+        distinct = self._slots(strings(coded.dictionary))
+        indices = coded.indices.to_numpy()
+        self.uses[distinct] += np.bincount(indices, minlength=len(distinct))
+        slots = distinct[indices]
         self.first_words(cut, slots)
         return self._encode_slots(slots, pc.list_value_length(cut).to_numpy(zero_copy_only=False))
 
@@ -97,45 +114,55 @@ class WordEncoder:
         return slots
 
     def _encode_slots(self, slots: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        self.uses += np.bincount(slots, minlength=len(self.uses))
         lengths = self.lengths[slots]
         ends = np.concatenate(([0], np.cumsum(lengths)))
         last = np.cumsum(counts)
         return ragged_take(self.ids, self.starts[slots], lengths), ends[last] - ends[last - counts]
 
-    def parts(self, word: str) -> list[str]:
-        """The words that a word with punctuation at its end or a line break consists of."""
-        stem = word.rstrip(string.punctuation)
-        # One capital becomes a letter and a mark when lower-cased, and marks go with punctuation.
-        if stem != word and stem[-1:].lower().isalnum():
-            return [stem, self.tail(word[len(stem) :])]
-        return [word]
-
-    def tail(self, marks: str) -> str:
-        """The word for punctuation right after another word."""
-        return marks
+    def part(self, kind: str, text: str) -> str:
+        """The word for a part of another word."""
+        return text
 
     def _learn(self, words: list[str]) -> None:
-        joined = pc.match_substring_regex(pa.array(words, pa.string()), r"[!-/:-@\[-`{-~]$|\n").to_numpy(zero_copy_only=False)
-        parts = {words[i]: found for i in np.flatnonzero(joined).tolist() if len(found := self.parts(words[i])) > 1}
-        new = dict.fromkeys([word for word in words if word not in parts])
-        new |= dict.fromkeys([part for found in parts.values() for part in found if part not in self.slots])
+        """Words not met before; those that end with punctuation or hold a line break by their parts."""
+        array = pa.array(words, pa.string())
+        at = np.flatnonzero(pc.match_substring_regex(array, self._joined).to_numpy(zero_copy_only=False))
+        found = pc.extract_regex(array.take(pa.array(at)), self._parts)
+        whole = found.is_null().to_numpy(zero_copy_only=False)
+        at, found = at[~whole], found.drop_null()
+        # Each part's place among the distinct ones; a group that took no part in the match is empty.
+        parts: dict[str, int] = {}
+        places = np.full((len(at), found.type.num_fields), -1, np.int64)
+        for column, kind in enumerate(found.type):
+            coded = found.field(column).dictionary_encode()
+            mine = [text and parts.setdefault(self.part(kind.name, text), len(parts)) for text in strings(coded.dictionary)]
+            places[:, column] = np.array([-1 if place == "" else place for place in mine], np.int64)[coded.indices.to_numpy()]
+        alone = np.ones(len(words), bool)
+        alone[at] = False
+        new = dict.fromkeys(words if alone.all() else strings(array.filter(pa.array(alone))))
+        new |= dict.fromkeys([part for part in parts if part not in self.slots])
         if new:
             self._add(list(new), *self.encode_words(list(new)))
-        rest = [word for word in parts if word not in self.slots]
-        if rest:
-            slots = np.array([self.slots[part] for word in rest for part in parts[word]])
-            counts = np.array([len(parts[word]) for word in rest])
+        # A part may be one of the words itself.
+        rest = np.array([words[i] not in self.slots for i in at.tolist()], bool)
+        if rest.any():
+            at, places = at[rest], places[rest]
+            slots = np.fromiter(map(self.slots.__getitem__, parts), np.int64, len(parts))[places[places >= 0]]
+            counts = (places >= 0).sum(1)
             lengths = self.lengths[slots]
             ids = ragged_take(self.ids, self.starts[slots], lengths)
-            self._add(rest, ids, np.add.reduceat(lengths, np.cumsum(counts) - counts))
+            self._add([words[i] for i in at.tolist()], ids, np.add.reduceat(lengths, np.cumsum(counts) - counts))
 
     def _add(self, words: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
-        self.slots.update(zip(words, range(len(self.slots), len(self.slots) + len(words))))
-        self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(lengths) - lengths])
-        self.lengths = np.concatenate([self.lengths, lengths])
-        self.ids = np.concatenate([self.ids, ids])
-        self.uses = np.concatenate([self.uses, np.zeros(len(words), np.int64)])
+        known, total = len(self.slots), len(self.slots) + len(words)
+        self.slots.update(zip(words, range(known, total)))
+        self.uses, self.lengths, self.starts = (with_room(of, total) for of in (self.uses, self.lengths, self.starts))
+        self.ids = with_room(self.ids, self.n_ids + len(ids))
+        self.uses[known:total] = 0
+        self.lengths[known:total] = lengths
+        self.starts[known:total] = self.n_ids + np.cumsum(lengths) - lengths
+        self.ids[self.n_ids : self.n_ids + len(ids)] = ids
+        self.n_ids += len(ids)
 
     def marked(self, words: list[str], mark: str, between: str) -> tuple[np.ndarray, np.ndarray] | None:
         """Words as one text with ``between`` after each, which holds a mark that is a token of its
@@ -151,14 +178,30 @@ class WordEncoder:
     def _forget(self) -> None:
         """Keep what was met most often, a third of the words at most and only short ones."""
         share = self.most_words // 3
-        usual = np.sort(self.uses)[-share] if len(self.uses) > share else 0
-        stays = np.flatnonzero((self.uses > max(1, usual)) & (self.lengths < 32))
+        uses, lengths = self.uses[: len(self.slots)], self.lengths[: len(self.slots)]
+        usual = np.sort(uses)[-share] if len(uses) > share else 0
+        stays = np.flatnonzero((uses > max(1, usual)) & (lengths < 32))
         words = list(self.slots)
         self.slots = {words[i]: slot for slot, i in enumerate(stays.tolist())}
         self.ids = ragged_take(self.ids, self.starts[stays], self.lengths[stays])
         self.lengths = self.lengths[stays]
-        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.starts = (np.cumsum(self.lengths) - self.lengths).astype(np.int32)
         self.uses = np.ones(len(stays), np.int64)
+        self.n_ids = len(self.ids)
+
+
+def strings(array: pa.Array) -> list[str]:
+    """A column without nulls, in half the time of ``to_pylist``."""
+    return array.to_numpy(zero_copy_only=False).tolist()
+
+
+def with_room(values: np.ndarray, size: int) -> np.ndarray:
+    """``values`` with ``size`` places at least, half as many again where they must be copied."""
+    if size <= len(values):
+        return values
+    larger = np.zeros(size + size // 2, values.dtype)
+    larger[: len(values)] = values
+    return larger
 
 
 def in_order(
@@ -170,10 +213,6 @@ def in_order(
     return ragged_take(ids, (np.cumsum(lengths) - lengths)[order], lengths[order]), lengths[order]
 
 
-# White space beside blanks, tabs and line breaks, as a class of characters.
-_RARE_SPACE = "\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-
-
 class ByteWords(WordEncoder):
     """Byte-level tokenizers, whose pre-tokens can hold a space only at their start.
 
@@ -186,8 +225,14 @@ class ByteWords(WordEncoder):
     most_words = 650_000
     _space_after_space = f"[ \t\r\n{_RARE_SPACE}] "
     _word_end = re.compile(r"(?<=\S)(?= )")
-    _alone = re.compile(r" |\s$|^$")
-    _white = re.compile(r"\s")
+    _alone = f" |[{_SPACE}]$|^$"
+    _solid = f"^ [^{_SPACE}]+$"
+    # A line break between other characters is a pre-token.
+    _joined = f"[{_MARKS}]$|\n"
+    _parts = (
+        f"^(?P<stem> ?[^{_SPACE}]*[{_ALNUM}])(?P<marks>[{_MARKS}]*)"
+        f"(?:(?P<line>\n)(?P<next>[^{_SPACE}]*[{_ALNUM}])(?P<others>[{_MARKS}]*))?$"
+    )
 
     def __init__(self, path: str) -> None:
         super().__init__(path)
@@ -212,21 +257,12 @@ class ByteWords(WordEncoder):
     def spelt(self, word: str) -> str:
         return word[1:] if word[:1] == " " else f" {word}"
 
-    def tail(self, marks: str) -> str:
-        return f" {marks}"
-
-    def parts(self, word: str) -> list[str]:
-        first, line_break, rest = word.partition("\n")
-        if not line_break:
-            return super().parts(word)
-        if first.lstrip(" ").strip() != first.removeprefix(" ") or not first or not rest or self._white.search(rest):
-            return [word]
-        # A line break between other characters is a pre-token.
-        return [*super().parts(first), " \n", *super().parts(f" {rest}")]
+    def part(self, kind: str, text: str) -> str:
+        return text if kind == "stem" else f" {text}"
 
     def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        plain = np.array([word.isalnum() or not self._alone.search(word) for word in words], bool)
-        text = "".join([f" {word}" for word, is_plain in zip(words, plain.tolist()) if is_plain])
+        plain = ~pc.match_substring_regex(pa.array(words, pa.string()), self._alone).to_numpy(zero_copy_only=False)
+        text = " ".join(["", *(words if plain.all() else [words[i] for i in np.flatnonzero(plain).tolist()])])
         ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
         # Every token that begins with a space begins a word.
         together = ids, np.diff(np.append(np.flatnonzero(self.after_space[ids]), len(ids)))
@@ -235,7 +271,7 @@ class ByteWords(WordEncoder):
         return in_order(together, self._encode_others([words[i] for i in np.flatnonzero(~plain)]), plain)
 
     def _encode_others(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        solid = np.array([word[:1] == " " and len(word) > 1 and not self._white.search(word, 1) for word in words], bool)
+        solid = pc.match_substring_regex(pa.array(words, pa.string()), self._solid).to_numpy(zero_copy_only=False)
         lines = self.marked([words[i] for i in np.flatnonzero(solid)], "\n", "\n") if solid.any() else None
         if lines is None:
             return super().encode_words(words)

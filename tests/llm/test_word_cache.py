@@ -33,3 +33,12 @@ def test_equals_the_tokenizer(monkeypatch, file, kind, remembered):
             assert ids[start : start + count].tolist() == expected, repr(text)
             start += count
         assert start == len(ids)
+
+
+def test_a_new_word_does_not_copy_the_others():
+    """Words come in every slice; each used to copy all that a worker remembers."""
+    encoder = word_cache.ByteWords(public_tokenizers.path("byte_bpe_50k.json"))
+    encoder.encode(pa.array([" ".join(f"w{i}" for i in range(3_000))], pa.string()))
+    before = encoder.uses, encoder.lengths, encoder.starts, encoder.ids
+    encoder.encode(pa.array(["unheard"], pa.string()))
+    assert all(now is then for now, then in zip((encoder.uses, encoder.lengths, encoder.starts, encoder.ids), before))
