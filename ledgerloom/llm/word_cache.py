@@ -295,10 +295,43 @@ class SpacedWords(WordEncoder):
     def cut_unusual(self, text: str) -> list[str]:
         return [text] if re.search(f"[{_RARE_SPACE}{self._mark}]", text) else text.split()
 
+    # Lower-case letters alone, which are pre-tokens.
+    _letters = "^[a-z\xdf-\xf6\xf8-\xff]+$"
+    _odd = f"[{_RARE_SPACE}{_mark}]"
+
+    def __init__(self, path: str) -> None:
+        super().__init__(path)
+        vocabulary = self.tokenizer.get_vocab()
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None) or ""
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        if suffix:
+            self.ends_word[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+
     def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        odd = np.array([self._mark in word or re.search(f"[{_RARE_SPACE}]", word) is not None for word in words])
+        if not words:
+            return super().encode_words(words)
+        array = pa.array(words, pa.string())
+        letters = pc.match_substring_regex(array, self._letters).to_numpy(zero_copy_only=False)
+        found = self._encode_letters(words if letters.all() else strings(array.filter(pa.array(letters))))
+        if found is None:
+            return self._encode_marked(words)
+        if letters.all():
+            return found
+        return in_order(found, self._encode_marked(strings(array.filter(pa.array(~letters)))), letters)
+
+    def _encode_letters(self, words: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
+        """Words of one pre-token each, as one text; None if the last tokens of words do not tell
+        where each ends."""
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, np.uint32)
+        ends = np.flatnonzero(self.ends_word[ids])
+        if len(ends) != len(words):
+            return None
+        return ids, np.diff(np.concatenate(([-1], ends)))
+
+    def _encode_marked(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        odd = pc.match_substring_regex(pa.array(words, pa.string()), self._odd).to_numpy(zero_copy_only=False)
         if odd.any():
-            usual = self.encode_words([words[i] for i in np.flatnonzero(~odd)])
+            usual = self._encode_marked([words[i] for i in np.flatnonzero(~odd)])
             return in_order(usual, super().encode_words([words[i] for i in np.flatnonzero(odd)]), ~odd)
         return self.marked(words, self._mark, f" {self._mark} ") or super().encode_words(words)
 

@@ -42,3 +42,18 @@ def test_a_new_word_does_not_copy_the_others():
     before = encoder.uses, encoder.lengths, encoder.starts, encoder.ids
     encoder.encode(pa.array(["unheard"], pa.string()))
     assert all(now is then for now, then in zip((encoder.uses, encoder.lengths, encoder.starts, encoder.ids), before))
+
+
+def test_words_of_letters_are_encoded_without_marks():
+    encoder = word_cache.SpacedWords(public_tokenizers.path("word_bpe_49k.json"))
+    seen, tokenizer = [], encoder.tokenizer
+
+    class Watched:
+        def encode_batch_fast(self, texts, **options):
+            seen.extend(texts)
+            return tokenizer.encode_batch_fast(texts, **options)
+
+    encoder.tokenizer = Watched()
+    encoder.encode(pa.array(["Straße unheard unheard, café x1"], pa.string()))
+    assert "straße unheard café" in seen
+    assert not any("unheard" in text and encoder._mark in text for text in seen)
