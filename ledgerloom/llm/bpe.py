@@ -3,8 +3,7 @@
 from __future__ import annotations
 
 import base64
-from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -15,7 +14,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import in_slices, kept, or_empty, ragged_take, texts_of
+from ledgerloom.llm.common import Derive, in_slices, kept, or_empty, ragged_take, texts_of
 
 # Characters of a chunk, and those it shares with the next one.
 CHUNK = 16_384
@@ -24,14 +23,6 @@ OVERLAP = 1_024
 SLICE = 4_000_000
 
 
-@dataclass(frozen=True)
-class Derive:
-    """Columns made of the ids of a batch of documents (and their decoded bytes), with their schema."""
-
-    schema: str
-    columns: Callable[[list[pa.Array]], list[pa.Array]]
-
-
 @lru_cache(maxsize=4)
 def encoding(ranks_path: str, pattern: str) -> tiktoken.Encoding:
     with open(ranks_path, "rb") as lines:

@@ -7,6 +7,7 @@ import tempfile
 import uuid
 import zlib
 from collections.abc import Callable, Iterable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +21,14 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 FILE_ROWS = 100_000
 
 
+@dataclass(frozen=True)
+class Derive:
+    """Columns made of what an operator found for a batch of documents, in its tasks, with their schema."""
+
+    schema: str
+    columns: Callable[[list[pa.Array]], list[pa.Array]]
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share; one of this machine only where no cluster names one."""
     context = spark.sparkContext

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 from hashlib import sha256
 
@@ -28,6 +29,7 @@ from ledgerloom.llm import (
     toxicity,
     warc,
 )
+from ledgerloom.llm.common import Derive
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -59,14 +61,18 @@ def token_id_files(spark: SparkSession, directory: str) -> DataFrame:
     if folder is None:
         return spark.createDataFrame([], "doc_id long, start long, n_tokens long, ids_crc32 long")
     starts = files.select(F.col("file").alias("of_file"), "start")
-    found = token_files.read(spark, folder["folder"]).select(
-        "file", "doc_id", "offset", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32")
-    )
+    digests = Derive("n_tokens long, ids_crc32 long", _token_digests)
+    found = token_files.read(spark, folder["folder"], digests)
     return found.join(starts, F.col("file") == F.col("of_file")).select(
         "doc_id", (F.col("start") + F.col("offset")).alias("start"), "n_tokens", "ids_crc32"
     )
 
 
+def _token_digests(found: list[pa.Array]) -> list[pa.Array]:
+    ids = found[0].to_pylist()
+    return [pa.array([len(of) // 4 for of in ids], pa.int64()), pa.array([*map(zlib.crc32, ids)], pa.int64())]
+
+
 def best_fit_packing(spark: SparkSession, directory: str) -> DataFrame:
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
     return packing.pack(packing.pieces(_table(spark, directory, "documents"), tokenizer, end_id=1))
@@ -74,7 +80,7 @@ def best_fit_packing(spark: SparkSession, directory: str) -> DataFrame:
 
 def byte_level_bpe(spark: SparkSession, directory: str) -> DataFrame:
     ranks, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    digests = bpe.Derive("n_tokens long, ids_sha256 string, decoded_sha256 string", _bpe_digests)
+    digests = Derive("n_tokens long, ids_sha256 string, decoded_sha256 string", _bpe_digests)
     documents = _table(spark, directory, "documents")
     return bpe.encode(documents, ranks, pattern, decoded=True, derive=digests)
 

@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import in_slices, kept, new_folder, or_empty, write_whole
+from ledgerloom.llm.common import Derive, in_slices, kept, new_folder, or_empty, write_whole
 from ledgerloom.llm.word_cache import ByteWords, encoder, with_ends
 
 # Ids of a block, which is coded by itself, and of a file, which a task holds whole.
@@ -171,7 +171,7 @@ def parse_file(content: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray
     n_blocks = -(-total // BLOCK)
     offsets = np.frombuffer(content, "<u8", n_blocks + 1, at := at + 8 * docs)
     words = np.frombuffer(content, "<u8", n_words, at := at + 8 * (n_blocks + 1))
-    if zlib.crc32(words.tobytes()) != int.from_bytes(content[at + 8 * n_words :], "little"):
+    if zlib.crc32(words) != int.from_bytes(content[at + 8 * n_words :], "little"):
         raise ValueError("damaged words")
     return [None if gone else i for i, gone in zip(doc_ids, null)], lengths, unpack_ids(words, offsets, total)
 
@@ -240,26 +240,33 @@ def write(
     )
 
 
-def read(spark: SparkSession, folder: str) -> DataFrame:
+def read(spark: SparkSession, folder: str, derive: Derive | None = None) -> DataFrame:
     """Rows ``file``, ``doc_id``, ``offset`` (ids before it in its file) and ``ids`` (binary:
-    little-endian unsigned 32-bit integers) of all documents in a folder of token files."""
+    little-endian unsigned 32-bit integers) of all documents in a folder of token files.
+
+    With ``derive``, the columns it makes of ``ids`` are returned instead of them, and no ids leave
+    the tasks that read the files.
+    """
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path, content in zip(batch.column(0).to_pylist(), batch.column(1)):
                 doc_ids, lengths, ids = parse_file(content.as_buffer().to_pybytes())
-                ends = np.cumsum(lengths)
-                flat = ids.astype("<u4")
+                ends = np.concatenate(([0], np.cumsum(lengths)))
+                flat = ids.astype("<u4", copy=False)
                 for at in range(0, len(doc_ids), 4_096):
-                    some = slice(at, at + 4_096)
-                    spans = zip((ends[some] - lengths[some]).tolist(), ends[some].tolist())
+                    bounds = ends[at : at + 4_097]
+                    inside = [None, pa.py_buffer((4 * (bounds - bounds[0])).astype(np.int32)), pa.py_buffer(flat[bounds[0] : bounds[-1]])]
+                    found = [pa.Array.from_buffers(pa.binary(), len(bounds) - 1, inside)]
                     columns = [
-                        pa.array([path.rsplit("/", 1)[1]] * len(doc_ids[some])),
-                        pa.array(doc_ids[some], pa.int64()),
-                        pa.array(ends[some] - lengths[some]),
-                        pa.array([flat[s:e].tobytes() for s, e in spans], pa.binary()),
+                        pa.array([path.rsplit("/", 1)[1]] * (len(bounds) - 1)),
+                        pa.array(doc_ids[at : at + 4_096], pa.int64()),
+                        pa.array(bounds[:-1]),
+                        *(derive.columns(found) if derive else found),
                     ]
-                    yield pa.RecordBatch.from_arrays(columns, ["file", "doc_id", "offset", "ids"])
+                    yield pa.RecordBatch.from_arrays(columns, names)
 
+    schema = f"file string, doc_id long, offset long, {derive.schema if derive else 'ids binary'}"
+    names = [column.split()[0] for column in schema.split(", ")]
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.toks").load(folder)
-    return files.select("path", "content").mapInArrow(parse, "file string, doc_id long, offset long, ids binary")
+    return files.select("path", "content").mapInArrow(parse, schema)

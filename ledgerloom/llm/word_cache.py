@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import re
+import string
 from functools import lru_cache
 from itertools import repeat
 
@@ -38,9 +39,6 @@ class WordEncoder:
 
     # Some 300 bytes each in every worker.
     most_words = 450_000
-    # Words that may consist of others, and their parts: groups of a pattern, in order.
-    _joined = f"[{_MARKS}]$"
-    _parts = f"^(?P<stem>[^{_SPACE}]*[{_ALNUM}])(?P<marks>[{_MARKS}]+)$"
 
     def __init__(self, path: str) -> None:
         self.tokenizer = Tokenizer.from_file(path)
@@ -53,14 +51,8 @@ class WordEncoder:
         self.ids = np.zeros(0, np.uint32)
         self.n_ids = 0
 
-    def cut(self, texts: pa.Array) -> pa.ListArray:
-        """The words of texts, where :meth:`usual` says that a plain way of cutting will do."""
-        raise NotImplementedError
-
-    def usual(self, texts: pa.Array) -> np.ndarray:
-        raise NotImplementedError
-
-    def cut_unusual(self, text: str) -> list[str]:
+    def cut(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """The words of all texts in a row, and how many each text has."""
         raise NotImplementedError
 
     def spelt(self, word: str) -> str:
@@ -80,30 +72,16 @@ class WordEncoder:
         """All ids of the texts (strings, null as empty) in a row, and how many each text has."""
         if len(self.slots) > self.most_words or self.n_ids > IDS:
             self._forget()
-        texts = pc.fill_null(texts, "")
-        usual = self.usual(texts)
-        first = self._encode_cut(self.cut(texts.filter(pa.array(usual))))
-        if usual.all():
-            return first
-        rest = [self.cut_unusual(text) for text in texts.filter(pa.array(~usual)).to_pylist()]
-        counts = np.fromiter(map(len, rest), np.int64, len(rest))
-        slots = self._slots([word for words in rest for word in words])
-        np.add.at(self.uses, slots, 1)
-        second = self._encode_slots(slots, counts)
-        return in_order(first, second, usual)
-
-    def first_words(self, cut: pa.ListArray, slots: np.ndarray) -> None:
-        """Correct the slots of the first words of texts, where these differ from others."""
+        return self._encode_texts(pc.fill_null(texts, ""))
 
-    def _encode_cut(self, cut: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    def _encode_texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        words, counts = self.cut(texts)
         # Words that occur often in these texts are looked up once.
-        coded = cut.flatten().dictionary_encode()
+        coded = words.dictionary_encode()
         distinct = self._slots(strings(coded.dictionary))
         indices = coded.indices.to_numpy()
         self.uses[distinct] += np.bincount(indices, minlength=len(distinct))
-        slots = distinct[indices]
-        self.first_words(cut, slots)
-        return self._encode_slots(slots, pc.list_value_length(cut).to_numpy(zero_copy_only=False))
+        return self._encode_slots(distinct[indices], counts)
 
     def _slots(self, words: list[str]) -> np.ndarray:
         slots = np.fromiter(map(self.slots.get, words, repeat(-1)), np.int64, len(words))
@@ -119,39 +97,9 @@ class WordEncoder:
         last = np.cumsum(counts)
         return ragged_take(self.ids, self.starts[slots], lengths), ends[last] - ends[last - counts]
 
-    def part(self, kind: str, text: str) -> str:
-        """The word for a part of another word."""
-        return text
-
     def _learn(self, words: list[str]) -> None:
-        """Words not met before; those that end with punctuation or hold a line break by their parts."""
-        array = pa.array(words, pa.string())
-        at = np.flatnonzero(pc.match_substring_regex(array, self._joined).to_numpy(zero_copy_only=False))
-        found = pc.extract_regex(array.take(pa.array(at)), self._parts)
-        whole = found.is_null().to_numpy(zero_copy_only=False)
-        at, found = at[~whole], found.drop_null()
-        # Each part's place among the distinct ones; a group that took no part in the match is empty.
-        parts: dict[str, int] = {}
-        places = np.full((len(at), found.type.num_fields), -1, np.int64)
-        for column, kind in enumerate(found.type):
-            coded = found.field(column).dictionary_encode()
-            mine = [text and parts.setdefault(self.part(kind.name, text), len(parts)) for text in strings(coded.dictionary)]
-            places[:, column] = np.array([-1 if place == "" else place for place in mine], np.int64)[coded.indices.to_numpy()]
-        alone = np.ones(len(words), bool)
-        alone[at] = False
-        new = dict.fromkeys(words if alone.all() else strings(array.filter(pa.array(alone))))
-        new |= dict.fromkeys([part for part in parts if part not in self.slots])
-        if new:
-            self._add(list(new), *self.encode_words(list(new)))
-        # A part may be one of the words itself.
-        rest = np.array([words[i] not in self.slots for i in at.tolist()], bool)
-        if rest.any():
-            at, places = at[rest], places[rest]
-            slots = np.fromiter(map(self.slots.__getitem__, parts), np.int64, len(parts))[places[places >= 0]]
-            counts = (places >= 0).sum(1)
-            lengths = self.lengths[slots]
-            ids = ragged_take(self.ids, self.starts[slots], lengths)
-            self._add([words[i] for i in at.tolist()], ids, np.add.reduceat(lengths, np.cumsum(counts) - counts))
+        """Words not met before."""
+        self._add(words, *self.encode_words(words))
 
     def _add(self, words: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
         known, total = len(self.slots), len(self.slots) + len(words)
@@ -213,26 +161,47 @@ def in_order(
     return ragged_take(ids, (np.cumsum(lengths) - lengths)[order], lengths[order]), lengths[order]
 
 
+# What a byte of a text is: nothing known (part of a character beyond ASCII, or a rare one), a letter, a
+# digit, punctuation, an apostrophe (which may begin a pre-token with letters), a blank, other white space.
+_UNKNOWN, _LETTER, _DIGIT, _MARK, _QUOTE, _BLANK, _BREAK = range(7)
+_KNOWN = (_LETTER, _DIGIT, _MARK, _QUOTE)
+
+
+def _kinds() -> np.ndarray:
+    kinds = np.full(256, _UNKNOWN, np.uint8)
+    kinds[33:127] = _MARK
+    kinds[[ord(c) for c in string.ascii_letters]] = _LETTER
+    kinds[[ord(c) for c in string.digits]] = _DIGIT
+    kinds[ord("'")], kinds[ord(" ")] = _QUOTE, _BLANK
+    kinds[[ord(c) for c in "\t\n\r"]] = _BREAK
+    return kinds
+
+
+def _ends() -> np.ndarray:
+    """By the kinds of two neighbours (eight times the first's, and the second's): whether a word begins
+    at the second wherever they meet."""
+    ends = np.zeros(64, bool)
+    for first in _KNOWN:
+        for second in (*_KNOWN, _BLANK, _BREAK):
+            inside = second == first or first == _QUOTE and second in _KNOWN or (first, second) == (_MARK, _QUOTE)
+            ends[8 * first + second] = not inside
+    return ends
+
+
 class ByteWords(WordEncoder):
     """Byte-level tokenizers, whose pre-tokens can hold a space only at their start.
 
-    A text is cut before each space that follows something else than white space: what comes before
-    a place has no influence on the pre-tokens after it. A word stands for itself with a space
-    before it; one that begins with a space stands for what follows that space.
+    A text is cut, by its bytes, where a pre-token ends whatever else the text holds: between letters,
+    digits and punctuation, but not from an apostrophe or a space to what follows; before white space
+    that follows something else; and after a line break or tab that stands alone.
     """
 
-    # Capitals and punctuation make more words different here, and a miss costs more.
+    # Capitals make more words different here, and a miss costs more.
     most_words = 650_000
-    _space_after_space = f"[ \t\r\n{_RARE_SPACE}] "
-    _word_end = re.compile(r"(?<=\S)(?= )")
-    _alone = f" |[{_SPACE}]$|^$"
-    _solid = f"^ [^{_SPACE}]+$"
-    # A line break between other characters is a pre-token.
-    _joined = f"[{_MARKS}]$|\n"
-    _parts = (
-        f"^(?P<stem> ?[^{_SPACE}]*[{_ALNUM}])(?P<marks>[{_MARKS}]*)"
-        f"(?:(?P<line>\n)(?P<next>[^{_SPACE}]*[{_ALNUM}])(?P<others>[{_MARKS}]*))?$"
-    )
+    _solid = f"^ ?[^{_SPACE}]+$"
+    # Bytes looked at together, so that they stay in a core's cache.
+    _block = 1 << 19
+    _kinds, _ends = _kinds(), _ends()
 
     def __init__(self, path: str) -> None:
         super().__init__(path)
@@ -240,61 +209,137 @@ class ByteWords(WordEncoder):
         self.after_space = np.zeros(max(vocabulary.values()) + 1, bool)
         self.after_space[[i for token, i in vocabulary.items() if token.startswith("\u0120")]] = True
 
-    def usual(self, texts: pa.Array) -> np.ndarray:
-        return ~pc.match_substring_regex(texts, self._space_after_space).to_numpy(zero_copy_only=False)
-
-    def cut(self, texts: pa.Array) -> pa.ListArray:
-        return pc.split_pattern(texts, " ")
-
-    def first_words(self, cut: pa.ListArray, slots: np.ndarray) -> None:
-        at = cut.offsets.to_numpy()[:-1] - cut.offsets[0].as_py()
-        slots[at] = self._slots([f" {word}" for word in cut.flatten().take(pa.array(at)).to_numpy(zero_copy_only=False).tolist()])
-
-    def cut_unusual(self, text: str) -> list[str]:
-        pieces = self._word_end.split(text)
-        return [piece[1:] if piece[:1] == " " != piece[1:2] else f" {piece}" for piece in pieces]
-
-    def spelt(self, word: str) -> str:
-        return word[1:] if word[:1] == " " else f" {word}"
-
-    def part(self, kind: str, text: str) -> str:
-        return text if kind == "stem" else f" {text}"
+    def cut(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        texts = texts.cast(pa.large_string())
+        bounds = np.frombuffer(texts.buffers()[1], np.int64, len(texts) + 1, 8 * texts.offset)
+        bounds, first = bounds - bounds[0], bounds[0]
+        size = int(bounds[-1])
+        data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[first : first + size]
+        begins = np.empty(size + 1, bool)
+        for at in range(0, size, self._block):
+            # Two bytes of a character, and the two before a word, may lie across the edge.
+            since, until = max(0, at - 3), min(at + self._block, size)
+            begins[at:until] = self._begins(data[since : until + 1])[at - since : until - since]
+        begins[bounds] = True
+        begins[size] = True
+        starts = np.flatnonzero(begins)
+        counts = np.diff(np.searchsorted(starts, bounds))
+        buffers = [None, pa.py_buffer(starts.astype(np.int32)), pa.py_buffer(data)]
+        return pa.Array.from_buffers(pa.string(), len(starts) - 1, buffers), counts
+
+    def _begins(self, data: np.ndarray) -> np.ndarray:
+        """Whether a word begins at each byte of ``data``; not at the first one."""
+        kinds = self._kinds[data]
+        # Two-byte characters up to U+00FF; all from U+00C0 on but two are letters.
+        latin = np.flatnonzero(data[:-1] == 0xC3)
+        latin = latin[(data[latin + 1] != 0x97) & (data[latin + 1] != 0xB7)]
+        kinds[latin] = kinds[latin + 1] = _LETTER
+        begins = np.zeros(len(data), bool)
+        pairs = kinds[:-1] << 3
+        pairs |= kinds[1:]
+        begins[1:] = self._ends[pairs]
+        after = np.flatnonzero(kinds[:-1] == _BREAK) + 1
+        after = after[after > 1]
+        begins[after] = (kinds[after] - 1 < _QUOTE) & (kinds[after - 2] - 1 < _QUOTE)
+        # A blank after a character beyond ASCII, if that is no white space.
+        blank = np.flatnonzero(pairs == _BLANK) + 1
+        blank = blank[blank > 2]
+        if len(blank):
+            third, second, last = (data[blank - back].astype(np.int64) for back in (3, 2, 1))
+            begins[blank] = (last >= 0x80) & ~_is_space(third << 16 | second << 8 | last)
+        return begins
 
     def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        plain = ~pc.match_substring_regex(pa.array(words, pa.string()), self._alone).to_numpy(zero_copy_only=False)
-        text = " ".join(["", *(words if plain.all() else [words[i] for i in np.flatnonzero(plain).tolist()])])
+        array = pa.array(words, pa.string())
+        solid = pc.match_substring_regex(array, self._solid).to_numpy(zero_copy_only=False)
+        spaced = solid & pc.starts_with(array, " ").to_numpy(zero_copy_only=False)
+        text = "".join(words if spaced.all() else [words[i] for i in np.flatnonzero(spaced).tolist()])
         ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
         # Every token that begins with a space begins a word.
         together = ids, np.diff(np.append(np.flatnonzero(self.after_space[ids]), len(ids)))
-        if plain.all():
+        if spaced.all():
             return together
-        return in_order(together, self._encode_others([words[i] for i in np.flatnonzero(~plain)]), plain)
+        return in_order(together, self._encode_others([words[i] for i in np.flatnonzero(~spaced)], solid[~spaced]), spaced)
 
-    def _encode_others(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        solid = pc.match_substring_regex(pa.array(words, pa.string()), self._solid).to_numpy(zero_copy_only=False)
+    def _encode_others(self, words: list[str], solid: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         lines = self.marked([words[i] for i in np.flatnonzero(solid)], "\n", "\n") if solid.any() else None
         if lines is None:
             return super().encode_words(words)
         return in_order(lines, super().encode_words([words[i] for i in np.flatnonzero(~solid)]), solid)
 
 
+def _is_space(bytes_: np.ndarray) -> np.ndarray:
+    """Whether a character beyond ASCII is white space, by the three bytes up to its end."""
+    low = bytes_ & 0xFF
+    general = (bytes_ >> 8 == 0xE280) & ((low <= 0x8A) | (low == 0xA8) | (low == 0xA9) | (low == 0xAF))
+    latin = (bytes_ >> 8 & 0xFF == 0xC2) & ((low == 0x85) | (low == 0xA0))
+    return general | latin | np.isin(bytes_, (0xE19A80, 0xE2819F, 0xE38080))
+
+
 class SpacedWords(WordEncoder):
     """Tokenizers that lower-case and drop white space; rare kinds of it are left to them."""
 
     # Letters whose lower case depends on what is beside them, or is not one letter.
     _beyond = "[^\x00-\xff]"
     _mark = "\x01"
+    # Words that may consist of others, and their parts: groups of a pattern, in order.
+    _joined = f"[{_MARKS}]$"
+    _parts = f"^(?P<stem>[^{_SPACE}]*[{_ALNUM}])(?P<marks>[{_MARKS}]+)$"
+
+    def _encode_texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        usual = self.usual(texts)
+        first = super()._encode_texts(texts.filter(pa.array(usual)))
+        if usual.all():
+            return first
+        rest = [self.cut_unusual(text) for text in texts.filter(pa.array(~usual)).to_pylist()]
+        counts = np.fromiter(map(len, rest), np.int64, len(rest))
+        slots = self._slots([word for words in rest for word in words])
+        np.add.at(self.uses, slots, 1)
+        second = self._encode_slots(slots, counts)
+        return in_order(first, second, usual)
 
     def usual(self, texts: pa.Array) -> np.ndarray:
         odd = pc.match_substring_regex(texts, f"[{_RARE_SPACE}{self._mark}]")
         return ~pc.or_(odd, pc.match_substring_regex(texts, self._beyond)).to_numpy(zero_copy_only=False)
 
-    def cut(self, texts: pa.Array) -> pa.ListArray:
-        return pc.ascii_split_whitespace(pc.utf8_lower(texts))
+    def cut(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """The words of texts, where :meth:`usual` says that this plain way of cutting will do."""
+        cut = pc.ascii_split_whitespace(pc.utf8_lower(texts))
+        return cut.flatten(), pc.list_value_length(cut).to_numpy(zero_copy_only=False)
 
     def cut_unusual(self, text: str) -> list[str]:
         return [text] if re.search(f"[{_RARE_SPACE}{self._mark}]", text) else text.split()
 
+    def _learn(self, words: list[str]) -> None:
+        """Words not met before; those that end with punctuation by their parts."""
+        array = pa.array(words, pa.string())
+        at = np.flatnonzero(pc.match_substring_regex(array, self._joined).to_numpy(zero_copy_only=False))
+        found = pc.extract_regex(array.take(pa.array(at)), self._parts)
+        whole = found.is_null().to_numpy(zero_copy_only=False)
+        at, found = at[~whole], found.drop_null()
+        # Each part's place among the distinct ones; a group that took no part in the match is empty.
+        parts: dict[str, int] = {}
+        places = np.full((len(at), found.type.num_fields), -1, np.int64)
+        for column in range(found.type.num_fields):
+            coded = found.field(column).dictionary_encode()
+            mine = [text and parts.setdefault(text, len(parts)) for text in strings(coded.dictionary)]
+            places[:, column] = np.array([-1 if place == "" else place for place in mine], np.int64)[coded.indices.to_numpy()]
+        alone = np.ones(len(words), bool)
+        alone[at] = False
+        new = dict.fromkeys(words if alone.all() else strings(array.filter(pa.array(alone))))
+        new |= dict.fromkeys([part for part in parts if part not in self.slots])
+        if new:
+            self._add(list(new), *self.encode_words(list(new)))
+        # A part may be one of the words itself.
+        rest = np.array([words[i] not in self.slots for i in at.tolist()], bool)
+        if rest.any():
+            at, places = at[rest], places[rest]
+            slots = np.fromiter(map(self.slots.__getitem__, parts), np.int64, len(parts))[places[places >= 0]]
+            counts = (places >= 0).sum(1)
+            lengths = self.lengths[slots]
+            ids = ragged_take(self.ids, self.starts[slots], lengths)
+            self._add([words[i] for i in at.tolist()], ids, np.add.reduceat(lengths, np.cumsum(counts) - counts))
+
     # Lower-case letters alone, which are pre-tokens.
     _letters = "^[a-z\xdf-\xf6\xf8-\xff]+$"
     _odd = f"[{_RARE_SPACE}{_mark}]"

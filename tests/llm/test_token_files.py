@@ -4,11 +4,14 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from cases import empty_documents, odd_documents, rows_of
 from tokenizers import Tokenizer
 
 from ledgerloom.llm import token_files
+from ledgerloom.llm.common import Derive
 from ledgerloom.llm.queries import QUERIES
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -71,6 +74,18 @@ def test_files_in_order(spark):
     assert token_files.write(empty_documents(spark), PATH, 2).count() == 0
 
 
+def test_columns_are_derived_where_files_are_read(spark):
+    """The query used to send all ids on from the tasks that read them."""
+    folder = token_files.write(odd_documents(spark), PATH, 2, file_ids=5_000).first()["folder"]
+    sizes = Derive("size long, crc long", lambda found: [pc.cast(pc.binary_length(found[0]), pa.int64()), pa.array([zlib.crc32(i) for i in found[0].to_pylist()], pa.int64())])
+    derived = token_files.read(spark, folder, sizes)
+    assert derived.columns == ["file", "doc_id", "offset", "size", "crc"]
+    ids = token_files.read(spark, folder)
+    assert rows_of(derived) == sorted(
+        ((r["file"], r["doc_id"], r["offset"], len(r["ids"]), zlib.crc32(r["ids"])) for r in ids.collect()), key=repr
+    )
+
+
 def test_query(spark, data):
     found = QUERIES["op4_token_id_files"](spark, data).select("doc_id", "start", "n_tokens", "ids_crc32")
     rows, at = [], 0

@@ -57,3 +57,26 @@ def test_words_of_letters_are_encoded_without_marks():
     encoder.encode(pa.array(["Straße unheard unheard, café x1"], pa.string()))
     assert "straße unheard café" in seen
     assert not any("unheard" in text and encoder._mark in text for text in seen)
+
+
+@pytest.mark.parametrize("block", [1, 5, 64])
+def test_cuts_by_bytes_where_no_token_reaches_over(monkeypatch, block):
+    """Any characters side by side, across the edges of the blocks of bytes looked at together."""
+    monkeypatch.setattr(word_cache.ByteWords, "_block", block)
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    tokenizer.encode_special_tokens = True
+    encoder = word_cache.ByteWords(public_tokenizers.path("byte_bpe_50k.json"))
+    rng = random.Random(block)
+    characters = "aZs1'.,-  \n\t\r\x0b\x1f\x7f\x85\xa0é×÷ÿжß²½\u0301\u0663\u1680\u200a\u200b\u2019\u2028\u205f\u3000東😀"
+    texts = ["".join(rng.choices(characters, k=rng.randrange(20))) for _ in range(3_000)]
+    ids, counts = encoder.encode(pa.array([None, "", *texts], pa.string())[1:])
+    expected = [tokenizer.encode(text, add_special_tokens=False).ids for text in ["", *texts]]
+    assert counts.tolist() == [*map(len, expected)]
+    assert ids.tolist() == [i for some in expected for i in some]
+
+
+def test_punctuation_makes_no_new_words():
+    """A word used to be learnt again with whatever punctuation or next line came after it."""
+    encoder = word_cache.ByteWords(public_tokenizers.path("byte_bpe_50k.json"))
+    encoder.encode(pa.array(["x unheard, unheard. unheard's unheard!\nx unheard?! unheard: unheard7"], pa.string()))
+    assert [word for word in encoder.slots if "unheard" in word] == [" unheard"]
